@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,6 +42,24 @@ def strip_unit(name: str | Column) -> Column:
     return F.when(pos > 1, n.substr(F.lit(1), pos - 2)).when(pos == 1, F.lit("")).otherwise(n)
 
 
+def header_without_unit(name: str) -> str:
+    """Plan-time header clean-up: ``'Corn (lb)' -> 'Corn'``.
+
+    Headers are schema metadata known when the plan is built, so the rule
+    runs once per header in the driver, not once per row.  Same rule as
+    ``strip_unit``.
+    """
+    pos = name.find("(")
+    if pos < 0:
+        return name
+    return name[: max(pos - 1, 0)]
+
+
+def header_without_copy_suffix(name: str, pattern: str = r"\.[123]$") -> str:
+    """Plan-time header clean-up: ``'Corn.1' -> 'Corn'``."""
+    return re.sub(pattern, "", name)
+
+
 def strip_copy_suffix(name: str | Column, pattern: str = r"\.[123]$") -> Column:
     """Drop the ``.1 .2 .3`` suffix a spreadsheet adds to repeated headers (Q7).
 

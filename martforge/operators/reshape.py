@@ -31,32 +31,21 @@ def unpivot_measures(
     value_col: str,
     *,
     value_type: str = "decimal(18,4)",
-    normalise: Callable[[Column], Column] | None = None,
+    normalise: Callable[[str], str] | None = None,
     drop_null_rows: bool = True,
 ) -> DataFrame:
     """Wide measures to long rows (R1), header clean-up (R3), null drop.
 
     Each measure column becomes ``(ids..., name_col, value_col)``.  Measures are
-    cast to one common type first (``unpivot`` needs it).  ``normalise`` is
-    applied to the emitted header text (e.g. strip a unit or a copy suffix), so
-    two headers that normalise to the same name end up as repeated rows that
-    a later group-sum collapses.  ``drop_null_rows`` drops a row when **any**
+    cast to one common type first (``unpivot`` needs it).  ``normalise`` maps
+    each header to the emitted name at plan time (e.g. strip a unit or a copy
+    suffix); two headers that normalise to the same name become repeated rows
+    that a later group-sum collapses.  ``drop_null_rows`` drops a row when **any**
     column is NULL, as the reference's ``dropna()`` does.
     """
-    # Rename measures to positional aliases so that headers with dots or
-    # spaces survive, then map the emitted names back.
-    aliases = {f"m{i}": m for i, m in enumerate(measures)}
-    wide = df.select(
-        *[quoted(c) for c in ids],
-        *[quoted(m).cast(value_type).alias(a) for a, m in aliases.items()],
-    )
-    long = wide.unpivot(list(ids), list(aliases), name_col, value_col)
-    header = F.col(name_col)
-    mapped = None
-    for a, m in aliases.items():
-        mapped = F.when(header == a, F.lit(m)) if mapped is None else mapped.when(header == a, F.lit(m))
-    name = mapped if normalise is None else normalise(mapped)
-    long = long.withColumn(name_col, name)
+    rename = normalise or (lambda h: h)
+    values = [quoted(m).cast(value_type).alias(rename(m)) for m in measures]
+    long = df.unpivot([quoted(c) for c in ids], values, name_col, value_col)
     if drop_null_rows:
         long = long.na.drop("any")
     return long

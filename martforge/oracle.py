@@ -101,8 +101,217 @@ m AS (
 SELECT {cast_select(MOVEMENT_OUT)} FROM m"""
 
 
+ING_BASE = LINES + """,
+ing_base AS (
+  SELECT 'L' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id,
+         group_num, p_type AS diet, d AS delivery_date,
+         CASE WHEN l_suppkey % 3 = 0 THEN '""" + P.HOME_MILL + """' ELSE s_name END AS mill,
+         CAST(l_quantity AS DECIMAL(18,4)) AS q, CAST(l_extendedprice AS DECIMAL(18,2)) AS p,
+         l_returnflag, l_linestatus
+  FROM lines JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+),
+qty_long AS (
+  SELECT order_id, group_num, diet, delivery_date, mill, 'Corn' AS ingredient, CAST(q * 100 AS DECIMAL(18,4)) AS quantity FROM ing_base
+  UNION ALL
+  SELECT order_id, group_num, diet, delivery_date, mill, 'Soy', CAST(CASE WHEN l_returnflag <> 'N' THEN q * 40 END AS DECIMAL(18,4)) FROM ing_base
+  UNION ALL
+  SELECT order_id, group_num, diet, delivery_date, mill, 'Corn', CAST(CASE WHEN l_linestatus <> 'F' THEN q * 10 END AS DECIMAL(18,4)) FROM ing_base
+),
+cost_long AS (
+  SELECT order_id, group_num, diet, delivery_date, mill, 'Corn' AS ingredient, CAST(p * 0.5 AS DECIMAL(18,4)) AS cost FROM ing_base
+  UNION ALL
+  SELECT order_id, group_num, diet, delivery_date, mill, 'Soy', CAST(CASE WHEN l_returnflag <> 'N' THEN p * 0.25 END AS DECIMAL(18,4)) FROM ing_base
+  UNION ALL
+  SELECT order_id, group_num, diet, delivery_date, mill, 'Corn', CAST(CASE WHEN l_linestatus <> 'F' THEN p * 0.125 END AS DECIMAL(18,4)) FROM ing_base
+),
+qty_sum AS (
+  SELECT order_id, group_num, delivery_date, mill, diet, ingredient, sum(quantity) AS quantity
+  FROM qty_long
+  WHERE order_id IS NOT NULL AND group_num IS NOT NULL AND diet IS NOT NULL
+    AND delivery_date IS NOT NULL AND mill IS NOT NULL AND quantity IS NOT NULL
+  GROUP BY order_id, group_num, delivery_date, mill, diet, ingredient
+),
+cost_sum AS (
+  SELECT order_id, group_num, delivery_date, mill, diet, ingredient, sum(cost) AS cost
+  FROM cost_long
+  WHERE order_id IS NOT NULL AND group_num IS NOT NULL AND diet IS NOT NULL
+    AND delivery_date IS NOT NULL AND mill IS NOT NULL AND cost IS NOT NULL
+  GROUP BY order_id, group_num, delivery_date, mill, diet, ingredient
+),
+ingredients_fact AS (
+  SELECT q.order_id, q.group_num, q.mill, q.delivery_date, """ + cal('q.delivery_date', 'delivery') + """,
+         q.diet, q.ingredient, round_even(q.quantity, 2) AS weight, round_even(c.cost, 2) AS cost
+  FROM qty_sum q JOIN cost_sum c
+    ON q.order_id = c.order_id AND q.group_num = c.group_num AND q.delivery_date = c.delivery_date
+   AND q.mill = c.mill AND q.diet = c.diet AND q.ingredient = c.ingredient
+)"""
+
+
+def _ingredients_sql() -> str:
+    from martforge.plans.ingredients import INGREDIENT_OUT
+
+    return f"WITH {ING_BASE}\nSELECT {cast_select(INGREDIENT_OUT)} FROM ingredients_fact"
+
+
+def _ingredient_unpivot_sql() -> str:
+    return f"""WITH {ING_BASE}
+SELECT order_id, group_num, diet, delivery_date, mill, ingredient, quantity FROM qty_long
+WHERE order_id IS NOT NULL AND group_num IS NOT NULL AND diet IS NOT NULL
+  AND delivery_date IS NOT NULL AND mill IS NOT NULL AND quantity IS NOT NULL"""
+
+
+def _ingredient_group_sum_sql() -> str:
+    return f"WITH {ING_BASE}\nSELECT CAST(quantity AS DECIMAL(28,4)) AS quantity, order_id, group_num, delivery_date, mill, diet, ingredient FROM qty_sum"
+
+
+SALES_BASE = LINES + """,
+carcass AS (
+  SELECT 'P' || CAST(l_suppkey % 3 AS VARCHAR) AS plant, CAST(l_suppkey AS INTEGER) AS tattoo, d AS kill_date,
+         CAST(l_quantity AS INTEGER) AS quantity,
+         CAST(l_quantity AS DECIMAL(10,2)) * CAST(1.15 AS DECIMAL(3,2)) + 200 + CAST(k AS DECIMAL(4,0)) AS avg_live_wt,
+         180 + CAST(l_quantity AS DECIMAL(10,2)) + CAST(k AS DECIMAL(4,0)) * (l_linenumber + 1)
+             + CAST(l_discount AS DECIMAL(4,2)) * 10 AS avg_carcass_wt,
+         CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.001 AS DECIMAL(4,3)) AS cwt,
+         CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.01 AS DECIMAL(3,2)) AS head,
+         CAST(l_discount AS DECIMAL(4,2)) AS disc, CAST(l_tax AS DECIMAL(4,2)) AS tax, k
+  FROM lines CROSS JOIN (VALUES (0), (1), (2)) ks(k)
+),
+carcass2 AS (
+  SELECT plant, tattoo, kill_date, quantity, avg_live_wt, avg_carcass_wt,
+         cwt AS base_price_cwt, cwt * (1 - disc) AS value_cwt, cwt * tax AS vob_cwt,
+         head AS base_price, head * (1 - disc) AS value, head * tax AS vob,
+         CAST(0.5 AS DECIMAL(2,1)) + disc AS back_fat, 2 + tax AS loin_depth,
+         CAST(0.5 AS DECIMAL(2,1)) + disc + CAST(k AS DECIMAL(4,0)) * CAST(0.01 AS DECIMAL(3,2)) AS lean,
+         CAST(0.7 AS DECIMAL(2,1)) + tax AS yld
+  FROM carcass
+),
+loads AS (
+  SELECT DISTINCT group_num, d AS kill_date, 'P' || CAST(l_suppkey % 3 AS VARCHAR) AS plant,
+         CAST(l_suppkey AS INTEGER) AS tattoo
+  FROM lines
+)"""
+
+
+def _zfill(x: str, n: int) -> str:
+    return f"CASE WHEN length({x}) >= {n} THEN {x} ELSE lpad({x}, {n}, '0') END"
+
+
+def _sales_fact_cte() -> str:
+    t = "CAST(CAST(tattoo AS BIGINT) AS VARCHAR)"
+    return SALES_BASE + f""",
+uk AS (
+  SELECT {_zfill('t', 4)} AS tattoo, kill_date, min(group_num) AS group_num
+  FROM (SELECT {t} AS t, kill_date, group_num FROM loads WHERE tattoo IS NOT NULL) x
+  GROUP BY 1, 2 HAVING count(*) = 1
+),
+sales_fact AS (
+  SELECT uk.group_num, uk.group_num || '-' || uk.tattoo AS load_id, c.plant, uk.tattoo, c.kill_date,
+         {cal('c.kill_date', 'kill')}, c.quantity,
+         round_even(avg_live_wt, 1) AS avg_live_wt, round_even(avg_carcass_wt, 0) AS avg_carcass_wt,
+         round_even(base_price_cwt, 2) AS base_price_cwt, round_even(vob_cwt, 2) AS vob_cwt,
+         round_even(value_cwt, 2) AS value_cwt, round_even(base_price, 2) AS base_price,
+         round_even(vob, 2) AS vob, round_even(value, 2) AS value,
+         back_fat, loin_depth, yld AS yield_per, lean * 100 AS lean_per
+  FROM (SELECT *, {_zfill(t, 4)} AS ttxt FROM carcass2) c
+  JOIN uk ON c.ttxt = uk.tattoo AND c.kill_date = uk.kill_date
+)"""
+
+
+def _sales_sql() -> str:
+    from martforge.plans.sales import SALES_OUT
+
+    return f"WITH {_sales_fact_cte()}\nSELECT {cast_select(SALES_OUT)} FROM sales_fact"
+
+
+def _unique_key_join_sql() -> str:
+    return f"""WITH {SALES_BASE},
+uk AS (SELECT tattoo, kill_date, min(group_num) AS group_num FROM loads GROUP BY 1, 2 HAVING count(*) = 1)
+SELECT c.tattoo, c.kill_date, c.plant, c.avg_carcass_wt, uk.group_num
+FROM carcass c JOIN uk ON c.tattoo = uk.tattoo AND c.kill_date = uk.kill_date"""
+
+
+GROUPS_BASE = """
+ord AS (
+  SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS open_date, max(CAST(o_orderdate AS DATE)) AS last_date
+  FROM orders GROUP BY o_custkey
+),
+gk AS (
+  SELECT c_custkey, 'G' || CAST(c_custkey AS VARCHAR) AS group_num,
+         CASE c_mktsegment WHEN 'BUILDING' THEN 'Finishing' WHEN 'MACHINERY' THEN 'Wean to Finish'
+              WHEN 'HOUSEHOLD' THEN 'Nursery' ELSE 'GDU' END AS group_type,
+         CASE c_custkey % 3 WHEN 0 THEN 'closed' WHEN 1 THEN 'active' ELSE 'scheduled' END AS status,
+         n_name AS producer, 'Site ' || CAST(c_custkey % 7 AS VARCHAR) AS site, c_name AS barn, open_date,
+         CASE WHEN c_custkey % 3 = 0 THEN last_date END AS close_date
+  FROM customer JOIN ord ON c_custkey = o_custkey JOIN nation ON c_nationkey = n_nationkey
+),
+src AS (SELECT group_num, group_type, status, producer, site, barn, open_date, close_date FROM gk),
+tgt AS (
+  SELECT group_num, group_type, CASE WHEN c_custkey % 7 = 0 THEN 'inactive' ELSE status END AS status,
+         producer, site, barn, open_date, close_date
+  FROM gk WHERE c_custkey % 10 <> 0
+  UNION ALL
+  SELECT 'X' || CAST(c_custkey AS VARCHAR), group_type, status, producer, site, barn, open_date, close_date
+  FROM gk WHERE c_custkey % 50 = 0
+),
+s1 AS (
+  SELECT group_num, count(*) AS ns, any_value(group_type) AS group_type, any_value(status) AS status,
+         any_value(producer) AS producer, any_value(site) AS site, any_value(barn) AS barn,
+         any_value(open_date) AS open_date, any_value(close_date) AS close_date
+  FROM src GROUP BY group_num
+),
+diff AS (
+  SELECT coalesce(s1.group_num, t.group_num) AS group_num,
+         CASE WHEN s1.ns > 1 THEN 'reject'
+              WHEN t.group_num IS NULL THEN 'insert'
+              WHEN s1.group_num IS NULL THEN 'delete'
+              WHEN s1.status IS DISTINCT FROM t.status OR s1.open_date IS DISTINCT FROM t.open_date
+                OR s1.close_date IS DISTINCT FROM t.close_date THEN 'update'
+              ELSE 'keep' END AS action,
+         t.group_num IS NOT NULL AS in_target,
+         s1.group_type AS s_group_type, s1.status AS s_status, s1.producer AS s_producer, s1.site AS s_site,
+         s1.barn AS s_barn, s1.open_date AS s_open_date, s1.close_date AS s_close_date,
+         t.group_type AS t_group_type, t.status AS t_status, t.producer AS t_producer, t.site AS t_site,
+         t.barn AS t_barn, t.open_date AS t_open_date, t.close_date AS t_close_date
+  FROM s1 FULL OUTER JOIN tgt t ON s1.group_num = t.group_num
+),
+synced AS (
+  SELECT group_num,
+         CASE WHEN action = 'insert' THEN s_group_type ELSE t_group_type END AS group_type,
+         CASE WHEN action IN ('insert', 'update') THEN s_status ELSE t_status END AS status,
+         CASE WHEN action = 'insert' THEN s_producer ELSE t_producer END AS producer,
+         CASE WHEN action = 'insert' THEN s_site ELSE t_site END AS site,
+         CASE WHEN action = 'insert' THEN s_barn ELSE t_barn END AS barn,
+         CASE WHEN action IN ('insert', 'update') THEN s_open_date ELSE t_open_date END AS open_date,
+         CASE WHEN action IN ('insert', 'update') THEN s_close_date ELSE t_close_date END AS close_date
+  FROM diff
+  WHERE action IN ('insert', 'update', 'keep') OR (action = 'reject' AND in_target)
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
+    line_key_dups = """WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity,
+                   l_extendedprice FROM lineitem)"""
     return {
         "movements": _movements_sql(),
         "deaths": _deaths_sql(),
+        "ingredient_unpivot": _ingredient_unpivot_sql(),
+        "ingredient_group_sum": _ingredient_group_sum_sql(),
+        "ingredients": _ingredients_sql(),
+        "sales": _sales_sql(),
+        "unique_key_join": _unique_key_join_sql(),
+        "dim_diff": f"WITH {GROUPS_BASE}\nSELECT group_num, action FROM diff",
+        "dim_sync": f"WITH {GROUPS_BASE}\nSELECT * FROM synced",
+        "anti_join_groups": f"""WITH {GROUPS_BASE}
+SELECT group_num, 'source_only' AS side FROM src WHERE group_num NOT IN (SELECT group_num FROM tgt)
+UNION ALL
+SELECT group_num, 'target_only' FROM tgt WHERE group_num NOT IN (SELECT group_num FROM src)""",
+        "duplicate_keys": line_key_dups + """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS is_dup
+FROM li""",
+        "duplicate_later": line_key_dups + """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       rank() OVER (PARTITION BY l_orderkey, l_linenumber
+                    ORDER BY l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice) > 1 AS is_later
+FROM li""",
     }

@@ -10,8 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from martforge import params as P
+from martforge.functions.text import header_without_unit
+from martforge.operators import dedup, dimsync
+from martforge.operators.reshape import measure_columns, unpivot_measures
+from martforge.plans import ingredients as ing
 from martforge.plans import movements as mv
+from martforge.plans import sales as sl
 from martforge.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +32,71 @@ def q_deaths(spark: SparkSession, d: str) -> DataFrame:
     return mv.deaths(td.deaths_raw(spark, d))
 
 
+def q_ingredient_unpivot(spark: SparkSession, d: str) -> DataFrame:
+    wide = td.ingredient_qty(spark, d)
+    long = unpivot_measures(wide, wide.columns[:5], measure_columns(wide, 5), "ingredient", "quantity",
+                            normalise=header_without_unit)
+    return long.withColumnsRenamed(ing.ID_RENAME)
+
+
+def q_ingredient_group_sum(spark: SparkSession, d: str) -> DataFrame:
+    return ing.ingredient_group_sum(td.ingredient_qty(spark, d))
+
+
+def q_ingredients(spark: SparkSession, d: str) -> DataFrame:
+    return ing.ingredients(td.ingredient_qty(spark, d), td.ingredient_cost(spark, d))
+
+
+def q_sales(spark: SparkSession, d: str) -> DataFrame:
+    return sl.sales(td.carcass(spark, d), td.loads(spark, d))
+
+
+def q_unique_key_join(spark: SparkSession, d: str) -> DataFrame:
+    c = td.carcass(spark, d).select("tattoo", "kill_date", "plant", "avg_carcass_wt")
+    h = td.loads(spark, d).select("group_num", "tattoo", "kill_date")
+    return dedup.unique_key_join(c, h, ["tattoo", "kill_date"], ["group_num"])
+
+
+def q_dim_diff(spark: SparkSession, d: str) -> DataFrame:
+    return dimsync.dim_diff(td.groups(spark, d), td.groups_target(spark, d))
+
+
+def q_dim_sync(spark: SparkSession, d: str) -> DataFrame:
+    return dimsync.dim_sync(td.groups(spark, d), td.groups_target(spark, d))
+
+
+def q_anti_join_groups(spark: SparkSession, d: str) -> DataFrame:
+    src, tgt = td.groups(spark, d), td.groups_target(spark, d)
+    return (dimsync.keys_only_in(src, tgt, "group_num").withColumn("side", F.lit("source_only"))
+            .unionByName(dimsync.keys_only_in(tgt, src, "group_num").withColumn("side", F.lit("target_only"))))
+
+
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
+
+
+def q_duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
+    li = td.read_table(spark, d, "lineitem").select(*LINE_KEY, "l_partkey", "l_suppkey")
+    return dedup.mark_duplicate_keys(li, LINE_KEY)
+
+
+def q_duplicate_later(spark: SparkSession, d: str) -> DataFrame:
+    li = td.read_table(spark, d, "lineitem").select(*LINE_KEY, *LINE_ORDER)
+    return dedup.mark_later_duplicates(li, LINE_KEY, LINE_ORDER).select(*LINE_KEY, "l_partkey", "l_suppkey", "is_later")
+
+
 def queries() -> dict[str, Query]:
     return {
         "movements": q_movements,
         "deaths": q_deaths,
+        "ingredient_unpivot": q_ingredient_unpivot,
+        "ingredient_group_sum": q_ingredient_group_sum,
+        "ingredients": q_ingredients,
+        "sales": q_sales,
+        "unique_key_join": q_unique_key_join,
+        "dim_diff": q_dim_diff,
+        "dim_sync": q_dim_sync,
+        "anti_join_groups": q_anti_join_groups,
+        "duplicate_keys": q_duplicate_keys,
+        "duplicate_later": q_duplicate_later,
     }
