@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge import params as P
+from martforge.functions.calendar import lookback_start
+from martforge.operators import maintenance as mt
+from martforge.operators import quality as qa
+from martforge.plans import budgets as bd
+from martforge.sinks.export import tsv_lines
 from martforge.functions.text import header_without_unit
 from martforge.operators import dedup, dimsync
 from martforge.operators.reshape import measure_columns, unpivot_measures
@@ -85,6 +90,86 @@ def q_duplicate_later(spark: SparkSession, d: str) -> DataFrame:
     return dedup.mark_later_duplicates(li, LINE_KEY, LINE_ORDER).select(*LINE_KEY, "l_partkey", "l_suppkey", "is_later")
 
 
+def start_of(table: str):
+    return lookback_start(P.AS_OF, P.LOOKBACK_DAYS[table])
+
+
+# The stored facts were loaded before open lines shipped; the new report
+# covers every line shipped in the table's lookback window.
+def old_load():
+    return F.col("l_linestatus") == "F"
+
+
+def report_window(table: str):
+    return F.col("l_shipdate") >= F.lit(f"{start_of(table)} 00:00:00").cast("timestamp_ntz")
+
+
+def q_slice_replace_ingredients(spark: SparkSession, d: str) -> DataFrame:
+    w = report_window("ingredients")
+    target = ing.ingredients(td.ingredient_qty(spark, d, old_load()), td.ingredient_cost(spark, d, old_load()))
+    batch = ing.ingredients(td.ingredient_qty(spark, d, w), td.ingredient_cost(spark, d, w))
+    return mt.replace_slice(target, batch, mt.date_slice("delivery_date", start_of("ingredients")))
+
+
+def q_slice_replace_movements(spark: SparkSession, d: str) -> DataFrame:
+    target = mv.movements(td.movements_raw(spark, d, old_load()), rename=P.ENTITY_RENAME)
+    batch = mv.movements(td.movements_raw(spark, d, report_window("movements")), rename=P.ENTITY_RENAME)
+    pred = (mt.date_slice("movement_date", start_of("movements"))
+            & mt.category_slice("event_category", mv.DEATH_CATEGORIES, inside=False))
+    return mt.replace_slice(target, batch, pred)
+
+
+def q_slice_replace_deaths(spark: SparkSession, d: str) -> DataFrame:
+    target = (mv.movements(td.movements_raw(spark, d, old_load()), rename=P.ENTITY_RENAME)
+              .unionByName(mv.deaths(td.deaths_raw(spark, d, old_load()))))
+    batch = mv.deaths(td.deaths_raw(spark, d, report_window("deaths")))
+    pred = (mt.date_slice("movement_date", start_of("deaths"))
+            & mt.category_slice("event_category", mv.DEATH_CATEGORIES, inside=True))
+    return mt.replace_slice(target, batch, pred)
+
+
+def q_slice_replace_sales(spark: SparkSession, d: str) -> DataFrame:
+    w = report_window("sales")
+    target = sl.sales(td.carcass(spark, d, old_load()), td.loads(spark, d, old_load()))
+    batch = sl.sales(td.carcass(spark, d, w), td.loads(spark, d, w))
+    return mt.replace_slice(target, batch, mt.date_slice("kill_date", start_of("sales")))
+
+
+def q_budget_init(spark: SparkSession, d: str) -> DataFrame:
+    return bd.budget_init(td.budgets(spark, d))
+
+
+def q_pk_violations(spark: SparkSession, d: str) -> DataFrame:
+    return qa.pk_violations(q_ingredients(spark, d), ["order_id", "ingredient"])
+
+
+def q_fk_orphans(spark: SparkSession, d: str) -> DataFrame:
+    dim = td.groups_target(spark, d)
+    facts = {
+        "movements": q_movements(spark, d).filter(F.col("entity_type") == "group"),
+        "sales": q_sales(spark, d),
+        "ingredients": q_ingredients(spark, d),
+    }
+    out = None
+    for name, f in facts.items():
+        o = qa.fk_orphans(f, dim).withColumn("fact", F.lit(name))
+        out = o if out is None else out.unionByName(o)
+    return out
+
+
+def actuals_keys(spark: SparkSession, d: str) -> DataFrame:
+    return bd.actuals_key_set(td.groups(spark, d), start_of("budget_actuals"),
+                              excluded_producer=P.EXCLUDED_PRODUCER, group_types=P.ACTUALS_GROUP_TYPES)
+
+
+def q_semi_join_groups(spark: SparkSession, d: str) -> DataFrame:
+    return q_movements(spark, d).join(actuals_keys(spark, d), "group_num", "left_semi")
+
+
+def q_tsv_export(spark: SparkSession, d: str) -> DataFrame:
+    return tsv_lines(q_movements(spark, d))
+
+
 def queries() -> dict[str, Query]:
     return {
         "movements": q_movements,
@@ -99,4 +184,13 @@ def queries() -> dict[str, Query]:
         "anti_join_groups": q_anti_join_groups,
         "duplicate_keys": q_duplicate_keys,
         "duplicate_later": q_duplicate_later,
+        "slice_replace_ingredients": q_slice_replace_ingredients,
+        "slice_replace_movements": q_slice_replace_movements,
+        "slice_replace_deaths": q_slice_replace_deaths,
+        "slice_replace_sales": q_slice_replace_sales,
+        "budget_init": q_budget_init,
+        "pk_violations": q_pk_violations,
+        "fk_orphans": q_fk_orphans,
+        "semi_join_groups": q_semi_join_groups,
+        "tsv_export": q_tsv_export,
     }

@@ -41,13 +41,17 @@ def _case(col: Column, mapping: dict, default) -> Column:
     return out.otherwise(F.lit(default))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem ⨝ orders`` with ``group_num = 'G' || o_custkey`` and ``d`` = ship date."""
+def lines(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """``lineitem ⨝ orders`` with ``group_num = 'G' || o_custkey`` and ``d`` = ship date.
+
+    ``where`` restricts the lines (e.g. a report's date window); predicates on
+    line-item columns are pushed into the Parquet scan.
+    """
     li = read_table(spark, sf_dir, "lineitem")
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate"
     )
-    return (
+    out = (
         li.join(o, li.l_orderkey == o.o_orderkey, "inner")
         .drop("o_orderkey")
         .withColumns({
@@ -55,6 +59,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             "d": F.col("l_shipdate").cast("date"),
         })
     )
+    return out if where is None else out.filter(where)
 
 
 def _groups_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,9 +111,9 @@ def groups_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(*GROUP_COLS).unionByName(gone.select(*GROUP_COLS))
 
 
-def movements_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def movements_raw(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Movement report, single-row layout (A4 shape)."""
-    L = lines(spark, sf_dir)
+    L = lines(spark, sf_dir, where)
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     sign = F.when(flag == "A", F.lit(-1)).otherwise(F.lit(1))
     category = _case(F.col("l_linenumber"), LINE_CATEGORY, OTHER_CATEGORY)
@@ -130,9 +135,9 @@ def movements_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def deaths_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def deaths_raw(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Mortality list report (A3 shape)."""
-    L = lines(spark, sf_dir).filter(F.col("l_linenumber").isin(3, 4))
+    L = lines(spark, sf_dir, where).filter(F.col("l_linenumber").isin(3, 4))
     category = F.when(F.col("l_linenumber") == 3, F.lit("Death")).otherwise(F.lit("Euthanize"))
     return L.select(
         "group_num",
@@ -144,9 +149,9 @@ def deaths_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def carcass(spark: SparkSession, sf_dir: str) -> DataFrame:
+def carcass(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Carcass detail sheet (A5 detail shape): three carcass rows per line."""
-    L = lines(spark, sf_dir)
+    L = lines(spark, sf_dir, where)
     k = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k")
     base = L.select("*", k)
     qty = F.col("l_quantity").cast("decimal(10,2)")
@@ -176,9 +181,9 @@ def carcass(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loads(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Sales header sheet (A5 header shape): one row per (group, tattoo, kill date)."""
-    L = lines(spark, sf_dir)
+    L = lines(spark, sf_dir, where)
     return L.select(
         "group_num",
         F.col("d").alias("kill_date"),
@@ -187,8 +192,8 @@ def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
-def _ingredient_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    L = lines(spark, sf_dir)
+def _ingredient_base(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    L = lines(spark, sf_dir, where)
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return (
@@ -208,9 +213,9 @@ def _ingredient_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 ID_HEADERS = ["Order ID", "Group", "Diet", "Delivery Date", "Mill"]
 
 
-def ingredient_qty(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ingredient_qty(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Wide quantity sheet: measure headers carry a unit, ``'<name> (<unit>)'``."""
-    b = _ingredient_base(spark, sf_dir)
+    b = _ingredient_base(spark, sf_dir, where)
     q = F.col("l_quantity").cast("decimal(18,4)")
     return b.select(
         *[F.col(f"`{h}`") for h in ID_HEADERS],
@@ -220,9 +225,9 @@ def ingredient_qty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ingredient_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ingredient_cost(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Wide cost sheet: repeated headers carry a ``.1`` copy suffix."""
-    b = _ingredient_base(spark, sf_dir)
+    b = _ingredient_base(spark, sf_dir, where)
     p = F.col("l_extendedprice").cast("decimal(18,2)")
     return b.select(
         *[F.col(f"`{h}`") for h in ID_HEADERS],
