@@ -17,7 +17,7 @@ def _c(c: str | Column) -> Column:
 
 def serial_to_date(n: str | Column) -> Column:
     """Spreadsheet serial day number to DATE (F11): 42370 -> 2016-01-01."""
-    days = F.floor(_c(n).cast("double")).cast("int")
+    days = F.floor(_c(n).try_cast("double")).cast("int")
     return F.date_add(F.to_date(F.lit(SERIAL_EPOCH)), days)
 
 
@@ -26,6 +26,17 @@ def half_even(c: str | Column, digits: int) -> Column:
     return F.bround(_c(c), digits)
 
 
+def half_even_float(c: str | Column, digits: int) -> Column:
+    """Half-even rounding of a floating value at its scaled binary value.
+
+    ``rint(x * 10^d) / 10^d``: the same result as the spreadsheet-era float
+    rounding of the reference and as DuckDB's ``round_even`` on doubles.  Use
+    ``half_even`` for DECIMAL values (exact).
+    """
+    scale = float(10 ** digits)
+    return F.rint(_c(c).cast("double") * F.lit(scale)) / F.lit(scale)
+
+
 def ratio(num: str | Column, den: str | Column) -> Column:
     """Division that yields NULL for a zero or NULL denominator."""
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))

@@ -472,9 +472,16 @@ GROUP BY order_id, ingredient HAVING count(*) > 1""",
         "semi_join_groups": f"""WITH {LINES},{movements_fact_cte()},{GROUPS_BASE},{_actual_keys_cte()}
 SELECT {_movement_cast()} FROM movements_fact WHERE group_num IN (SELECT group_num FROM keyset)""",
         "tsv_export": _tsv_export(),
+        **_forms(),
     }
 
 
+def _forms() -> dict[str, str]:
+    from martforge.oracle_forms import oracle_forms
+
+    return oracle_forms()
+
+
 def _budget_cast() -> str:
     from martforge.plans.budgets import BUDGET_OUT
 

@@ -16,7 +16,10 @@ from martforge import params as P
 from martforge.functions.calendar import lookback_start
 from martforge.operators import maintenance as mt
 from martforge.operators import quality as qa
+from martforge.operators import forms as fm
 from martforge.plans import budgets as bd
+from martforge.plans import closeouts as co
+from martforge.sources.layout import layout_df
 from martforge.sinks.export import tsv_lines
 from martforge.functions.text import header_without_unit
 from martforge.operators import dedup, dimsync
@@ -170,6 +173,36 @@ def q_tsv_export(spark: SparkSession, d: str) -> DataFrame:
     return tsv_lines(q_movements(spark, d))
 
 
+def closeout_parts(spark: SparkSession, d: str) -> co.CloseoutParts:
+    return co.CloseoutParts(td.cells(spark, d), layout_df(spark))
+
+
+def q_form_sections(spark: SparkSession, d: str) -> DataFrame:
+    return co.form_sections(td.cells(spark, d))
+
+
+def q_form_extract(spark: SparkSession, d: str) -> DataFrame:
+    return closeout_parts(spark, d).values.select("file_id", "header_str", "value")
+
+
+def q_form_totals(spark: SparkSession, d: str) -> DataFrame:
+    t = closeout_parts(spark, d).totals
+    return t.select("file_id", "header_str", F.col("value").cast(fm.CELL_VALUE).alias("value"))
+
+
+def q_form_ratios(spark: SparkSession, d: str) -> DataFrame:
+    return fm.rounded_ratios(closeout_parts(spark, d).ratios)
+
+
+def q_form_pivot(spark: SparkSession, d: str) -> DataFrame:
+    p = closeout_parts(spark, d)
+    return fm.pivot_numeric(p.files(), p.numeric(), co.NUMERIC_HEADERS)
+
+
+def q_closeouts(spark: SparkSession, d: str) -> DataFrame:
+    return closeout_parts(spark, d).wide()
+
+
 def queries() -> dict[str, Query]:
     return {
         "movements": q_movements,
@@ -193,4 +226,10 @@ def queries() -> dict[str, Query]:
         "fk_orphans": q_fk_orphans,
         "semi_join_groups": q_semi_join_groups,
         "tsv_export": q_tsv_export,
+        "form_sections": q_form_sections,
+        "form_extract": q_form_extract,
+        "form_totals": q_form_totals,
+        "form_ratios": q_form_ratios,
+        "form_pivot": q_form_pivot,
+        "closeouts": q_closeouts,
     }

@@ -272,3 +272,137 @@ def budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
         expr = cols.get(f.name, F.lit(None))
         out.append(expr.cast(f.dataType).alias(f.name))
     return j.select(*out)
+
+
+# ---------------------------------------------------------------------------
+# Closeout forms: one form per group as a cell table (file_id, row, col, value).
+# ---------------------------------------------------------------------------
+# Fixture choices: rows of the section titles, the label of each order
+# priority (IN section) and line number (OUT section).
+ANCHOR_ROWS = [0, 10, 20, 36, 42, 50, 56, 62, 68]
+DECOY_ROW = 9  # a later section's title appearing early, which the anchor search must skip
+PRIORITY_LABEL = {1: "Gilt Arrival To Iso", 2: "Purchase Wean Pigs", 3: "Transfer Feeder Pig",
+                  4: "Purchase Wean Pigs", 5: "Other In"}
+LINE_LABEL = {1: "Standard Market Sale", 2: "Discount Market Hog", 3: "Deaths", 4: "Yard Dead",
+              5: "Dead On Transport", 6: "Transfer Feeder Pig", 7: "Gilt Sale External"}
+
+
+def _cell(row, col, value) -> Column:
+    r = F.lit(row) if isinstance(row, int) else row
+    c = F.lit(col) if isinstance(col, int) else col
+    v = F.lit(value) if isinstance(value, str) else value
+    return F.struct(r.cast("int").alias("row_no"), c.cast("int").alias("col_no"), v.cast("string").alias("value"))
+
+
+def _explode_cells(df: DataFrame, cells: list[Column]) -> DataFrame:
+    return df.select("file_id", F.explode(F.array(*cells)).alias("c")).select(
+        "file_id", "c.row_no", "c.col_no", "c.value")
+
+
+def _dec(x: str) -> Column:
+    return F.lit(x).cast(f"decimal({max(len(x), 3)},{len(x.split('.')[1]) if '.' in x else 0})")
+
+
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closeout forms (A6 shape), built from each group's orders and lines."""
+    from martforge.schemas import CLOSEOUT_FIXED
+    from martforge.sources.layout import SECTION_LABELS, fixed_position
+
+    g = _groups_keyed(spark, sf_dir)
+    o = read_table(spark, sf_dir, "orders")
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    og = o.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.sum(F.when(F.col("o_orderstatus") == "P", 1).otherwise(0)).alias("n_p"),
+        F.sum(price).alias("tot"),
+    )
+    L = lines(spark, sf_dir)
+    lp = F.col("l_extendedprice").cast("decimal(18,2)")
+    lg = L.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum(lp).alias("ext"),
+        F.sum(F.col("l_tax").cast("decimal(4,2)") * lp).alias("taxed"),
+        F.sum(F.when(F.col("l_linenumber") == 1, lp)).alias("r1"),
+    )
+    base = (g.join(og, g.c_custkey == og.o_custkey).drop("o_custkey")
+            .join(lg, g.c_custkey == lg.o_custkey).drop("o_custkey")
+            .withColumn("file_id", F.col("group_num")))
+    pos = {name: fixed_position(i) for i, (name, _) in enumerate(CLOSEOUT_FIXED)}
+    epoch = F.to_date(F.lit("1899-12-30"))
+    nl, no = F.col("n_lines"), F.col("n_orders")
+    fixed = {
+        "group_num": F.concat(F.lit("Group: "), F.col("group_num")),
+        "business_unit": F.concat(F.lit("Unit: U"), (F.col("c_custkey") % 4).cast("string")),
+        "producer": F.concat(F.lit("Producer: "), F.col("producer")),
+        "start_date": F.datediff(F.col("open_date"), epoch).cast("string"),
+        "close_date": F.coalesce(F.datediff(F.col("close_date"), epoch).cast("string"), F.lit("")),
+        "group_type": F.col("group_type"),
+        "site": F.col("site"),
+        "barn": F.col("barn"),
+        "capacity": (no * 25).cast("string"),
+    }
+    per_group = [_cell(r, 0, t) for r, t in zip(ANCHOR_ROWS, SECTION_LABELS)]
+    per_group.append(_cell(DECOY_ROW, 0, SECTION_LABELS[7]))
+    per_group += [_cell(pos[k][0], pos[k][1], v) for k, v in fixed.items()]
+    per_group += [
+        _cell(17, 0, "Totals Summary Pigs"), _cell(17, 3, no.cast("string")),
+        _cell(29, 0, "Totals Summary Pigs"), _cell(29, 3, nl.cast("string")),
+        _cell(38, 0, "Inventory Adjustment"), _cell(38, 3, F.col("n_p").cast("string")),
+        _cell(38, 5, F.concat(F.lit("-"), (F.col("n_p") * 10).cast("string"))), _cell(38, 6, "12.5"),
+        _cell(44, 0, "Fcr"), _cell(44, 3, _dec("2.5") + _dec("0.01") * (nl % 50)),
+        _cell(44, 5, _dec("2.6") + _dec("0.01") * (nl % 50)),
+        _cell(44, 6, "Avg Dof"), _cell(44, 8, _dec("100.5") + nl % 60),
+        _cell(45, 0, "Mortality"), _cell(45, 3, _dec("0.001") * (nl % 97)), _cell(45, 5, _dec("0.001") * (nl % 89)),
+        _cell(45, 6, "Total Location Days"), _cell(45, 8, (F.lit(120) + nl % 30).cast("string")),
+        _cell(46, 0, "Adg"), _cell(46, 3, _dec("1.5") + _dec("0.01") * (nl % 10)),
+        _cell(46, 5, _dec("1.55") + _dec("0.01") * (nl % 10)),
+        _cell(46, 6, "Number Pigs Started"), _cell(46, 8, (no * 20).cast("string")),
+        _cell(47, 6, "Avg Wt Pigs Started"), _cell(47, 8, _dec("12.5") + no % 7),
+        _cell(52, 0, "Total Feed"), _cell(52, 3, F.col("ext") * _dec("0.0001")),
+        _cell(52, 5, F.col("ext") * _dec("0.0002")), _cell(52, 8, nl * 1000),
+        _cell(53, 0, "Feed Ingredient"), _cell(53, 3, F.col("taxed") * _dec("0.01")),
+        _cell(53, 10, "Avg Kcal Lb"), _cell(53, 12, "1.5"),
+        _cell(58, 0, "Standard Market Sale"), _cell(58, 8, F.col("r1")),
+        _cell(59, 0, "Total Income"), _cell(59, 8, F.col("tot") - F.col("ext")),
+        _cell(64, 0, "Feed Delivery"), _cell(64, 8, nl * _dec("12.5")),
+        _cell(65, 0, "Total Expenses"), _cell(65, 8, F.col("taxed")),
+    ]
+    fixed_cells = _explode_cells(base, per_group)
+
+    # IN section: one row per order priority.
+    p = F.substring("o_orderpriority", 1, 1).cast("int")
+    pin = (o.withColumn("p", p).groupBy("o_custkey", "p")
+           .agg(F.count(F.lit(1)).alias("cnt"), F.sum(price).alias("rec"))
+           .withColumn("file_id", F.concat(F.lit("G"), F.col("o_custkey").cast("string"))))
+    cnt, rec, pc = F.col("cnt"), F.col("rec"), F.col("p")
+    prio_label = None
+    for k, v in PRIORITY_LABEL.items():
+        prio_label = F.when(pc == k, F.lit(v)) if prio_label is None else prio_label.when(pc == k, F.lit(v))
+    row = pc + 11
+    in_cells = _explode_cells(pin, [
+        _cell(row, 0, prio_label),
+        _cell(row, 3, F.when((pc == 3) & (cnt == 1), F.lit("-")).otherwise(cnt.cast("string"))),
+        _cell(row, 5, (cnt * 55 + pc).cast("string")),
+        _cell(row, 8, F.when((pc == 2) & (cnt == 2), F.lit(""))
+              .when((pc == 1) & (cnt >= 3), F.concat(F.lit("-"), rec.cast("string")))
+              .otherwise(rec.cast("string"))),
+        _cell(row, 10, cnt * _dec("2.5")),
+    ])
+
+    # OUT section: one row per line number.
+    n = F.col("l_linenumber")
+    lout = (L.groupBy("group_num", "l_linenumber")
+            .agg(F.count(F.lit(1)).alias("cnt"), F.sum(F.col("l_quantity").cast("int")).alias("q"),
+                 F.sum(lp).alias("rec"))
+            .withColumnRenamed("group_num", "file_id"))
+    line_label = None
+    for k, v in LINE_LABEL.items():
+        line_label = F.when(n == k, F.lit(v)) if line_label is None else line_label.when(n == k, F.lit(v))
+    row = n + 21
+    out_cells = _explode_cells(lout, [
+        _cell(row, 0, line_label),
+        _cell(row, 3, F.when(n == 4, F.concat(F.lit("-"), cnt.cast("string"))).otherwise(cnt.cast("string"))),
+        _cell(row, 5, F.when((n == 3) & (cnt == 1), F.lit("")).otherwise((F.col("q") * 2).cast("string"))),
+        _cell(row, 8, F.when(n == 3, F.lit("-")).otherwise(rec.cast("string"))),
+    ])
+    return fixed_cells.unionByName(in_cells).unionByName(out_cells)
