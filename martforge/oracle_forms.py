@@ -99,7 +99,7 @@ fbase AS (
   SELECT gk.*, og.n_orders, og.n_p, og.tot, lg.n_lines, lg.ext, lg.taxed, lg.r1, gk.group_num AS file_id
   FROM gk JOIN og ON gk.c_custkey = og.o_custkey JOIN lg ON gk.c_custkey = lg.o_custkey
 ),
-pin AS (
+prio_in AS (
   SELECT 'G' || CAST(o_custkey AS VARCHAR) AS file_id, p, count(*) AS cnt,
          sum(CAST(o_totalprice AS DECIMAL(18,2))) AS rec
   FROM (SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS p FROM orders) x
@@ -112,13 +112,13 @@ lout AS (
 ),
 cells AS (
   {per_group}
-  UNION ALL SELECT file_id, p + 11, 0, CASE p {plabel} END FROM pin
-  UNION ALL SELECT file_id, p + 11, 3, CASE WHEN p = 3 AND cnt = 1 THEN '-' ELSE CAST(cnt AS VARCHAR) END FROM pin
-  UNION ALL SELECT file_id, p + 11, 5, CAST(cnt * 55 + p AS VARCHAR) FROM pin
+  UNION ALL SELECT file_id, p + 11, 0, CASE p {plabel} END FROM prio_in
+  UNION ALL SELECT file_id, p + 11, 3, CASE WHEN p = 3 AND cnt = 1 THEN '-' ELSE CAST(cnt AS VARCHAR) END FROM prio_in
+  UNION ALL SELECT file_id, p + 11, 5, CAST(cnt * 55 + p AS VARCHAR) FROM prio_in
   UNION ALL SELECT file_id, p + 11, 8, CASE WHEN p = 2 AND cnt = 2 THEN ''
                                            WHEN p = 1 AND cnt >= 3 THEN '-' || CAST(rec AS VARCHAR)
-                                           ELSE CAST(rec AS VARCHAR) END FROM pin
-  UNION ALL SELECT file_id, p + 11, 10, CAST(cnt * {_d('2.5')} AS VARCHAR) FROM pin
+                                           ELSE CAST(rec AS VARCHAR) END FROM prio_in
+  UNION ALL SELECT file_id, p + 11, 10, CAST(cnt * {_d('2.5')} AS VARCHAR) FROM prio_in
   UNION ALL SELECT file_id, n + 21, 0, CASE n {llabel} END FROM lout
   UNION ALL SELECT file_id, n + 21, 3, CASE WHEN n = 4 THEN '-' || CAST(cnt AS VARCHAR) ELSE CAST(cnt AS VARCHAR) END FROM lout
   UNION ALL SELECT file_id, n + 21, 5, CASE WHEN n = 3 AND cnt = 1 THEN '' ELSE CAST(q * 2 AS VARCHAR) END FROM lout
@@ -253,7 +253,8 @@ def forms_with() -> str:
     return f"WITH {LINES},{GROUPS_BASE},{layout_cte()},{cells_cte()},{anchors_cte()},{values_cte()}"
 
 
-def closeouts_sql() -> str:
+def closeouts_cte() -> str:
+    """``closeouts_wide``: the typed 256-column closeout table (needs ``forms_with``)."""
     from martforge.plans.closeouts import CLOSEOUT_OUT, FIXED_HEADERS
 
     num_cols, fix_cols = [], []
@@ -269,15 +270,20 @@ def closeouts_sql() -> str:
                 v = f"round_even({v}, 0)"
             num_cols.append(f"CAST({v} AS {t}) AS {f.name}")
     order = ", ".join(f.name for f in CLOSEOUT_OUT.fields if f.name != "group_id")
-    return forms_with() + f""",
+    zero = ", ".join(_zero_default(f) for f in CLOSEOUT_OUT.fields
+                     if f.name != "group_id" and f.name not in FIXED_HEADERS)
+    return f"""
 wn AS (SELECT file_id, {', '.join(num_cols)} FROM numeric_long GROUP BY file_id),
 wf AS (SELECT file_id, {', '.join(fix_cols)} FROM fixed_long GROUP BY file_id),
-wn0 AS (
-  SELECT a.file_id, {', '.join(_zero_default(f) for f in CLOSEOUT_OUT.fields if f.name != 'group_id' and f.name not in FIXED_HEADERS)}
-  FROM anchors a LEFT JOIN wn ON wn.file_id = a.file_id
-)
-SELECT CAST(wn0.file_id AS VARCHAR) AS group_id, {order}
-FROM wn0 LEFT JOIN wf ON wf.file_id = wn0.file_id"""
+wn0 AS (SELECT a.file_id, {zero} FROM anchors a LEFT JOIN wn ON wn.file_id = a.file_id),
+closeouts_wide AS (
+  SELECT CAST(wn0.file_id AS VARCHAR) AS group_id, {order}
+  FROM wn0 LEFT JOIN wf ON wf.file_id = wn0.file_id
+)"""
+
+
+def closeouts_sql() -> str:
+    return forms_with() + "," + closeouts_cte() + "\nSELECT * FROM closeouts_wide"
 
 
 def _zero_default(f) -> str:

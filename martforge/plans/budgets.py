@@ -28,3 +28,53 @@ def actuals_key_set(groups: DataFrame, start: _dt.date | str, *, excluded_produc
     if excluded_producer is not None:
         pred = pred & (F.col("producer") != F.lit(excluded_producer))
     return groups.filter(pred).select("group_num")
+
+
+def closeout_candidates(groups: DataFrame, start: _dt.date | str, exclude_token: str) -> DataFrame:
+    """Groups opened in the window whose code does not contain a token (D10: P8, P11, O1)."""
+    from martforge.functions.text import not_contains_ci
+
+    return (groups.filter(date_slice("open_date", start) & not_contains_ci("group_num", exclude_token))
+            .select("group_num").orderBy("group_num"))
+
+
+RATE_COLS = ["feed_grinding_rate", "feed_delivery_rate", "trucking_market_rate", "trucking_feeder_rate",
+             "rent_cost_week", "overhead_cost_pig"]
+
+
+def budget_actuals(groups: DataFrame, closeouts: DataFrame, sales: DataFrame, budgets: DataFrame,
+                   ingredients: DataFrame, movements: DataFrame, *, start: _dt.date | str,
+                   excluded_producer: str | None, group_types: Sequence[str], home_mill: str,
+                   corrected: bool = False) -> DataFrame:
+    """The 44-column actuals row per group, in the declared budget column order.
+
+    Each source is restricted to the key set by a semi-join and reduced to
+    one row per ``group_num`` before any join, so the six left joins never
+    multiply rows and all run on the same key (AQE keeps one partitioning or
+    broadcasts the small sides).  The reference's five separate joins to the
+    budget rates become one.  Unmatched numeric measures become 0; text and
+    dates stay NULL (quirks Q9, Q10, Q20).
+    """
+    from martforge.operators import stats
+
+    keys = actuals_key_set(groups, start, excluded_producer=excluded_producer, group_types=group_types)
+
+    def only(df: DataFrame) -> DataFrame:
+        return df.join(keys, "group_num", "left_semi")
+
+    base = keys.withColumns({
+        "budget_type": F.lit("actual"),
+        "budget_id": F.concat(F.col("group_num"), F.lit("-actual")),
+    })
+    parts = [
+        stats.closeout_metrics(only(closeouts), corrected=corrected),
+        stats.sales_stats(only(sales)),
+        stats.load_stddev_avg(only(sales)),
+        only(budgets.filter(F.col("budget_type") == "budget")).select("group_num", *RATE_COLS),
+        stats.avg_delivery_tons(only(ingredients), home_mill),
+        stats.movement_load_avgs(only(movements)),
+    ]
+    df = base
+    for p in parts:
+        df = df.join(p, "group_num", "left")
+    return to_schema(df, BUDGET_OUT).na.fill(0)

@@ -16,6 +16,7 @@ from martforge import params as P
 from martforge.functions.calendar import lookback_start
 from martforge.operators import maintenance as mt
 from martforge.operators import quality as qa
+from martforge.operators import stats as st
 from martforge.operators import forms as fm
 from martforge.plans import budgets as bd
 from martforge.plans import closeouts as co
@@ -203,6 +204,84 @@ def q_closeouts(spark: SparkSession, d: str) -> DataFrame:
     return closeout_parts(spark, d).wide()
 
 
+def _dec(c: str, t: str = "decimal(18,4)"):
+    return F.col(c).cast(t).alias(c)
+
+
+def movements_table(spark: SparkSession, d: str) -> DataFrame:
+    """The stored movement fact: movement report rows plus mortality rows."""
+    return q_movements(spark, d).unionByName(q_deaths(spark, d))
+
+
+def q_sales_stats(spark: SparkSession, d: str) -> DataFrame:
+    s = st.sales_stats(q_sales(spark, d))
+    return s.select("group_num", _dec("yield_per"), _dec("lean_per"), _dec("market_std_dev_carcass_wt"))
+
+
+def q_load_stddev_avg(spark: SparkSession, d: str) -> DataFrame:
+    return st.load_stddev_avg(q_sales(spark, d)).select("group_num", _dec("load_avg_std_dev_carcass_wt"))
+
+
+def q_avg_delivery_tons(spark: SparkSession, d: str) -> DataFrame:
+    t = st.avg_delivery_tons(q_ingredients(spark, d), P.HOME_MILL)
+    return t.select("group_num", _dec("avg_feed_delivery_ton", "decimal(18,1)"))
+
+
+def q_movement_load_avgs(spark: SparkSession, d: str) -> DataFrame:
+    m = st.movement_load_avgs(movements_table(spark, d))
+    return m.select("group_num", _dec("avg_trucking_market_pig", "decimal(18,1)"),
+                    _dec("avg_trucking_feeder_pig", "decimal(18,1)"))
+
+
+def q_closeout_metrics(spark: SparkSession, d: str) -> DataFrame:
+    m = st.closeout_metrics(q_closeouts(spark, d))
+    types = {f.name: f.dataType for f in bd.BUDGET_OUT.fields}
+    return m.select(*[F.col(c).cast(types[c]).alias(c) for c in m.columns])
+
+
+def _actuals(spark: SparkSession, d: str, start) -> DataFrame:
+    return bd.budget_actuals(
+        td.groups(spark, d), q_closeouts(spark, d), q_sales(spark, d), td.budgets(spark, d),
+        q_ingredients(spark, d), movements_table(spark, d), start=start,
+        excluded_producer=P.EXCLUDED_PRODUCER, group_types=P.ACTUALS_GROUP_TYPES, home_mill=P.HOME_MILL)
+
+
+def q_budget_actuals(spark: SparkSession, d: str) -> DataFrame:
+    return _actuals(spark, d, start_of("budget_actuals"))
+
+
+# The previous actuals run covered a window one year longer.
+PREVIOUS_RUN_EXTRA_DAYS = 365
+
+
+def q_slice_replace_budgets(spark: SparkSession, d: str) -> DataFrame:
+    start = start_of("budget_actuals")
+    old = _actuals(spark, d, lookback_start(start, PREVIOUS_RUN_EXTRA_DAYS))
+    target = bd.budget_init(td.budgets(spark, d)).unionByName(old)
+    batch = _actuals(spark, d, start)
+    pred = mt.date_slice("start_date", start) & (F.col("budget_type") == "actual")
+    return mt.replace_slice(target, batch, pred)
+
+
+def q_slice_replace_closeouts(spark: SparkSession, d: str) -> DataFrame:
+    start = start_of("closeouts")
+    layout = layout_df(spark)
+    target = co.closeouts(td.cells(spark, d, old_load()), layout)
+    opened = td.groups(spark, d).filter(mt.date_slice("open_date", start)).select("group_num")
+    batch = co.closeouts(td.cells(spark, d), layout).join(opened, "group_num", "left_semi")
+    return mt.replace_slice(target, batch, mt.date_slice("start_date", start))
+
+
+def q_closeout_candidates(spark: SparkSession, d: str) -> DataFrame:
+    return bd.closeout_candidates(td.groups(spark, d), start_of("closeouts"), P.CANDIDATE_EXCLUDE_TOKEN)
+
+
+def q_typed_load_rejects(spark: SparkSession, d: str) -> DataFrame:
+    from martforge.schemas import CLOSEOUTS, VARCHAR_LEN
+
+    return qa.load_report(q_closeouts(spark, d), CLOSEOUTS, ["group_id"], VARCHAR_LEN["closeouts"])
+
+
 def queries() -> dict[str, Query]:
     return {
         "movements": q_movements,
@@ -232,4 +311,14 @@ def queries() -> dict[str, Query]:
         "form_ratios": q_form_ratios,
         "form_pivot": q_form_pivot,
         "closeouts": q_closeouts,
+        "sales_stats": q_sales_stats,
+        "load_stddev_avg": q_load_stddev_avg,
+        "avg_delivery_tons": q_avg_delivery_tons,
+        "movement_load_avgs": q_movement_load_avgs,
+        "closeout_metrics": q_closeout_metrics,
+        "budget_actuals": q_budget_actuals,
+        "slice_replace_budgets": q_slice_replace_budgets,
+        "slice_replace_closeouts": q_slice_replace_closeouts,
+        "closeout_candidates": q_closeout_candidates,
+        "typed_load_rejects": q_typed_load_rejects,
     }

@@ -196,9 +196,10 @@ def closeout_columns() -> list[tuple[str, T.DataType]]:
 
 
 CLOSEOUTS = struct(closeout_columns())
-for _n, _ in CLOSEOUT_FIXED:
-    if _n in ("group_num",):
-        VARCHAR_LEN.setdefault("closeouts", {})[_n] = 25
+# Declared lengths of the closeout text columns: 50, except the two keys of 25.
+for _n, _t in CLOSEOUT_FIXED:
+    if isinstance(_t, T.StringType):
+        VARCHAR_LEN.setdefault("closeouts", {})[_n] = 25 if _n in ("group_num", "group_type") else 50
 VARCHAR_LEN.setdefault("closeouts", {})["group_id"] = 50
 
 TABLES = {

@@ -303,8 +303,12 @@ def _dec(x: str) -> Column:
     return F.lit(x).cast(f"decimal({max(len(x), 3)},{len(x.split('.')[1]) if '.' in x else 0})")
 
 
-def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closeout forms (A6 shape), built from each group's orders and lines."""
+def cells(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """Closeout forms (A6 shape), built from each group's orders and lines.
+
+    ``where`` restricts the line items the forms summarise (an earlier
+    version of the same forms).
+    """
     from martforge.schemas import CLOSEOUT_FIXED
     from martforge.sources.layout import SECTION_LABELS, fixed_position
 
@@ -316,7 +320,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.when(F.col("o_orderstatus") == "P", 1).otherwise(0)).alias("n_p"),
         F.sum(price).alias("tot"),
     )
-    L = lines(spark, sf_dir)
+    L = lines(spark, sf_dir, where)
     lp = F.col("l_extendedprice").cast("decimal(18,2)")
     lg = L.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
