@@ -479,8 +479,9 @@ SELECT {_movement_cast()} FROM movements_fact WHERE group_num IN (SELECT group_n
 def _forms() -> dict[str, str]:
     from martforge.oracle_forms import oracle_forms
     from martforge.oracle_marts import oracle_marts
+    from martforge.oracle_misc import oracle_misc
 
-    return {**oracle_forms(), **oracle_marts()}
+    return {**oracle_forms(), **oracle_marts(), **oracle_misc()}
 
 
 def _budget_cast() -> str:

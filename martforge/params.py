@@ -29,3 +29,17 @@ EXCLUDED_PRODUCER = "FRANCE"
 CANDIDATE_EXCLUDE_TOKEN = "G1"
 ACTUALS_GROUP_TYPES = ("Finishing", "Wean to Finish")
 HOME_MILL = "Home Mill"
+
+# Report-slice parameters (G1-G7).  "All ..." values mean "no filter".
+SLICE_START = "2000-01-01"
+SLICE_END = "2000-12-31"
+SLICE_SITE = "Site 3"
+SLICE_PRODUCER = "NATION_3"
+SLICE_MILLS = ("Home Mill", "Supplier#000000001", "Supplier#000000002")
+SLICE_WEEKS = ("1998 10", "1998 40")
+SLICE_PLANTS = ("P0", "P2")
+
+# Report export fixture (S1, S11): banner rows per file and the file token picked up.
+REPORT_BANNER_ROWS = 3
+REPORT_FILES = 4
+REPORT_TOKEN = "orders_part1"

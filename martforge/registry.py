@@ -18,7 +18,13 @@ from martforge.operators import maintenance as mt
 from martforge.operators import quality as qa
 from martforge.operators import stats as st
 from martforge.operators import forms as fm
+from martforge.functions.calendar import calendar_columns
+from martforge.operators import report_slices as rs
 from martforge.plans import budgets as bd
+from martforge.plans import diets as dt
+from martforge.sources import catalog as cat
+from martforge.sources import fixtures as fx
+from martforge.sources import reports as rp
 from martforge.plans import closeouts as co
 from martforge.sources.layout import layout_df
 from martforge.sinks.export import tsv_lines
@@ -282,6 +288,92 @@ def q_typed_load_rejects(spark: SparkSession, d: str) -> DataFrame:
     return qa.load_report(q_closeouts(spark, d), CLOSEOUTS, ["group_id"], VARCHAR_LEN["closeouts"])
 
 
+# --- sources: report exports and JSON -------------------------------------
+
+REPORT_ORDINALS = [0, 1, 5, 3]
+REPORT_NAMES = ["order_id", "customer", "priority", "total"]
+
+
+def q_report_scan(spark: SparkSession, d: str) -> DataFrame:
+    lines = td.order_report_lines(spark, d)
+    picked = lines.filter(F.col("file_path").contains(P.REPORT_TOKEN))
+    return rp.parse_report_lines(picked, skip_rows=P.REPORT_BANNER_ROWS, ordinals=REPORT_ORDINALS,
+                                 names=REPORT_NAMES)
+
+
+def q_json_dimension(spark: SparkSession, d: str) -> DataFrame:
+    return cat.with_all_member(cat.parse_dimension(td.site_dimension_docs(spark, d)), "All Sites")
+
+
+def q_catalog_flatten(spark: SparkSession, d: str) -> DataFrame:
+    return cat.flatten_catalog(td.catalog_docs(spark, d))
+
+
+# --- report slices -----------------------------------------------------------
+
+def q_slice_group_detail(spark: SparkSession, d: str) -> DataFrame:
+    c = q_closeouts(spark, d).join(q_closeout_candidates(spark, d), "group_num", "left_semi")
+    return c.select("group_id", "group_num", "start_date", "close_date", "totals_summary_pigs_in_number",
+                    "totals_summary_pigs_out_number", "standard_market_sale_out_receipts")
+
+
+def q_slice_group_list(spark: SparkSession, d: str) -> DataFrame:
+    return rs.report_slice(td.groups(spark, d), equals={"status": "active", "group_type": "Finishing",
+                                                         "producer": "All Producers"})
+
+
+def q_slice_mortality(spark: SparkSession, d: str) -> DataFrame:
+    return rs.report_slice(q_deaths(spark, d), date_col="movement_date", start=P.SLICE_START, end=P.SLICE_END,
+                           groups=td.groups(spark, d), group_attrs={"producer": "All Producers",
+                                                                    "site": P.SLICE_SITE})
+
+
+def q_slice_movements(spark: SparkSession, d: str) -> DataFrame:
+    return rs.report_slice(q_movements(spark, d), date_col="movement_date", start=P.SLICE_START,
+                           end=P.SLICE_END, groups=td.groups(spark, d),
+                           group_attrs={"producer": P.SLICE_PRODUCER})
+
+
+def q_slice_ingredients(spark: SparkSession, d: str) -> DataFrame:
+    return rs.report_slice(q_ingredients(spark, d), date_col="delivery_date", start=P.SLICE_START,
+                           end=P.SLICE_END, equals={"mill": P.HOME_MILL, "diet": "All Diet Types"},
+                           groups=td.groups(spark, d),
+                           group_attrs={"producer": "All Producers", "site": "All Sites",
+                                        "group_type": "Wean to Finish"})
+
+
+def q_slice_feed_usage(spark: SparkSession, d: str) -> DataFrame:
+    f = q_ingredients(spark, d).filter(rs.week_range("delivery_week", *P.SLICE_WEEKS))
+    return rs.report_slice(f, in_lists={"mill": list(P.SLICE_MILLS)})
+
+
+def q_slice_sales(spark: SparkSession, d: str) -> DataFrame:
+    return rs.report_slice(q_sales(spark, d), date_col="kill_date", start=P.SLICE_START, end=P.SLICE_END,
+                           in_lists={"plant": list(P.SLICE_PLANTS)}, groups=td.groups(spark, d),
+                           group_attrs={"producer": "All Producers"})
+
+
+# --- diets and scalar-function coverage -----------------------------------------
+
+def q_diets(spark: SparkSession, d: str) -> DataFrame:
+    return dt.diets(td.diet_sheet(spark, d))
+
+
+def q_calendar_columns(spark: SparkSession, d: str) -> DataFrame:
+    o = td.read_table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
+    legacy = o.withColumns(calendar_columns("order_date", "order"))
+    iso = calendar_columns("order_date", "order", iso=True)["order_week"]
+    return legacy.withColumn("order_week_iso", iso)
+
+
+def q_text_normalise(spark: SparkSession, d: str) -> DataFrame:
+    return fx.text_fixture(td.read_table(spark, d, "part"))
+
+
+def q_metric_math(spark: SparkSession, d: str) -> DataFrame:
+    return fx.math_fixture(td.read_table(spark, d, "lineitem"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "movements": q_movements,
@@ -321,4 +413,18 @@ def queries() -> dict[str, Query]:
         "slice_replace_closeouts": q_slice_replace_closeouts,
         "closeout_candidates": q_closeout_candidates,
         "typed_load_rejects": q_typed_load_rejects,
+        "report_scan": q_report_scan,
+        "json_dimension": q_json_dimension,
+        "catalog_flatten": q_catalog_flatten,
+        "slice_group_detail": q_slice_group_detail,
+        "slice_group_list": q_slice_group_list,
+        "slice_mortality": q_slice_mortality,
+        "slice_movements": q_slice_movements,
+        "slice_ingredients": q_slice_ingredients,
+        "slice_feed_usage": q_slice_feed_usage,
+        "slice_sales": q_slice_sales,
+        "diets": q_diets,
+        "calendar_columns": q_calendar_columns,
+        "text_normalise": q_text_normalise,
+        "metric_math": q_metric_math,
     }

@@ -410,3 +410,68 @@ def cells(spark: SparkSession, sf_dir: str, where: Column | None = None) -> Data
         _cell(row, 8, F.when(n == 3, F.lit("-")).otherwise(rec.cast("string"))),
     ])
     return fixed_cells.unionByName(in_cells).unionByName(out_cells)
+
+
+# ---------------------------------------------------------------------------
+# Report exports, JSON documents and the diet sheet.
+# ---------------------------------------------------------------------------
+def order_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order list exported as CSV text split over several files, each with banner rows.
+
+    ``(file_path, line_no, line)`` as ``sources.reports.read_report_lines``
+    returns for files on disk.
+    """
+    from martforge.params import REPORT_BANNER_ROWS, REPORT_FILES
+
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    path = F.concat(F.lit("/reports/orders_part"), (k % REPORT_FILES).cast("string"), F.lit(".csv"))
+    data = o.select(
+        path.alias("file_path"),
+        (F.floor(k / REPORT_FILES).cast("long") + REPORT_BANNER_ROWS).cast("int").alias("line_no"),
+        F.concat_ws(",", k.cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus"),
+                    F.col("o_totalprice").cast("decimal(18,2)").cast("string"),
+                    F.col("o_orderdate").cast("date").cast("string"), F.col("o_orderpriority")).alias("line"),
+    )
+    files = data.select("file_path").distinct()
+    banner = files.select("file_path", F.explode(F.array(
+        F.struct(F.lit(0).alias("line_no"), F.lit("Order List").alias("line")),
+        F.struct(F.lit(1).alias("line_no"), F.concat(F.lit("Source: "), F.col("file_path")).alias("line")),
+        F.struct(F.lit(2).alias("line_no"), F.lit("Order,Customer,Status,Total,Date,Priority").alias("line")),
+    )).alias("b")).select("file_path", "b.line_no", "b.line")
+    return banner.unionByName(data)
+
+
+def site_dimension_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ``{"<site>": {"value": id}}`` document per customer; even ids as numbers, odd as text."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey").cast("string")
+    idv = F.when(F.col("c_custkey") % 2 == 0, k).otherwise(F.concat(F.lit('"'), k, F.lit('"')))
+    return c.select(F.concat(F.lit('{"'), F.col("c_name"), F.lit('": {"value": '), idv, F.lit("}}")).alias("text"))
+
+
+def catalog_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One menu-tree document per customer, leaves of mixed depth (1 to 3 keys)."""
+    c = read_table(spark, sf_dir, "customer")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    k = F.col("c_custkey").cast("string")
+    leaf = (F.when(F.col("c_custkey") % 3 == 0, k)
+            .when(F.col("c_custkey") % 3 == 1, F.concat(F.lit('{"value": "'), k, F.lit('"}')))
+            .otherwise(F.concat(F.lit('{"value": "'), k, F.lit('", "option_type": "button", "options": {"'),
+                                F.col("n_name"), F.lit('": '), F.col("n_regionkey").cast("string"), F.lit("}}"))))
+    text = F.concat(F.lit('{"'), F.col("c_mktsegment"), F.lit('": {"value": '), F.col("c_nationkey").cast("string"),
+                    F.lit(', "option_type": "option", "options": {"'), F.col("c_name"), F.lit('": '), leaf,
+                    F.lit("}}}"))
+    return j.select(text.alias("text"))
+
+
+def diet_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Diet delivery sheet, columns in report order (group, date, diet, quantity, mill, order, cost)."""
+    b = _ingredient_base(spark, sf_dir)
+    return b.select(
+        F.col("Group"), F.col("`Delivery Date`"), F.col("Diet"),
+        (F.col("l_quantity").cast("decimal(18,4)") * 100).cast("decimal(18,4)").alias("quantity"),
+        F.col("Mill"), F.col("`Order ID`"),
+        (F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(0.5).cast("decimal(2,1)")).alias("cost"),
+    )
