@@ -32,8 +32,8 @@ def partition_cells(cells: DataFrame, num_partitions: int | None = None) -> Data
     return cells.repartition(num_partitions, "file_id") if num_partitions else cells.repartition("file_id")
 
 
-def section_anchors(cells: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Row of each section title per form.
+def section_anchors(rows: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Row of each section title per form (W4), from the row records of ``form_rows``.
 
     Anchor k is the first row at or after anchor k-1 whose column-0 text is
     title k, so a title that also appears earlier in the form is skipped.
@@ -42,7 +42,8 @@ def section_anchors(cells: DataFrame, labels: Sequence[str]) -> DataFrame:
     title is missing: such forms go to ``rejected_forms``.
     """
     titles = (
-        cells.filter((F.col("col_no") == 0) & F.col("value").isin(*labels))
+        rows.select("file_id", "row_no", F.element_at("cols", F.lit(0)).alias("value"))
+        .filter(F.col("value").isin(*labels))
         .groupBy("file_id")
         .agg(F.collect_list(F.struct("row_no", "value")).alias("t"))
     )
@@ -60,7 +61,7 @@ def section_anchors(cells: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 def rejected_forms(cells: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Forms whose section titles are missing or out of order (the reference raises)."""
-    a = section_anchors(cells, labels)
+    a = section_anchors(form_rows(cells), labels)
     all_files = cells.select("file_id").distinct()
     return all_files.join(a.filter("complete"), "file_id", "left_anti")
 
@@ -80,8 +81,12 @@ def section_of(row_no: Column, anchors: Column, n_sections: int) -> Column:
 
 
 def form_rows(cells: DataFrame) -> DataFrame:
-    """One record per (form, row) with ``cols``: column number -> text."""
-    return cells.groupBy("file_id", "row_no").agg(
+    """One record per (form, row) with ``cols``: column number -> text.
+
+    This is the single shuffle of the cell table (hash-partitioned by form);
+    every later step reads these records, so the exchange is shared.
+    """
+    return partition_cells(cells).groupBy("file_id", "row_no").agg(
         F.map_from_entries(F.collect_list(F.struct("col_no", "value"))).alias("cols")
     )
 
@@ -92,7 +97,7 @@ def label_columns(layout: DataFrame) -> list[int]:
                   .select("col_no").distinct().collect())
 
 
-def labelled_values(cells: DataFrame, anchors: DataFrame, layout: DataFrame, label_cols: Sequence[int],
+def labelled_values(rows: DataFrame, anchors: DataFrame, layout: DataFrame, label_cols: Sequence[int],
                     n_sections: int, *, clip_negative: bool = True) -> DataFrame:
     """Long ``(file_id, header_str, category, adjust_str, column_str, value)``.
 
@@ -107,7 +112,7 @@ def labelled_values(cells: DataFrame, anchors: DataFrame, layout: DataFrame, lab
         .select("category", F.col("col_no").alias("label_col"), "search_str", "value_col", "header_str",
                 "adjust_str", "column_str")
     )
-    rows = form_rows(cells).join(anchors.filter("complete").select("file_id", "anchors"), "file_id")
+    rows = rows.join(anchors.filter("complete").select("file_id", "anchors"), "file_id")
     rows = rows.withColumn("section", section_of(F.col("row_no"), F.col("anchors"), n_sections))
     rows = rows.filter(F.col("section").isNotNull())
     cand = rows.select(
@@ -128,21 +133,26 @@ def labelled_values(cells: DataFrame, anchors: DataFrame, layout: DataFrame, lab
     )
 
 
-def fixed_values(cells: DataFrame, layout: DataFrame) -> DataFrame:
-    """Long ``(file_id, header_str, text)`` of the fixed cells (category 0).
+def fixed_wide(rows: DataFrame, layout_rows: Sequence[tuple]) -> DataFrame:
+    """One row per form with every fixed cell (category 0), as text.
 
     ``date`` cells hold a spreadsheet serial day (F11), ``split`` cells hold
-    ``'Label: value'`` (F18); other cells are taken as they are; empty
-    cells give NULL.  Dates come back as ISO text and are typed at the pivot.
+    ``'Label: value'`` (F18); other cells are taken as they are; empty cells
+    give NULL.  Positions are plan-time layout parameters, so this is one
+    aggregation per form over the row records (no join, no pivot).
     """
-    fx = F.broadcast(layout.filter("fixed").select("row_no", "col_no", "header_str", "data_type"))
-    c = cells.join(fx, ["row_no", "col_no"])
-    v, dt = F.col("value"), F.col("data_type")
-    text = (F.when(v.isNull() | (v == ""), F.lit(None).cast("string"))
-            .when(dt == "date", serial_to_date(v).cast("string"))
-            .when(dt == "split", after_colon(v))
-            .otherwise(v))
-    return c.select("file_id", "header_str", text.alias("text"))
+    aggs = []
+    for r in layout_rows:
+        if not r[4]:
+            continue
+        header, dtype, row_no, col_no = r[3], r[5], r[8], r[9]
+        v = F.element_at(F.col("cols"), F.lit(col_no))
+        text = (F.when(v.isNull() | (v == ""), F.lit(None).cast("string"))
+                .when(F.lit(dtype == "date"), serial_to_date(v).cast("string"))
+                .when(F.lit(dtype == "split"), after_colon(v))
+                .otherwise(v))
+        aggs.append(F.max(F.when(F.col("row_no") == row_no, text)).alias(header))
+    return rows.groupBy("file_id").agg(*aggs)
 
 
 def flow_totals(values: DataFrame, total_stem: str) -> DataFrame:
@@ -197,19 +207,6 @@ def flow_ratios(values: DataFrame, totals: DataFrame, layout: DataFrame, total_s
         "file_id", "header_str", F.col("x.r").alias("ratio"), "round_digits")
 
 
-def numeric_long(values: DataFrame, totals: DataFrame, ratios: DataFrame, layout: DataFrame) -> DataFrame:
-    """All numeric cells of a form, rounded once at the end (Q18, Q19)."""
-    digits = F.broadcast(layout.select("header_str", "round_digits"))
-    base = values.select("file_id", "header_str", "value").join(
-        totals.select("file_id", "header_str"), ["file_id", "header_str"], "left_anti"
-    ).unionByName(totals.select("file_id", "header_str", "value"))
-    base = base.join(digits, "header_str").select(
-        "file_id", "header_str",
-        _round_by(F.col("value"), F.col("round_digits")).cast(CELL_VALUE).alias("value"),
-    )
-    return base.unionByName(rounded_ratios(ratios))
-
-
 def rounded_ratios(ratios: DataFrame) -> DataFrame:
     """Ratios rounded half-even at their header's digits, as cell values."""
     return ratios.select(
@@ -219,41 +216,74 @@ def rounded_ratios(ratios: DataFrame) -> DataFrame:
     )
 
 
-# Digit counts the layout rule produces (from the declared column scales).
-ROUND_CHOICES = (1, 2, 4, 6)
-
-
-def _round_by(value: Column, digits: Column) -> Column:
-    """Half-even rounding to a per-row digit count (``bround`` needs a constant scale)."""
-    out = None
-    for d in ROUND_CHOICES:
-        out = F.when(digits == d, half_even(value, d)) if out is None else out.when(digits == d, half_even(value, d))
-    return out.otherwise(value)
-
-
 def _float_round(x: Column, digits: Column) -> Column:
     scale = F.pow(F.lit(10.0), digits.cast("double"))
     return F.rint(x * scale) / scale
 
 
-def pivot_numeric(files: DataFrame, numeric: DataFrame, numeric_headers: Sequence[str]) -> DataFrame:
-    """One row per form with every numeric header; missing values default to 0."""
-    num = numeric.groupBy("file_id").pivot("header_str", list(numeric_headers)).agg(F.first("value"))
-    w = files.join(num, "file_id", "left")
-    zero = F.lit(0).cast(CELL_VALUE)
-    return w.select("file_id", *[F.coalesce(F.col(h), zero).alias(h) for h in numeric_headers])
-
-
-def wide_form(files: DataFrame, numeric: DataFrame, fixed: DataFrame, schema: T.StructType,
-              fixed_headers: Sequence[str], numeric_headers: Sequence[str], key: str = "group_id") -> DataFrame:
-    """Pivot both long tables with their fixed header lists (R4) and type the row.
+# ---------------------------------------------------------------------------
+# Wide formulation: one pivot, then totals and ratios as column arithmetic.
+# ---------------------------------------------------------------------------
+def wide_numeric(values: DataFrame, files: DataFrame, layout_rows: Sequence[tuple], total_stem: str) -> DataFrame:
+    """One row per form with every numeric header.
 
-    Numeric headers without a value default to 0 (P13); fixed headers stay
-    NULL when the cell is empty.
+    Extracted values are pivoted once (fixed header list, so no discovery
+    job); totals and ratios are then plain column expressions over the wide
+    row, so the whole step is one aggregation on ``file_id`` and one
+    projection.  ``layout_rows`` are the layout's rows (plan-time parameters).
+    Totals always replace a total read from the form (0 when the section has
+    no categories); ratios use unrounded inputs; every header is rounded once
+    at its layout digits; missing values are 0.
     """
-    num = numeric.groupBy("file_id").pivot("header_str", list(numeric_headers)).agg(F.first("value"))
-    fx = fixed.groupBy("file_id").pivot("header_str", list(fixed_headers)).agg(F.first("text"))
-    w = files.join(num, "file_id", "left").join(fx, "file_id", "left")
+    # layout row fields: search, stem, column_str, header, fixed, data_type, digits, category, row, col, value_col
+    extracted = list(dict.fromkeys(r[3] for r in layout_rows if r[0] is not None and r[7] > 0))
+    digits = {r[3]: r[6] for r in layout_rows}
+    numeric = [r[3] for r in layout_rows if not r[4]]
+    w = values.groupBy("file_id").pivot("header_str", extracted).agg(F.first("value"))
+    w = files.join(w, "file_id", "left")
+    zero = F.lit(0).cast(CELL_VALUE)
+
+    def raw(h: str) -> Column:
+        return F.coalesce(F.col(h), zero) if h in extracted else zero
+
+    def dec_round(c: Column, h: str) -> Column:
+        d = digits.get(h, 0)
+        return (half_even(c, d) if d > 0 else c).cast(CELL_VALUE)
+
+    def ratio_round(num: Column, den: Column, h: str) -> Column:
+        r = F.try_divide(num.cast("double"), den.cast("double"))
+        d = digits.get(h, 0)
+        if d > 0:
+            scale = float(10 ** d)
+            r = F.rint(r * F.lit(scale)) / F.lit(scale)
+        return F.coalesce(r.cast(CELL_VALUE), zero)
+
+    out: dict[str, Column] = {h: dec_round(raw(h), h) for h in extracted}
+    for cat, d in ((1, "in"), (2, "out")):
+        stems = [r[1] for r in layout_rows if r[7] == cat and r[2] == f"{d}_number"]
+        parts = [s for s in stems if s != total_stem]
+        tot_raw = {}
+        for m in ("number", "total_wt", "receipts"):
+            t = zero
+            for s in parts:
+                t = t + raw(f"{s}_{d}_{m}")
+            tot_raw[m] = t
+            h = f"{total_stem}_{d}_{m}"
+            out[h] = dec_round(t, h)
+        for s in stems:
+            get = (lambda m, s=s: tot_raw[m]) if s == total_stem else (lambda m, s=s: raw(f"{s}_{d}_{m}"))
+            number, wt, rec = get("number"), get("total_wt"), get("receipts")
+            out[f"{s}_{d}_per"] = ratio_round(number, tot_raw["number"], f"{s}_{d}_per")
+            out[f"{s}_{d}_pig"] = ratio_round(rec, number, f"{s}_{d}_pig")
+            out[f"{s}_{d}_lb"] = ratio_round(rec, wt, f"{s}_{d}_lb")
+            out[f"{s}_{d}_avg_wt"] = ratio_round(wt, number, f"{s}_{d}_avg_wt")
+    return w.select("file_id", *[out.get(h, zero).alias(h) for h in numeric])
+
+
+def typed_wide(num: DataFrame, fx: DataFrame, schema: T.StructType, fixed_headers: Sequence[str],
+               key: str = "group_id") -> DataFrame:
+    """Join the numeric and fixed halves of each form and cast to the target types."""
+    w = num.join(fx, "file_id", "left")
     cols = []
     for f in schema.fields:
         if f.name == key:
@@ -261,7 +291,7 @@ def wide_form(files: DataFrame, numeric: DataFrame, fixed: DataFrame, schema: T.
         elif f.name in fixed_headers:
             cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
         else:
-            v = F.coalesce(F.col(f.name), F.lit(0).cast(CELL_VALUE))
+            v = F.col(f.name)
             if isinstance(f.dataType, T.LongType):
                 v = half_even(v, 0)
             cols.append(v.cast(f.dataType).alias(f.name))

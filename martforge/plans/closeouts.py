@@ -29,26 +29,27 @@ class CloseoutParts:
     """The intermediate tables of one extraction, sharing one partitioned cell table."""
 
     def __init__(self, cells: DataFrame, layout: DataFrame, *, label_cols: list[int] | None = None,
-                 clip_negative: bool = True):
-        self.cells = forms.partition_cells(cells)
+                 rows: list[tuple] | None = None, clip_negative: bool = True):
+        """``rows``: the layout rows as plan-time parameters (default: the generated layout)."""
         self.layout = layout
-        self.anchors = forms.section_anchors(self.cells, SECTION_LABELS)
+        self.rows = rows if rows is not None else layout_rows()
+        self.records = forms.form_rows(cells)
+        self.anchors = forms.section_anchors(self.records, SECTION_LABELS)
         cols = label_cols if label_cols is not None else default_label_columns()
-        self.values = forms.labelled_values(self.cells, self.anchors, layout, cols, N_SECTIONS,
+        self.values = forms.labelled_values(self.records, self.anchors, layout, cols, N_SECTIONS,
                                             clip_negative=clip_negative)
         self.totals = forms.flow_totals(self.values, S.TOTAL_STEM)
         self.ratios = forms.flow_ratios(self.values, self.totals, layout, S.TOTAL_STEM)
-        self.fixed = forms.fixed_values(self.cells, layout)
-
-    def numeric(self) -> DataFrame:
-        return forms.numeric_long(self.values, self.totals, self.ratios, self.layout)
 
     def files(self) -> DataFrame:
         return self.anchors.filter("complete").select("file_id")
 
+    def wide_numeric(self) -> DataFrame:
+        return forms.wide_numeric(self.values, self.files(), self.rows, S.TOTAL_STEM)
+
     def wide(self) -> DataFrame:
-        return forms.wide_form(self.files(), self.numeric(), self.fixed, CLOSEOUT_OUT,
-                               FIXED_HEADERS, NUMERIC_HEADERS)
+        return forms.typed_wide(self.wide_numeric(), forms.fixed_wide(self.records, self.rows),
+                                CLOSEOUT_OUT, FIXED_HEADERS)
 
 
 def closeouts(cells: DataFrame, layout: DataFrame, **kw) -> DataFrame:
@@ -57,6 +58,6 @@ def closeouts(cells: DataFrame, layout: DataFrame, **kw) -> DataFrame:
 
 def form_sections(cells: DataFrame) -> DataFrame:
     """``(file_id, section, anchor_row)`` per form: the ordered title search."""
-    a = forms.section_anchors(cells, SECTION_LABELS).filter("complete")
+    a = forms.section_anchors(forms.form_rows(cells), SECTION_LABELS).filter("complete")
     return a.select("file_id", F.posexplode("anchors").alias("pos", "anchor_row")).select(
         "file_id", F.col("pos").cast("int").alias("section"), "anchor_row")

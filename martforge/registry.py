@@ -202,8 +202,7 @@ def q_form_ratios(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_form_pivot(spark: SparkSession, d: str) -> DataFrame:
-    p = closeout_parts(spark, d)
-    return fm.pivot_numeric(p.files(), p.numeric(), co.NUMERIC_HEADERS)
+    return closeout_parts(spark, d).wide_numeric()
 
 
 def q_closeouts(spark: SparkSession, d: str) -> DataFrame:
