@@ -188,6 +188,14 @@ totals AS (
   FROM vals WHERE category IN (1, 2) AND column_str IN ({measures}) AND adjust_str <> '{TOTAL}'
   GROUP BY file_id, category, column_str
 ),
+totals_all AS (
+  SELECT a.file_id, m.category, m.column_str, '{TOTAL}_' || m.column_str AS header_str,
+         coalesce(t.value, CAST(0 AS DECIMAL(18,6))) AS value
+  FROM anchors a
+  CROSS JOIN (VALUES (1, 'in_number'), (1, 'in_total_wt'), (1, 'in_receipts'),
+                     (2, 'out_number'), (2, 'out_total_wt'), (2, 'out_receipts')) m(category, column_str)
+  LEFT JOIN totals t ON t.file_id = a.file_id AND t.category = m.category AND t.column_str = m.column_str
+),
 flows AS (
   SELECT file_id, category, adjust_str, column_str, value FROM vals
   WHERE category IN (1, 2) AND adjust_str <> '{TOTAL}'
@@ -227,8 +235,8 @@ numeric_long AS (
            ELSE CAST(v.value AS DECIMAL(18,6)) END AS value
   FROM (
     SELECT file_id, header_str, value FROM vals x
-    WHERE NOT EXISTS (SELECT 1 FROM totals t WHERE t.file_id = x.file_id AND t.header_str = x.header_str)
-    UNION ALL SELECT file_id, header_str, value FROM totals
+    WHERE NOT (adjust_str = '{TOTAL}' AND category IN (1, 2) AND column_str IN ({measures}))
+    UNION ALL SELECT file_id, header_str, value FROM totals_all
   ) v JOIN layout l ON l.header_str = v.header_str
   UNION ALL
   SELECT file_id, header_str,
