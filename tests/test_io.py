@@ -6,7 +6,8 @@ from martforge import params as P
 from martforge.functions.calendar import lookback_start
 from martforge.operators.maintenance import date_slice
 from martforge.plans import movements as mv
-from martforge.plans.run import run, stores, testdata_reports
+from martforge.plans.run import run, stores
+from martforge.plans.run import testdata_reports as build_reports
 from martforge.schemas import SALES, widen
 from martforge.sinks.ddl import create_table, create_table_sql, drop_table
 from martforge.sinks.export import tsv_lines, write_tsv
@@ -17,11 +18,11 @@ from martforge.streaming.ingest import slice_loader, start_ingest
 
 def test_run_is_idempotent_and_ordered(spark, small_dir, tmp_path):
     wh = str(tmp_path / "wh")
-    full = testdata_reports(spark, small_dir)
+    full = build_reports(spark, small_dir)
     run(spark, full, wh, as_of=P.AS_OF)
     counts1 = {k: s.read().count() for k, s in stores(spark, wh).items()}
-    window = lookback_start(P.AS_OF, 365)
-    again = testdata_reports(spark, small_dir, window_start=window, with_budgets=False)
+    window = lookback_start(P.AS_OF, P.LOOKBACK_DAYS["movements"])
+    again = build_reports(spark, small_dir, window_start=window, with_budgets=False)
     run(spark, again, wh, as_of=P.AS_OF)
     counts2 = {k: s.read().count() for k, s in stores(spark, wh).items()}
     assert counts1 == counts2
