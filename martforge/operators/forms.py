@@ -233,7 +233,8 @@ def wide_numeric(values: DataFrame, files: DataFrame, layout_rows: Sequence[tupl
     projection.  ``layout_rows`` are the layout's rows (plan-time parameters).
     Totals always replace a total read from the form (0 when the section has
     no categories); ratios use unrounded inputs; every header is rounded once
-    at its layout digits; missing values are 0.
+    at its layout digits; missing values are 0.  The ~250 generated column
+    expressions are passed as SQL text in one ``selectExpr`` call.
     """
     # layout row fields: search, stem, column_str, header, fixed, data_type, digits, category, row, col, value_col
     extracted = list(dict.fromkeys(r[3] for r in layout_rows if r[0] is not None and r[7] > 0))
@@ -241,58 +242,53 @@ def wide_numeric(values: DataFrame, files: DataFrame, layout_rows: Sequence[tupl
     numeric = [r[3] for r in layout_rows if not r[4]]
     w = values.groupBy("file_id").pivot("header_str", extracted).agg(F.first("value"))
     w = files.join(w, "file_id", "left")
-    zero = F.lit(0).cast(CELL_VALUE)
+    zero = f"CAST(0 AS {CELL_VALUE})"
 
-    def raw(h: str) -> Column:
-        return F.coalesce(F.col(h), zero) if h in extracted else zero
+    def raw(h: str) -> str:
+        return f"coalesce(`{h}`, {zero})" if h in extracted else zero
 
-    def dec_round(c: Column, h: str) -> Column:
+    def dec_round(e: str, h: str) -> str:
         d = digits.get(h, 0)
-        return (half_even(c, d) if d > 0 else c).cast(CELL_VALUE)
+        return f"CAST({f'bround({e}, {d})' if d > 0 else e} AS {CELL_VALUE})"
 
-    def ratio_round(num: Column, den: Column, h: str) -> Column:
-        r = F.try_divide(num.cast("double"), den.cast("double"))
+    def ratio_round(num: str, den: str, h: str) -> str:
+        r = f"try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE))"
         d = digits.get(h, 0)
         if d > 0:
-            scale = float(10 ** d)
-            r = F.rint(r * F.lit(scale)) / F.lit(scale)
-        return F.coalesce(r.cast(CELL_VALUE), zero)
+            r = f"rint({r} * {float(10 ** d)}D) / {float(10 ** d)}D"
+        return f"coalesce(CAST({r} AS {CELL_VALUE}), {zero})"
 
-    out: dict[str, Column] = {h: dec_round(raw(h), h) for h in extracted}
+    out: dict[str, str] = {h: dec_round(raw(h), h) for h in extracted}
     for cat, d in ((1, "in"), (2, "out")):
         stems = [r[1] for r in layout_rows if r[7] == cat and r[2] == f"{d}_number"]
         parts = [s for s in stems if s != total_stem]
-        tot_raw = {}
-        for m in ("number", "total_wt", "receipts"):
-            t = zero
-            for s in parts:
-                t = t + raw(f"{s}_{d}_{m}")
-            tot_raw[m] = t
-            h = f"{total_stem}_{d}_{m}"
-            out[h] = dec_round(t, h)
+        tot = {m: "(" + " + ".join([zero] + [raw(f"{s}_{d}_{m}") for s in parts]) + ")"
+               for m in ("number", "total_wt", "receipts")}
+        for m, e in tot.items():
+            out[f"{total_stem}_{d}_{m}"] = dec_round(e, f"{total_stem}_{d}_{m}")
         for s in stems:
-            get = (lambda m, s=s: tot_raw[m]) if s == total_stem else (lambda m, s=s: raw(f"{s}_{d}_{m}"))
-            number, wt, rec = get("number"), get("total_wt"), get("receipts")
-            out[f"{s}_{d}_per"] = ratio_round(number, tot_raw["number"], f"{s}_{d}_per")
+            number, wt, rec = ((tot["number"], tot["total_wt"], tot["receipts"]) if s == total_stem else
+                               (raw(f"{s}_{d}_number"), raw(f"{s}_{d}_total_wt"), raw(f"{s}_{d}_receipts")))
+            out[f"{s}_{d}_per"] = ratio_round(number, tot["number"], f"{s}_{d}_per")
             out[f"{s}_{d}_pig"] = ratio_round(rec, number, f"{s}_{d}_pig")
             out[f"{s}_{d}_lb"] = ratio_round(rec, wt, f"{s}_{d}_lb")
             out[f"{s}_{d}_avg_wt"] = ratio_round(wt, number, f"{s}_{d}_avg_wt")
-    return w.select("file_id", *[out.get(h, zero).alias(h) for h in numeric])
+    return w.selectExpr("file_id", *[f"{out.get(h, zero)} AS `{h}`" for h in numeric])
 
 
 def typed_wide(num: DataFrame, fx: DataFrame, schema: T.StructType, fixed_headers: Sequence[str],
                key: str = "group_id") -> DataFrame:
     """Join the numeric and fixed halves of each form and cast to the target types."""
     w = num.join(fx, "file_id", "left")
-    cols = []
+    exprs = []
     for f in schema.fields:
+        t = f.dataType.simpleString()
         if f.name == key:
-            cols.append(F.col("file_id").cast(f.dataType).alias(key))
+            exprs.append(f"CAST(file_id AS {t}) AS `{key}`")
         elif f.name in fixed_headers:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+            exprs.append(f"try_cast(`{f.name}` AS {t}) AS `{f.name}`")
+        elif isinstance(f.dataType, T.LongType):
+            exprs.append(f"CAST(bround(`{f.name}`, 0) AS {t}) AS `{f.name}`")
         else:
-            v = F.col(f.name)
-            if isinstance(f.dataType, T.LongType):
-                v = half_even(v, 0)
-            cols.append(v.cast(f.dataType).alias(f.name))
-    return w.select(*cols)
+            exprs.append(f"CAST(`{f.name}` AS {t}) AS `{f.name}`")
+    return w.selectExpr(*exprs)

@@ -180,7 +180,7 @@ WHERE group_num IN (SELECT group_num FROM src WHERE open_date >= DATE '{start}')
 
 
 _FORM_CTES = ["og", "lg", "fbase", "prio_in", "lout", "cells", "titles", "anchors", "sec", "lab", "hits", "vals",
-              "totals", "flows", "per_stem", "rat", "ratios", "numeric_long", "fixed_long", "wn", "wf", "wn0",
+              "totals", "totals_all", "flows", "per_stem", "rat", "ratios", "numeric_long", "fixed_long", "wn", "wf", "wn0",
               "closeouts_wide"] + [f"anc{k}" for k in range(1, 10)]
 
 

@@ -27,6 +27,7 @@ from martforge.sources import fixtures as fx
 from martforge.sources import reports as rp
 from martforge.plans import closeouts as co
 from martforge.sources.layout import layout_df
+from martforge.session import tune_for_wide_plans
 from martforge.sinks.export import tsv_lines
 from martforge.functions.text import header_without_unit
 from martforge.operators import dedup, dimsync
@@ -181,6 +182,7 @@ def q_tsv_export(spark: SparkSession, d: str) -> DataFrame:
 
 
 def closeout_parts(spark: SparkSession, d: str) -> co.CloseoutParts:
+    tune_for_wide_plans(spark)
     return co.CloseoutParts(td.cells(spark, d), layout_df(spark))
 
 
@@ -244,10 +246,16 @@ def q_closeout_metrics(spark: SparkSession, d: str) -> DataFrame:
     return m.select(*[F.col(c).cast(types[c]).alias(c) for c in m.columns])
 
 
-def _actuals(spark: SparkSession, d: str, start) -> DataFrame:
+def _actual_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {"groups": td.groups(spark, d), "closeouts": q_closeouts(spark, d), "sales": q_sales(spark, d),
+            "budgets": td.budgets(spark, d), "ingredients": q_ingredients(spark, d),
+            "movements": movements_table(spark, d)}
+
+
+def _actuals(spark: SparkSession, d: str, start, inputs: dict[str, DataFrame] | None = None) -> DataFrame:
+    i = inputs or _actual_inputs(spark, d)
     return bd.budget_actuals(
-        td.groups(spark, d), q_closeouts(spark, d), q_sales(spark, d), td.budgets(spark, d),
-        q_ingredients(spark, d), movements_table(spark, d), start=start,
+        i["groups"], i["closeouts"], i["sales"], i["budgets"], i["ingredients"], i["movements"], start=start,
         excluded_producer=P.EXCLUDED_PRODUCER, group_types=P.ACTUALS_GROUP_TYPES, home_mill=P.HOME_MILL)
 
 
@@ -261,14 +269,16 @@ PREVIOUS_RUN_EXTRA_DAYS = 365
 
 def q_slice_replace_budgets(spark: SparkSession, d: str) -> DataFrame:
     start = start_of("budget_actuals")
-    old = _actuals(spark, d, lookback_start(start, PREVIOUS_RUN_EXTRA_DAYS))
-    target = bd.budget_init(td.budgets(spark, d)).unionByName(old)
-    batch = _actuals(spark, d, start)
+    inputs = _actual_inputs(spark, d)
+    old = _actuals(spark, d, lookback_start(start, PREVIOUS_RUN_EXTRA_DAYS), inputs)
+    target = bd.budget_init(inputs["budgets"]).unionByName(old)
+    batch = _actuals(spark, d, start, inputs)
     pred = mt.date_slice("start_date", start) & (F.col("budget_type") == "actual")
     return mt.replace_slice(target, batch, pred)
 
 
 def q_slice_replace_closeouts(spark: SparkSession, d: str) -> DataFrame:
+    tune_for_wide_plans(spark)
     start = start_of("closeouts")
     layout = layout_df(spark)
     target = co.closeouts(td.cells(spark, d, old_load()), layout)

@@ -21,9 +21,17 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Wide generated projections (the 256-column closeout row) make constraint
+    # propagation super-linear in plan size; it only infers extra filters.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
+def tune_for_wide_plans(spark: SparkSession) -> None:
+    """Planner setting for the wide form plans (result-neutral)."""
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "martforge") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in BASE_CONF.items():

@@ -30,8 +30,17 @@ LINE_CATEGORY = {1: "Market Sale", 2: "Inventory Adjustment", 3: "Death", 4: "Eu
 OTHER_CATEGORY = "Transfer"
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Lazy scan of one input table; the handle is reused within a session so
+    the file listing and footer read happen once per table."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df
 
 
 def _case(col: Column, mapping: dict, default) -> Column:
@@ -62,14 +71,20 @@ def lines(spark: SparkSession, sf_dir: str, where: Column | None = None) -> Data
     return out if where is None else out.filter(where)
 
 
-def _groups_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer with orders; keeps ``c_custkey`` for the target variant."""
-    o = (
+def _groups_keyed(spark: SparkSession, sf_dir: str, order_stats: DataFrame | None = None) -> DataFrame:
+    """One row per customer with orders; keeps ``c_custkey`` for the target variant.
+
+    ``order_stats`` (``o_custkey, open_date, last_date`` and any other
+    per-customer columns, carried along) lets a caller reuse its own
+    aggregation of ``orders`` instead of scanning it again.
+    """
+    o = order_stats if order_stats is not None else (
         read_table(spark, sf_dir, "orders")
         .groupBy("o_custkey")
         .agg(F.min(F.col("o_orderdate").cast("date")).alias("open_date"),
              F.max(F.col("o_orderdate").cast("date")).alias("last_date"))
     )
+    extra = [c for c in o.columns if c not in ("o_custkey", "open_date", "last_date")]
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("c_custkey")
@@ -87,6 +102,7 @@ def _groups_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_name").alias("barn"),
             "open_date",
             F.when(k % 3 == 0, F.col("last_date")).alias("close_date"),
+            *extra,
         )
     )
 
@@ -288,10 +304,14 @@ LINE_LABEL = {1: "Standard Market Sale", 2: "Discount Market Hog", 3: "Deaths",
 
 
 def _cell(row, col, value) -> Column:
-    r = F.lit(row) if isinstance(row, int) else row
-    c = F.lit(col) if isinstance(col, int) else col
-    v = F.lit(value) if isinstance(value, str) else value
-    return F.struct(r.cast("int").alias("row_no"), c.cast("int").alias("col_no"), v.cast("string").alias("value"))
+    """One ``(row_no, col_no, value)`` struct; constant cells are one SQL literal."""
+    if isinstance(row, int) and isinstance(col, int) and isinstance(value, str):
+        text = value.replace("'", "''")
+        return F.expr(f"named_struct('row_no', {row}, 'col_no', {col}, 'value', '{text}')")
+    r = F.lit(row) if isinstance(row, int) else row.cast("int")
+    c = F.lit(col) if isinstance(col, int) else col.cast("int")
+    v = F.lit(value) if isinstance(value, str) else value.cast("string")
+    return F.struct(r.alias("row_no"), c.alias("col_no"), v.alias("value"))
 
 
 def _explode_cells(df: DataFrame, cells: list[Column]) -> DataFrame:
@@ -312,24 +332,29 @@ def cells(spark: SparkSession, sf_dir: str, where: Column | None = None) -> Data
     from martforge.schemas import CLOSEOUT_FIXED
     from martforge.sources.layout import SECTION_LABELS, fixed_position
 
-    g = _groups_keyed(spark, sf_dir)
+    # One pass over orders (by customer and priority) and one over lines (by
+    # customer and line number); the per-customer figures are sums of those.
     o = read_table(spark, sf_dir, "orders")
     price = F.col("o_totalprice").cast("decimal(18,2)")
-    og = o.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n_orders"),
-        F.sum(F.when(F.col("o_orderstatus") == "P", 1).otherwise(0)).alias("n_p"),
-        F.sum(price).alias("tot"),
-    )
+    pin = (o.withColumn("p", F.substring("o_orderpriority", 1, 1).cast("int"))
+           .groupBy("o_custkey", "p")
+           .agg(F.count(F.lit(1)).alias("cnt"), F.sum(price).alias("rec"),
+                F.sum(F.when(F.col("o_orderstatus") == "P", 1).otherwise(0)).alias("n_p"),
+                F.min(F.col("o_orderdate").cast("date")).alias("open_date"),
+                F.max(F.col("o_orderdate").cast("date")).alias("last_date")))
+    og = pin.groupBy("o_custkey").agg(
+        F.min("open_date").alias("open_date"), F.max("last_date").alias("last_date"),
+        F.sum("cnt").alias("n_orders"), F.sum("n_p").alias("n_p"), F.sum("rec").alias("tot"))
+    g = _groups_keyed(spark, sf_dir, og)
     L = lines(spark, sf_dir, where)
     lp = F.col("l_extendedprice").cast("decimal(18,2)")
-    lg = L.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum(lp).alias("ext"),
-        F.sum(F.col("l_tax").cast("decimal(4,2)") * lp).alias("taxed"),
-        F.sum(F.when(F.col("l_linenumber") == 1, lp)).alias("r1"),
-    )
-    base = (g.join(og, g.c_custkey == og.o_custkey).drop("o_custkey")
-            .join(lg, g.c_custkey == lg.o_custkey).drop("o_custkey")
+    lout = L.groupBy("o_custkey", "l_linenumber").agg(
+        F.count(F.lit(1)).alias("cnt"), F.sum(F.col("l_quantity").cast("int")).alias("q"),
+        F.sum(lp).alias("rec"), F.sum(F.col("l_tax").cast("decimal(4,2)") * lp).alias("taxed"))
+    lg = lout.groupBy("o_custkey").agg(
+        F.sum("cnt").alias("n_lines"), F.sum("rec").alias("ext"), F.sum("taxed").alias("taxed"),
+        F.sum(F.when(F.col("l_linenumber") == 1, F.col("rec"))).alias("r1"))
+    base = (g.join(lg, g.c_custkey == lg.o_custkey).drop("o_custkey")
             .withColumn("file_id", F.col("group_num")))
     pos = {name: fixed_position(i) for i, (name, _) in enumerate(CLOSEOUT_FIXED)}
     epoch = F.to_date(F.lit("1899-12-30"))
@@ -374,10 +399,7 @@ def cells(spark: SparkSession, sf_dir: str, where: Column | None = None) -> Data
     fixed_cells = _explode_cells(base, per_group)
 
     # IN section: one row per order priority.
-    p = F.substring("o_orderpriority", 1, 1).cast("int")
-    pin = (o.withColumn("p", p).groupBy("o_custkey", "p")
-           .agg(F.count(F.lit(1)).alias("cnt"), F.sum(price).alias("rec"))
-           .withColumn("file_id", F.concat(F.lit("G"), F.col("o_custkey").cast("string"))))
+    pin = pin.withColumn("file_id", F.concat(F.lit("G"), F.col("o_custkey").cast("string")))
     cnt, rec, pc = F.col("cnt"), F.col("rec"), F.col("p")
     prio_label = None
     for k, v in PRIORITY_LABEL.items():
@@ -395,10 +417,7 @@ def cells(spark: SparkSession, sf_dir: str, where: Column | None = None) -> Data
 
     # OUT section: one row per line number.
     n = F.col("l_linenumber")
-    lout = (L.groupBy("group_num", "l_linenumber")
-            .agg(F.count(F.lit(1)).alias("cnt"), F.sum(F.col("l_quantity").cast("int")).alias("q"),
-                 F.sum(lp).alias("rec"))
-            .withColumnRenamed("group_num", "file_id"))
+    lout = lout.withColumn("file_id", F.concat(F.lit("G"), F.col("o_custkey").cast("string")))
     line_label = None
     for k, v in LINE_LABEL.items():
         line_label = F.when(n == k, F.lit(v)) if line_label is None else line_label.when(n == k, F.lit(v))
