@@ -13,8 +13,8 @@ from martforge.oracle_forms import cells_cte, closeouts_cte, anchors_cte, layout
 
 def xr(num: str, den: str, digits: int, scale: int) -> str:
     """Exact half-even ``num / den`` at ``digits`` by integer arithmetic (NULL for 0 / NULL den)."""
-    a = f"CAST(({num}) * {10 ** (digits + scale)} AS BIGINT)"
-    d = f"(CAST(({den}) AS BIGINT) * {10 ** scale})"
+    a = f"CAST(({num}) * {10 ** (digits + scale)} AS HUGEINT)"
+    d = f"(CAST(({den}) AS HUGEINT) * {10 ** scale})"
     aa, dd = f"abs({a})", f"abs({d})"
     r = f"({aa} % {dd})"
     q0 = f"(({aa} - {r}) // {dd})"

@@ -27,3 +27,14 @@ def test_report_files_banner_rows_and_token(spark, tmp_path):
     assert sorted((r.key, r.n) for r in df.collect()) == [("a", "0"), ("b", "1")]
     cells = rp.cells_from_lines(rp.read_report_lines(spark, str(tmp_path), name_token="sales"))
     assert {r.file_id for r in cells.collect()} == {"sales_2020"}
+
+
+def test_delimited_sheet(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    (tmp_path / "b.csv").write_text("budget_id,group_num,rate\nG1-budget,G1,1.25\nG2-budget,G2,x\n")
+    schema = T.StructType([T.StructField("budget_id", T.StringType()), T.StructField("group_num", T.StringType()),
+                           T.StructField("rate", T.DecimalType(10, 4))])
+    df = rp.read_delimited(spark, str(tmp_path / "b.csv"), schema)
+    got = sorted((r.budget_id, r.rate) for r in df.collect())
+    assert got[0][1] is not None and float(got[0][1]) == 1.25 and got[1][1] is None
