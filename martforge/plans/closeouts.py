@@ -38,8 +38,12 @@ class CloseoutParts:
         cols = label_cols if label_cols is not None else default_label_columns()
         self.values = forms.labelled_values(self.records, self.anchors, layout, cols, N_SECTIONS,
                                             clip_negative=clip_negative)
-        self.totals = forms.flow_totals(self.values, S.TOTAL_STEM)
-        self.ratios = forms.flow_ratios(self.values, self.totals, layout, S.TOTAL_STEM)
+        # The long-form totals and ratios read the values several times; one
+        # shuffle by form is cheaper than recomputing the extraction per read,
+        # and every reader reuses that exchange.
+        shared = self.values.repartition("file_id")
+        self.totals = forms.flow_totals(shared, S.TOTAL_STEM)
+        self.ratios = forms.flow_ratios(shared, self.totals, layout, S.TOTAL_STEM)
 
     def files(self) -> DataFrame:
         return self.anchors.filter("complete").select("file_id")
