@@ -60,37 +60,56 @@ def stores(spark: SparkSession, warehouse: str) -> dict[str, TableStore]:
     }
 
 
+def checked(warehouse: str, table: str, batch: DataFrame, run_id: str) -> DataFrame:
+    """Typed load of a batch (K3): rows that do not fit the declared types or
+    lengths are appended to ``<warehouse>/_rejects/<table>/run=<run_id>``
+    with a reason; the accepted rows are returned (types unchanged)."""
+    from martforge.operators.quality import reject_reason
+    from martforge.schemas import TABLES, VARCHAR_LEN
+
+    tagged = batch.withColumn("reason", reject_reason(batch, TABLES[table], VARCHAR_LEN.get(table)))
+    tagged.filter(F.col("reason").isNotNull()).write.mode("append").parquet(
+        f"{warehouse.rstrip('/')}/_rejects/{table}/run={run_id}")
+    return tagged.filter(F.col("reason").isNull()).drop("reason")
+
+
 def run(spark: SparkSession, reports: Reports, warehouse: str, *, as_of: _dt.date | str,
-        lookback: dict[str, int] | None = None, strict: bool = True) -> dict[str, str]:
+        lookback: dict[str, int] | None = None, strict: bool = True, typed: bool = True) -> dict[str, str]:
     """Apply one download to the warehouse; returns the committed version per step.
 
     ``strict=True`` drops batch rows outside their own slice, so rerunning
     the same download is idempotent (the legacy behaviour, ``strict=False``,
     duplicates death rows reported by the movement report, quirk Q13).
+    ``typed=True`` routes fact rows that overflow the declared types to a
+    reject table per fact (K3) instead of committing them.
     """
     lb = lookback or P.LOOKBACK_DAYS
     start = lookback_starts(as_of, lb)
     st = stores(spark, warehouse)
     out: dict[str, str] = {}
+    run_id = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
+
+    def load(table: str, batch: DataFrame) -> DataFrame:
+        return checked(warehouse, table, batch, run_id) if typed else batch
 
     out["groups"] = st["groups"].replace(dimsync.dim_sync(reports.groups, st["groups"].read()))
 
     out["ingredients"] = st["ingredients"].replace_slice(
-        ing.ingredients(reports.ingredient_qty, reports.ingredient_cost),
+        load("ingredients", ing.ingredients(reports.ingredient_qty, reports.ingredient_cost)),
         date_slice("delivery_date", start["ingredients"]), strict=strict)
 
     death = mv.DEATH_CATEGORIES
     cat = F.coalesce(F.col("event_category"), F.lit("")) if strict else F.col("event_category")
     out["movements"] = st["movements"].replace_slice(
-        mv.movements(reports.movements, rename=P.ENTITY_RENAME),
+        load("movements", mv.movements(reports.movements, rename=P.ENTITY_RENAME)),
         date_slice("movement_date", start["movements"]) & ~cat.isin(*death), strict=strict)
     out["deaths"] = st["movements"].replace_slice(
-        mv.deaths(reports.deaths),
+        load("movements", mv.deaths(reports.deaths)),
         date_slice("movement_date", start["deaths"]) & category_slice("event_category", death, inside=True),
         strict=strict)
 
     out["sales"] = st["sales"].replace_slice(
-        sl.sales(reports.carcass, reports.loads), date_slice("kill_date", start["sales"]), strict=strict)
+        load("sales", sl.sales(reports.carcass, reports.loads)), date_slice("kill_date", start["sales"]), strict=strict)
 
     if reports.budgets is not None:
         out["budget_init"] = st["budgets"].append(bd.budget_init(reports.budgets))
@@ -98,7 +117,7 @@ def run(spark: SparkSession, reports: Reports, warehouse: str, *, as_of: _dt.dat
     groups = st["groups"].read()
     opened = groups.filter(date_slice("open_date", start["closeouts"])).select("group_num")
     forms = co.closeouts(reports.cells, reports.layout).join(opened, "group_num", "left_semi")
-    out["closeouts"] = st["closeouts"].replace_slice(forms, date_slice("start_date", start["closeouts"]),
+    out["closeouts"] = st["closeouts"].replace_slice(load("closeouts", forms), date_slice("start_date", start["closeouts"]),
                                                      strict=strict)
 
     actuals = bd.budget_actuals(
@@ -106,7 +125,7 @@ def run(spark: SparkSession, reports: Reports, warehouse: str, *, as_of: _dt.dat
         st["movements"].read(), start=start["budget_actuals"], excluded_producer=P.EXCLUDED_PRODUCER,
         group_types=P.ACTUALS_GROUP_TYPES, home_mill=P.HOME_MILL)
     out["budget_actuals"] = st["budgets"].replace_slice(
-        actuals, date_slice("start_date", start["budget_actuals"]) & (F.col("budget_type") == "actual"),
+        load("budgets", actuals), date_slice("start_date", start["budget_actuals"]) & (F.col("budget_type") == "actual"),
         strict=strict)
     return out
 

@@ -93,3 +93,14 @@ def test_streaming_ingest_processes_each_file_once(spark, tmp_path):
     q.awaitTermination()
     rows = store.read().collect()
     assert [r.group_num for r in rows] == ["G2"] and rows[0].movement_type == "out"
+
+
+def test_run_routes_overflowing_rows_to_rejects(spark, tmp_path):
+    from martforge.plans.run import checked
+
+    df = spark.createDataFrame([("G1", 5, "2020 01"), ("G2", 70000, "2020 01")],
+                               "group_num string, quantity long, movement_week string")
+    ok = checked(str(tmp_path), "movements", df, "r1")
+    assert [r.group_num for r in ok.collect()] == ["G1"]
+    rej = spark.read.parquet(str(tmp_path / "_rejects" / "movements"))
+    assert [(r.group_num, r.reason.split(":")[0]) for r in rej.collect()] == [("G2", "quantity")]
