@@ -270,9 +270,15 @@ PREVIOUS_RUN_EXTRA_DAYS = 365
 def q_slice_replace_budgets(spark: SparkSession, d: str) -> DataFrame:
     start = start_of("budget_actuals")
     inputs = _actual_inputs(spark, d)
-    old = _actuals(spark, d, lookback_start(start, PREVIOUS_RUN_EXTRA_DAYS), inputs)
+    # One row per group; the shuffle gives both readers below one exchange to reuse.
+    old = _actuals(spark, d, lookback_start(start, PREVIOUS_RUN_EXTRA_DAYS), inputs).repartition("group_num")
     target = bd.budget_init(inputs["budgets"]).unionByName(old)
-    batch = _actuals(spark, d, start, inputs)
+    # The new window starts later, so its groups are a subset of the previous
+    # run's and their per-group figures are the same: filter instead of
+    # recomputing the mart.
+    new_keys = bd.actuals_key_set(inputs["groups"], start, excluded_producer=P.EXCLUDED_PRODUCER,
+                                  group_types=P.ACTUALS_GROUP_TYPES)
+    batch = old.join(new_keys, "group_num", "left_semi")
     pred = mt.date_slice("start_date", start) & (F.col("budget_type") == "actual")
     return mt.replace_slice(target, batch, pred)
 
