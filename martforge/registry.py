@@ -39,13 +39,25 @@ from martforge.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Lazy plans shared by several queries are built once per session and input
+# folder (building a plan costs Python->JVM calls; no data is cached).
+_PLANS: dict[tuple, object] = {}
+
+
+def shared(spark: SparkSession, d: str, key: str, build: Callable[[], object]):
+    k = (id(spark), spark.sparkContext.applicationId, d, key)
+    if k not in _PLANS:
+        _PLANS[k] = build()
+    return _PLANS[k]
+
 
 def q_movements(spark: SparkSession, d: str) -> DataFrame:
-    return mv.movements(td.movements_raw(spark, d), rename=P.ENTITY_RENAME)
+    return shared(spark, d, "movements",
+                  lambda: mv.movements(td.movements_raw(spark, d), rename=P.ENTITY_RENAME))
 
 
 def q_deaths(spark: SparkSession, d: str) -> DataFrame:
-    return mv.deaths(td.deaths_raw(spark, d))
+    return shared(spark, d, "deaths", lambda: mv.deaths(td.deaths_raw(spark, d)))
 
 
 def q_ingredient_unpivot(spark: SparkSession, d: str) -> DataFrame:
@@ -60,11 +72,12 @@ def q_ingredient_group_sum(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_ingredients(spark: SparkSession, d: str) -> DataFrame:
-    return ing.ingredients(td.ingredient_qty(spark, d), td.ingredient_cost(spark, d))
+    return shared(spark, d, "ingredients",
+                  lambda: ing.ingredients(td.ingredient_qty(spark, d), td.ingredient_cost(spark, d)))
 
 
 def q_sales(spark: SparkSession, d: str) -> DataFrame:
-    return sl.sales(td.carcass(spark, d), td.loads(spark, d))
+    return shared(spark, d, "sales", lambda: sl.sales(td.carcass(spark, d), td.loads(spark, d)))
 
 
 def q_unique_key_join(spark: SparkSession, d: str) -> DataFrame:
@@ -183,7 +196,7 @@ def q_tsv_export(spark: SparkSession, d: str) -> DataFrame:
 
 def closeout_parts(spark: SparkSession, d: str) -> co.CloseoutParts:
     tune_for_wide_plans(spark)
-    return co.CloseoutParts(td.cells(spark, d), layout_df(spark))
+    return shared(spark, d, "closeout_parts", lambda: co.CloseoutParts(td.cells(spark, d), layout_df(spark)))
 
 
 def q_form_sections(spark: SparkSession, d: str) -> DataFrame:
@@ -208,7 +221,8 @@ def q_form_pivot(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_closeouts(spark: SparkSession, d: str) -> DataFrame:
-    return closeout_parts(spark, d).wide()
+    parts = closeout_parts(spark, d)
+    return shared(spark, d, "closeouts", parts.wide)
 
 
 def _dec(c: str, t: str = "decimal(18,4)"):
@@ -217,7 +231,7 @@ def _dec(c: str, t: str = "decimal(18,4)"):
 
 def movements_table(spark: SparkSession, d: str) -> DataFrame:
     """The stored movement fact: movement report rows plus mortality rows."""
-    return q_movements(spark, d).unionByName(q_deaths(spark, d))
+    return shared(spark, d, "movements_table", lambda: q_movements(spark, d).unionByName(q_deaths(spark, d)))
 
 
 def q_sales_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -247,9 +261,9 @@ def q_closeout_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _actual_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return {"groups": td.groups(spark, d), "closeouts": q_closeouts(spark, d), "sales": q_sales(spark, d),
-            "budgets": td.budgets(spark, d), "ingredients": q_ingredients(spark, d),
-            "movements": movements_table(spark, d)}
+    return {"groups": shared(spark, d, "groups", lambda: td.groups(spark, d)), "closeouts": q_closeouts(spark, d),
+            "sales": q_sales(spark, d), "budgets": shared(spark, d, "budgets", lambda: td.budgets(spark, d)),
+            "ingredients": q_ingredients(spark, d), "movements": movements_table(spark, d)}
 
 
 def _actuals(spark: SparkSession, d: str, start, inputs: dict[str, DataFrame] | None = None) -> DataFrame:
