@@ -98,14 +98,17 @@ def label_columns(layout: DataFrame) -> list[int]:
 
 
 def labelled_values(rows: DataFrame, anchors: DataFrame, layout: DataFrame, label_cols: Sequence[int],
-                    n_sections: int, *, clip_negative: bool = True) -> DataFrame:
+                    n_sections: int, *, clip_negative: bool | Sequence[int] = True) -> DataFrame:
     """Long ``(file_id, header_str, category, adjust_str, column_str, value)``.
 
     A row of section k whose text in a label column equals a layout
     ``search_str`` of category k gives the cell in that layout row's
     ``value_col``; blank, dash and (legacy) negative cells give 0.  When a
     label matches more than once the last match wins: the higher label
-    column, then the later row.
+    column, then the later row.  ``clip_negative`` is the legacy rule that
+    turns negative cells into 0 (Q8): ``True`` for every section, ``False``
+    for none, or the list of section numbers where it applies (e.g. keep
+    losses and negative adjustments by leaving out sections 3 and 6).
     """
     lab = F.broadcast(
         layout.filter(F.col("search_str").isNotNull() & (F.col("category") > 0))
@@ -123,10 +126,14 @@ def labelled_values(rows: DataFrame, anchors: DataFrame, layout: DataFrame, labe
     hit = cand.join(lab, ["label_col"]).filter(
         (F.col("section") == F.col("category")) & (F.col("text") == F.col("search_str")))
     raw = F.coalesce(F.element_at(F.col("cols"), F.col("value_col")), F.lit(""))
+    if isinstance(clip_negative, bool):
+        value = cell_number(raw, clip_negative=clip_negative, dtype=CELL_VALUE)
+    else:
+        value = F.when(F.col("category").isin(*clip_negative), cell_number(raw, dtype=CELL_VALUE)).otherwise(
+            cell_number(raw, clip_negative=False, dtype=CELL_VALUE))
     hit = hit.select(
         "file_id", "header_str", "category", "adjust_str", "column_str",
-        F.struct("label_col", "row_no").alias("pos"),
-        cell_number(raw, clip_negative=clip_negative, dtype=CELL_VALUE).alias("value"),
+        F.struct("label_col", "row_no").alias("pos"), value.alias("value"),
     )
     return hit.groupBy("file_id", "header_str", "category", "adjust_str", "column_str").agg(
         F.max_by("value", "pos").alias("value")

@@ -29,7 +29,7 @@ class CloseoutParts:
     """The intermediate tables of one extraction, sharing one partitioned cell table."""
 
     def __init__(self, cells: DataFrame, layout: DataFrame, *, label_cols: list[int] | None = None,
-                 rows: list[tuple] | None = None, clip_negative: bool = True):
+                 rows: list[tuple] | None = None, clip_negative: bool | list[int] = True):
         """``rows``: the layout rows as plan-time parameters (default: the generated layout)."""
         self.layout = layout
         self.rows = rows if rows is not None else layout_rows()

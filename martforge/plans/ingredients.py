@@ -43,7 +43,7 @@ def ingredient_group_sum(qty_wide: DataFrame) -> DataFrame:
 
 
 def ingredients(qty_wide: DataFrame, cost_wide: DataFrame, *, full_key: bool = True,
-                iso_week: bool = False) -> DataFrame:
+                iso_week: bool = False, copy_suffix: str = r"\.[123]$") -> DataFrame:
     """Quantity and cost sheets -> ingredient facts.
 
     ``full_key=True`` (default) matches quantity and cost on all six keys, so
@@ -51,9 +51,11 @@ def ingredients(qty_wide: DataFrame, cost_wide: DataFrame, *, full_key: bool = T
     legacy match on ``(order_id, ingredient)`` only (quirk Q4), which pairs
     every quantity row of an order with every cost row of the same ingredient
     when an order spans several groups, mills, diets or dates.
+    ``copy_suffix`` is the pattern of the copy suffix stripped from repeated
+    cost headers (Q7; the legacy one strips ``.1 .2 .3`` only).
     """
     qty = ingredient_long(qty_wide, "quantity", header_without_unit)
-    cost = ingredient_long(cost_wide, "cost", header_without_copy_suffix)
+    cost = ingredient_long(cost_wide, "cost", lambda h: header_without_copy_suffix(h, copy_suffix))
     if full_key:
         df = qty.join(cost, SUM_KEYS, "inner")
     else:

@@ -64,3 +64,10 @@ def test_form_plan_is_broadcast_and_has_no_cartesian(spark):
     plan = co.closeouts(cells_df(spark, rows), layout_df(spark))._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_negative_cells_kept_in_chosen_sections(spark):  # Q8 per-section override
+    rows = form("A", [(22, 0, "Deaths"), (22, 3, "-3"), (58, 0, "Total Income"), (58, 8, "-250")])
+    parts = co.CloseoutParts(cells_df(spark, rows), layout_df(spark), clip_negative=[1, 2, 3, 4, 5, 7])
+    v = {r.header_str: r.value for r in parts.values.collect()}
+    assert v["deaths_out_number"] == 0 and v["total_income"] == -250
