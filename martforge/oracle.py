@@ -73,13 +73,15 @@ movements_raw$S AS (
 )"""
 
 
-def movements_fact_cte(s: str = "") -> str:
+def movements_fact_cte(s: str = "", rename: bool = True) -> str:
     """``movements_fact$S`` from ``lines$S`` (movement report pipeline)."""
     ents = [("sow_unit", "CASE WHEN grp IS NULL THEN sow_unit END"), ("group", "grp"),
             ("supplier", "supplier"), ("customer", "customer"), ("plant", "plant")]
     unions = "\n  UNION ALL\n  ".join(
         f"SELECT '{t}' AS entity_type, {e} AS group_num, * FROM movements_raw{s}" for t, e in ents
     )
+    gn = (f"CASE WHEN group_num = '{P.SETUP_LONG_NAME}' THEN '{P.SETUP_SHORT_NAME}' ELSE group_num END"
+          if rename else "group_num")
     return sfx(MOVEMENTS_RAW_T, s) + f""",
 mlong{s} AS (
   {unions}
@@ -87,7 +89,7 @@ mlong{s} AS (
 movements_fact{s} AS (
   SELECT movement_id,
          CASE WHEN quantity < 0 THEN 'out' ELSE 'in' END AS movement_type,
-         CASE WHEN group_num = '{P.SETUP_LONG_NAME}' THEN '{P.SETUP_SHORT_NAME}' ELSE group_num END AS group_num,
+         {gn} AS group_num,
          entity_type, event_category, event_code, event_category || ' ' || status_txt AS event_name,
          movement_date, {cal('movement_date', 'movement')},
          abs(quantity) AS quantity, abs(weight) AS weight, abs(cost) AS cost
@@ -434,6 +436,30 @@ typed AS (SELECT {cast_select(MOVEMENT_OUT)} FROM movements_fact)
 SELECT concat_ws(chr(9), {parts}) AS line FROM typed"""
 
 
+def _typed_load_movements() -> str:
+    from martforge.plans.movements import MOVEMENT_OUT
+    from martforge.schemas import MOVEMENTS, VARCHAR_LEN
+
+    lens = VARCHAR_LEN["movements"]
+    whens = []
+    for f in MOVEMENTS.fields:
+        if f.name not in {x.name for x in MOVEMENT_OUT.fields}:
+            continue
+        t = sql_type(f.dataType)
+        if t == "VARCHAR":
+            if f.name not in lens:
+                continue
+            bad = f"length({f.name}) > {lens[f.name]}"
+            msg = f"{f.name}: over {lens[f.name]} chars"
+        else:
+            bad = f"({f.name} IS NOT NULL AND TRY_CAST({f.name} AS {t}) IS NULL)"
+            msg = f"{f.name}: not {f.dataType.simpleString()}"
+        whens.append(f"WHEN {bad} THEN '{msg}'")
+    return f"""WITH {LINES},{movements_fact_cte(rename=False)},
+typed AS (SELECT {cast_select(MOVEMENT_OUT)} FROM movements_fact)
+SELECT movement_id, entity_type, group_num, CASE {' '.join(whens)} END AS reason FROM typed"""
+
+
 def oracle_sql() -> dict[str, str]:
     line_key_dups = """WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity,
                    l_extendedprice FROM lineitem)"""
@@ -472,6 +498,7 @@ GROUP BY order_id, ingredient HAVING count(*) > 1""",
         "semi_join_groups": f"""WITH {LINES},{movements_fact_cte()},{GROUPS_BASE},{_actual_keys_cte()}
 SELECT {_movement_cast()} FROM movements_fact WHERE group_num IN (SELECT group_num FROM keyset)""",
         "tsv_export": _tsv_export(),
+        "typed_load_movements": _typed_load_movements(),
         **_forms(),
     }
 

@@ -208,11 +208,14 @@ def typed_load_rejects_sql() -> str:
     whens = []
     for f in CLOSEOUTS.fields:
         t = sql_type(f.dataType)
-        bad = f"({f.name} IS NOT NULL AND TRY_CAST({f.name} AS {t}) IS NULL)"
-        msg = f"{f.name}: not {f.dataType.simpleString()}"
-        if f.name in lens:
-            bad = f"({bad} OR length(CAST({f.name} AS VARCHAR)) > {lens[f.name]})"
-            msg += f" / over {lens[f.name]} chars"
+        if t == "VARCHAR":
+            if f.name not in lens:
+                continue
+            bad = f"length({f.name}) > {lens[f.name]}"
+            msg = f"{f.name}: over {lens[f.name]} chars"
+        else:
+            bad = f"({f.name} IS NOT NULL AND TRY_CAST({f.name} AS {t}) IS NULL)"
+            msg = f"{f.name}: not {f.dataType.simpleString()}"
         whens.append(f"WHEN {bad} THEN '{msg}'")
     forms = f"{layout_cte()},{cells_cte()},{anchors_cte()},{values_cte()},{closeouts_cte()}"
     return (f"WITH {LINES},{GROUPS_BASE},{forms}\n"

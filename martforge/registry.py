@@ -403,6 +403,15 @@ def q_metric_math(spark: SparkSession, d: str) -> DataFrame:
     return fx.math_fixture(td.read_table(spark, d, "lineitem"))
 
 
+def q_typed_load_movements(spark: SparkSession, d: str) -> DataFrame:
+    """Typed load of movement facts without the entity rename: the long setup
+    entity name does not fit ``group_num VARCHAR(25)`` and is rejected."""
+    from martforge.schemas import MOVEMENTS, VARCHAR_LEN
+
+    facts = mv.movements(td.movements_raw(spark, d))
+    return qa.load_report(facts, MOVEMENTS, ["movement_id", "entity_type", "group_num"], VARCHAR_LEN["movements"])
+
+
 def queries() -> dict[str, Query]:
     return {
         "movements": q_movements,
@@ -442,6 +451,7 @@ def queries() -> dict[str, Query]:
         "slice_replace_closeouts": q_slice_replace_closeouts,
         "closeout_candidates": q_closeout_candidates,
         "typed_load_rejects": q_typed_load_rejects,
+        "typed_load_movements": q_typed_load_movements,
         "report_scan": q_report_scan,
         "json_dimension": q_json_dimension,
         "catalog_flatten": q_catalog_flatten,
