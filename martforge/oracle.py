@@ -248,7 +248,7 @@ def _sales_sql() -> str:
 def _unique_key_join_sql() -> str:
     return f"""WITH {LINES},{sfx(SALES_T, '')},
 uk AS (SELECT tattoo, kill_date, min(group_num) AS group_num FROM loads GROUP BY 1, 2 HAVING count(*) = 1)
-SELECT c.tattoo, c.kill_date, c.plant, c.avg_carcass_wt, uk.group_num
+SELECT c.tattoo, c.kill_date, c.plant, CAST(c.avg_carcass_wt AS DECIMAL(18,2)) AS avg_carcass_wt, uk.group_num
 FROM carcass c JOIN uk ON c.tattoo = uk.tattoo AND c.kill_date = uk.kill_date"""
 
 

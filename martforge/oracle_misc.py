@@ -143,8 +143,9 @@ SELECT {cast_select(DIET_OUT)} FROM d"""
 
 
 def calendar_sql() -> str:
+    cols = cal("order_date", "order").replace("year(order_date) AS year", "CAST(year(order_date) AS SMALLINT) AS year")
     return f"""WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders)
-SELECT o_orderkey, order_date, {cal('order_date', 'order')},
+SELECT o_orderkey, order_date, {cols},
        CAST(isoyear(order_date) AS VARCHAR) || ' ' || lpad(CAST(weekofyear(order_date) AS VARCHAR), 2, '0')
          AS order_week_iso
 FROM o"""

@@ -81,7 +81,8 @@ def q_sales(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_unique_key_join(spark: SparkSession, d: str) -> DataFrame:
-    c = td.carcass(spark, d).select("tattoo", "kill_date", "plant", "avg_carcass_wt")
+    c = td.carcass(spark, d).select("tattoo", "kill_date", "plant",
+                                    F.col("avg_carcass_wt").cast("decimal(18,2)").alias("avg_carcass_wt"))
     h = td.loads(spark, d).select("group_num", "tattoo", "kill_date")
     return dedup.unique_key_join(c, h, ["tattoo", "kill_date"], ["group_num"])
 
