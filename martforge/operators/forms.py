@@ -42,7 +42,7 @@ def section_anchors(rows: DataFrame, labels: Sequence[str]) -> DataFrame:
     title is missing: such forms go to ``rejected_forms``.
     """
     titles = (
-        rows.select("file_id", "row_no", F.element_at("cols", F.lit(0)).alias("value"))
+        rows.select("file_id", "row_no", F.col("c0").alias("value"))
         .filter(F.col("value").isin(*labels))
         .groupBy("file_id")
         .agg(F.collect_list(F.struct("row_no", "value")).alias("t"))
@@ -61,7 +61,7 @@ def section_anchors(rows: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 def rejected_forms(cells: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Forms whose section titles are missing or out of order (the reference raises)."""
-    a = section_anchors(form_rows(cells), labels)
+    a = section_anchors(form_rows(cells, [0]), labels)
     all_files = cells.select("file_id").distinct()
     return all_files.join(a.filter("complete"), "file_id", "left_anti")
 
@@ -80,17 +80,40 @@ def section_of(row_no: Column, anchors: Column, n_sections: int) -> Column:
     return out
 
 
-def form_rows(cells: DataFrame) -> DataFrame:
-    """One record per (form, row) with ``cols``: column number -> text.
+def form_rows(cells: DataFrame, columns: Sequence[int]) -> DataFrame:
+    """One record per (form, row) with the text of each needed column as ``c<n>``.
 
+    ``columns`` are the sheet columns the layout reads (labels, values, fixed
+    cells, and column 0 for section titles): plan-time parameters, so the
+    record is a plain hash aggregation with one conditional ``max`` per column.
     This is the single shuffle of the cell table (hash-partitioned by form);
     every later step reads these records, so the exchange is shared.
     """
+    cols = sorted(set(columns) | {0})
     return partition_cells(cells).groupBy("file_id", "row_no").agg(
-        F.map_from_entries(F.collect_list(F.struct("col_no", "value"))).alias("cols")
+        *[F.max(F.when(F.col("col_no") == c, F.col("value"))).alias(f"c{c}") for c in cols]
     )
 
 
+def layout_columns(layout_rows: Sequence[tuple]) -> list[int]:
+    """Every sheet column a layout reads: label, value and fixed-cell columns, and column 0."""
+    cols = {0}
+    for r in layout_rows:
+        if r[4]:
+            cols.add(r[9])
+        elif r[0] is not None and r[7] > 0:
+            cols.update((r[9], r[10]))
+    return sorted(c for c in cols if c >= 0)
+
+
+def _cell_in(col: Column, columns: Sequence[int]) -> Column:
+    """Text of the record column whose number is the value of ``col``."""
+    out = None
+    for c in columns:
+        out = F.when(col == c, F.col(f"c{c}")) if out is None else out.when(col == c, F.col(f"c{c}"))
+    return out
+
+
 def label_columns(layout: DataFrame) -> list[int]:
     """Label columns of a layout read from a file (a few hundred rows of parameters)."""
     return sorted(r[0] for r in layout.filter(F.col("search_str").isNotNull() & (F.col("category") > 0))
@@ -98,7 +121,8 @@ def label_columns(layout: DataFrame) -> list[int]:
 
 
 def labelled_values(rows: DataFrame, anchors: DataFrame, layout: DataFrame, label_cols: Sequence[int],
-                    n_sections: int, *, clip_negative: bool | Sequence[int] = True) -> DataFrame:
+                    n_sections: int, *, columns: Sequence[int],
+                    clip_negative: bool | Sequence[int] = True) -> DataFrame:
     """Long ``(file_id, header_str, category, adjust_str, column_str, value)``.
 
     A row of section k whose text in a label column equals a layout
@@ -118,14 +142,16 @@ def labelled_values(rows: DataFrame, anchors: DataFrame, layout: DataFrame, labe
     rows = rows.join(anchors.filter("complete").select("file_id", "anchors"), "file_id")
     rows = rows.withColumn("section", section_of(F.col("row_no"), F.col("anchors"), n_sections))
     rows = rows.filter(F.col("section").isNotNull())
+    values_needed = [f"c{c}" for c in columns]
     cand = rows.select(
-        "file_id", "row_no", "section", "cols",
-        F.explode(F.array(*[F.lit(int(c)) for c in label_cols])).alias("label_col"),
-    ).withColumn("text", F.element_at("cols", F.col("label_col")))
+        "file_id", "row_no", "section", *values_needed,
+        F.explode(F.array(*[F.struct(F.lit(int(c)).alias("label_col"), F.col(f"c{c}").alias("text"))
+                            for c in label_cols])).alias("lc"),
+    ).select("file_id", "row_no", "section", *values_needed, "lc.label_col", "lc.text")
     cand = cand.filter(F.col("text").isNotNull() & (F.col("text") != ""))
     hit = cand.join(lab, ["label_col"]).filter(
         (F.col("section") == F.col("category")) & (F.col("text") == F.col("search_str")))
-    raw = F.coalesce(F.element_at(F.col("cols"), F.col("value_col")), F.lit(""))
+    raw = F.coalesce(_cell_in(F.col("value_col"), columns), F.lit(""))
     if isinstance(clip_negative, bool):
         value = cell_number(raw, clip_negative=clip_negative, dtype=CELL_VALUE)
     else:
@@ -153,7 +179,7 @@ def fixed_wide(rows: DataFrame, layout_rows: Sequence[tuple]) -> DataFrame:
         if not r[4]:
             continue
         header, dtype, row_no, col_no = r[3], r[5], r[8], r[9]
-        v = F.element_at(F.col("cols"), F.lit(col_no))
+        v = F.col(f"c{col_no}")
         text = (F.when(v.isNull() | (v == ""), F.lit(None).cast("string"))
                 .when(F.lit(dtype == "date"), serial_to_date(v).cast("string"))
                 .when(F.lit(dtype == "split"), after_colon(v))

@@ -33,11 +33,12 @@ class CloseoutParts:
         """``rows``: the layout rows as plan-time parameters (default: the generated layout)."""
         self.layout = layout
         self.rows = rows if rows is not None else layout_rows()
-        self.records = forms.form_rows(cells)
+        self.columns = forms.layout_columns(self.rows)
+        self.records = forms.form_rows(cells, self.columns)
         self.anchors = forms.section_anchors(self.records, SECTION_LABELS)
         cols = label_cols if label_cols is not None else default_label_columns()
         self.values = forms.labelled_values(self.records, self.anchors, layout, cols, N_SECTIONS,
-                                            clip_negative=clip_negative)
+                                            columns=self.columns, clip_negative=clip_negative)
         # The long-form totals and ratios read the values several times; one
         # shuffle by form is cheaper than recomputing the extraction per read,
         # and every reader reuses that exchange.
@@ -62,6 +63,6 @@ def closeouts(cells: DataFrame, layout: DataFrame, **kw) -> DataFrame:
 
 def form_sections(cells: DataFrame) -> DataFrame:
     """``(file_id, section, anchor_row)`` per form: the ordered title search."""
-    a = forms.section_anchors(forms.form_rows(cells), SECTION_LABELS).filter("complete")
+    a = forms.section_anchors(forms.form_rows(cells, [0]), SECTION_LABELS).filter("complete")
     return a.select("file_id", F.posexplode("anchors").alias("pos", "anchor_row")).select(
         "file_id", F.col("pos").cast("int").alias("section"), "anchor_row")

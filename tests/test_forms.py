@@ -23,7 +23,7 @@ def test_anchor_search_skips_early_titles_and_rejects_missing(spark):
     early = form("A", [(5, 0, "Expenses")])  # title of section 8 before its turn
     missing = form("B", [], anchors=ANCHORS[:-1], labels=SECTION_LABELS[:-1])
     df = cells_df(spark, early + missing)
-    a = {r.file_id: r for r in forms.section_anchors(forms.form_rows(df), SECTION_LABELS).collect()}
+    a = {r.file_id: r for r in forms.section_anchors(forms.form_rows(df, [0]), SECTION_LABELS).collect()}
     assert a["A"].anchors == ANCHORS and a["A"].complete
     assert not a["B"].complete
     assert [r.file_id for r in forms.rejected_forms(df, SECTION_LABELS).collect()] == ["B"]
