@@ -25,6 +25,11 @@ def report_scan_sql() -> str:
                    CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR),
                    o_orderpriority) AS line
   FROM orders
+  UNION ALL
+  SELECT '/reports/customers_part' || CAST(c_custkey % {nf} AS VARCHAR) || '.csv',
+         CAST(c_custkey // {nf} + {nb} AS INTEGER),
+         concat_ws(',', CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), c_mktsegment)
+  FROM customer
 )
 SELECT file_path, line_no, {fields}
 FROM data WHERE contains(file_path, '{P.REPORT_TOKEN}') AND line_no >= {nb}"""

@@ -39,7 +39,8 @@ SLICE_MILLS = ("Home Mill", "Supplier#000000001", "Supplier#000000002")
 SLICE_WEEKS = ("1998 10", "1998 40")
 SLICE_PLANTS = ("P0", "P2")
 
-# Report export fixture (S1, S11): banner rows per file and the file token picked up.
+# Report export fixture (S1, S11): banner rows per file, files per report and
+# the file-name token that picks up every order-list file (not the customer list).
 REPORT_BANNER_ROWS = 3
 REPORT_FILES = 4
-REPORT_TOKEN = "orders_part1"
+REPORT_TOKEN = "orders_part"

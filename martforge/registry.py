@@ -325,7 +325,7 @@ REPORT_NAMES = ["order_id", "customer", "priority", "total"]
 
 
 def q_report_scan(spark: SparkSession, d: str) -> DataFrame:
-    lines = td.order_report_lines(spark, d)
+    lines = td.report_lines(spark, d)
     picked = lines.filter(F.col("file_path").contains(P.REPORT_TOKEN))
     return rp.parse_report_lines(picked, skip_rows=P.REPORT_BANNER_ROWS, ordinals=REPORT_ORDINALS,
                                  names=REPORT_NAMES)

@@ -446,33 +446,44 @@ def cells(spark: SparkSession, sf_dir: str, where: Column | None = None) -> Data
 # ---------------------------------------------------------------------------
 # Report exports, JSON documents and the diet sheet.
 # ---------------------------------------------------------------------------
-def order_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order list exported as CSV text split over several files, each with banner rows.
-
-    ``(file_path, line_no, line)`` as ``sources.reports.read_report_lines``
-    returns for files on disk.
-    """
+def _report_files(table: DataFrame, key: Column, kind: str, title: str, header: str,
+                  fields: list[Column]) -> DataFrame:
     from martforge.params import REPORT_BANNER_ROWS, REPORT_FILES
 
-    o = read_table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    path = F.concat(F.lit("/reports/orders_part"), (k % REPORT_FILES).cast("string"), F.lit(".csv"))
-    data = o.select(
+    path = F.concat(F.lit(f"/reports/{kind}_part"), (key % REPORT_FILES).cast("string"), F.lit(".csv"))
+    data = table.select(
         path.alias("file_path"),
-        (F.floor(k / REPORT_FILES).cast("long") + REPORT_BANNER_ROWS).cast("int").alias("line_no"),
-        F.concat_ws(",", k.cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus"),
-                    F.col("o_totalprice").cast("decimal(18,2)").cast("string"),
-                    F.col("o_orderdate").cast("date").cast("string"), F.col("o_orderpriority")).alias("line"),
+        (F.floor(key / REPORT_FILES).cast("long") + REPORT_BANNER_ROWS).cast("int").alias("line_no"),
+        F.concat_ws(",", *fields).alias("line"),
     )
-    files = data.select("file_path").distinct()
-    banner = files.select("file_path", F.explode(F.array(
-        F.struct(F.lit(0).alias("line_no"), F.lit("Order List").alias("line")),
+    banner = data.select("file_path").distinct().select("file_path", F.explode(F.array(
+        F.struct(F.lit(0).alias("line_no"), F.lit(title).alias("line")),
         F.struct(F.lit(1).alias("line_no"), F.concat(F.lit("Source: "), F.col("file_path")).alias("line")),
-        F.struct(F.lit(2).alias("line_no"), F.lit("Order,Customer,Status,Total,Date,Priority").alias("line")),
+        F.struct(F.lit(2).alias("line_no"), F.lit(header).alias("line")),
     )).alias("b")).select("file_path", "b.line_no", "b.line")
     return banner.unionByName(data)
 
 
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing folder of CSV exports, each with banner rows: the order list
+    and the customer list, each split over several files.
+
+    ``(file_path, line_no, line)`` as ``sources.reports.read_report_lines``
+    returns for files on disk.
+    """
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("o_orderkey")
+    orders = _report_files(o, k, "orders", "Order List", "Order,Customer,Status,Total,Date,Priority", [
+        k.cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string"),
+        F.col("o_orderdate").cast("date").cast("string"), F.col("o_orderpriority")])
+    customers = _report_files(c, F.col("c_custkey"), "customers", "Customer List", "Customer,Name,Nation,Segment", [
+        F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_nationkey").cast("string"),
+        F.col("c_mktsegment")])
+    return orders.unionByName(customers)
+
+
 def site_dimension_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``{"<site>": {"value": id}}`` document per customer; even ids as numbers, odd as text."""
     c = read_table(spark, sf_dir, "customer")
