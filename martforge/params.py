@@ -24,11 +24,18 @@ SETUP_SHORT_NAME = "Setup"
 ENTITY_RENAME = {SETUP_LONG_NAME: SETUP_SHORT_NAME}
 
 # Producer excluded from the actuals mart and group-code token excluded from
-# closeout candidates (Q21).
+# closeout candidates (Q21); our own test choices.
 EXCLUDED_PRODUCER = "FRANCE"
 CANDIDATE_EXCLUDE_TOKEN = "G1"
+
+# Fixed values (they must equal the report contents): the group types the
+# actuals mart covers, the mill whose deliveries count as feed trips, the
+# movement categories of the trucking averages, and the budget row types.
 ACTUALS_GROUP_TYPES = ("Finishing", "Wean to Finish")
 HOME_MILL = "Home Mill"
+MARKET_CATEGORY = "Market Sale"
+ADJUSTMENT_CATEGORY = "Inventory Adjustment"
+BUDGET_TYPES = ("budget", "actual")
 
 # Report-slice parameters (G1-G7).  "All ..." values mean "no filter".
 SLICE_START = "2000-01-01"

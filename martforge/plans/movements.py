@@ -15,11 +15,13 @@ from martforge.operators.reshape import unpivot_entities
 from martforge.schemas import MOVEMENTS, widen
 
 MOVEMENT_OUT = widen(MOVEMENTS)
+# Fixed values (must equal the source reports and target table): the entity
+# columns of the movement report, in report order; the event categories that
+# belong to the mortality list (the movement report owns every other one).
 ENTITY_COLS = ["sow_unit", "group", "supplier", "customer", "plant"]
+DEATH_CATEGORIES = ("Death", "Euthanize")
 EVENT_IDS = ["event_category", "event_code", "event_name", "movement_id", "movement_date",
              "quantity", "weight", "cost"]
-# Event categories written by the mortality list; the movement report owns the rest.
-DEATH_CATEGORIES = ("Death", "Euthanize")
 
 
 def movements(raw: DataFrame, *, rename: dict[str, str] | None = None, iso_week: bool = False) -> DataFrame:
