@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martforge.functions.mathx import cell_number, half_even, serial_to_date
+from martforge.functions.mathx import cell_number, serial_to_date
 from martforge.functions.text import after_colon
 
 CELL_VALUE = "decimal(18,6)"
