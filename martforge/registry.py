@@ -9,33 +9,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from martforge import params as P
-from martforge.functions.calendar import lookback_start
+from martforge.functions.calendar import calendar_columns, lookback_start
+from martforge.functions.text import header_without_unit
+from martforge.operators import dedup, dimsync
+from martforge.operators import forms as fm
 from martforge.operators import maintenance as mt
 from martforge.operators import quality as qa
-from martforge.operators import stats as st
-from martforge.operators import forms as fm
-from martforge.functions.calendar import calendar_columns
 from martforge.operators import report_slices as rs
+from martforge.operators import stats as st
+from martforge.operators.reshape import measure_columns, unpivot_measures
 from martforge.plans import budgets as bd
-from martforge.plans import diets as dt
-from martforge.sources import catalog as cat
-from martforge.sources import fixtures as fx
-from martforge.sources import reports as rp
 from martforge.plans import closeouts as co
-from martforge.sources.layout import layout_df
-from martforge.session import tune_for_wide_plans
-from martforge.sinks.export import tsv_lines
-from martforge.functions.text import header_without_unit
-from martforge.operators import dedup, dimsync
-from martforge.operators.reshape import measure_columns, unpivot_measures
+from martforge.plans import diets as dt
 from martforge.plans import ingredients as ing
 from martforge.plans import movements as mv
 from martforge.plans import sales as sl
+from martforge.session import tune_for_wide_plans
+from martforge.sinks.export import tsv_lines
+from martforge.sources import catalog as cat
+from martforge.sources import fixtures as fx
+from martforge.sources import reports as rp
 from martforge.sources import testdata as td
+from martforge.sources.layout import layout_df
 
 Query = Callable[[SparkSession, str], DataFrame]
 
