@@ -340,7 +340,13 @@ def q_catalog_flatten(spark: SparkSession, d: str) -> DataFrame:
 # --- report slices -----------------------------------------------------------
 
 def q_slice_group_detail(spark: SparkSession, d: str) -> DataFrame:
-    c = q_closeouts(spark, d).join(q_closeout_candidates(spark, d), "group_num", "left_semi")
+    """Closeout detail for the candidate groups (G1).  Forms are requested per
+    group and named after it, so only the requested forms are extracted: the
+    semi-join is applied to the cell table, before the extraction."""
+    tune_for_wide_plans(spark)
+    wanted = q_closeout_candidates(spark, d)
+    cells = td.cells(spark, d).join(wanted.withColumnRenamed("group_num", "file_id"), "file_id", "left_semi")
+    c = co.closeouts(cells, layout_df(spark)).join(wanted, "group_num", "left_semi")
     return c.select("group_id", "group_num", "start_date", "close_date", "totals_summary_pigs_in_number",
                     "totals_summary_pigs_out_number", "standard_market_sale_out_receipts")
 
