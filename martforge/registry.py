@@ -299,10 +299,10 @@ def q_slice_replace_budgets(spark: SparkSession, d: str) -> DataFrame:
 def q_slice_replace_closeouts(spark: SparkSession, d: str) -> DataFrame:
     tune_for_wide_plans(spark)
     start = start_of("closeouts")
-    layout = layout_df(spark)
-    target = co.closeouts(td.cells(spark, d, old_load()), layout)
-    opened = td.groups(spark, d).filter(mt.date_slice("open_date", start)).select("group_num")
-    batch = co.closeouts(td.cells(spark, d), layout).join(opened, "group_num", "left_semi")
+    target = co.closeouts(td.cells(spark, d, old_load()), layout_df(spark))
+    groups = shared(spark, d, "groups", lambda: td.groups(spark, d))
+    opened = groups.filter(mt.date_slice("open_date", start)).select("group_num")
+    batch = q_closeouts(spark, d).join(opened, "group_num", "left_semi")
     return mt.replace_slice(target, batch, mt.date_slice("start_date", start))
 
 
