@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martforge.llm.packing import op2_packing
 from martforge.llm.sharding import op8_sharding
+from martforge.llm.token_counts import op5_token_counts
+from martforge.llm.warc import OP6_SQL, op6_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_packing": op2_packing,
+        "op5_token_counts": op5_token_counts,
+        "op6_warc": op6_warc,
         "op8_sharding": op8_sharding,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_warc": OP6_SQL,
+    }
