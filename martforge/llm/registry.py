@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martforge.llm.packing import op2_packing
 from martforge.llm.sharding import op8_sharding
 from martforge.llm.token_counts import op5_token_counts
+from martforge.llm.url_filter import OP4_SQL, op4_url_filter
 from martforge.llm.warc import OP6_SQL, op6_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op2_packing": op2_packing,
+        "op4_url_filter": op4_url_filter,
         "op5_token_counts": op5_token_counts,
         "op6_warc": op6_warc,
         "op8_sharding": op8_sharding,
@@ -25,5 +27,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_url_filter": OP4_SQL,
         "op6_warc": OP6_SQL,
     }
