@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martforge.llm.knn_quality import op9_knn_quality
 from martforge.llm.packing import op2_packing
+from martforge.llm.quality_rules import op1_quality_rules
 from martforge.llm.sharding import op8_sharding
 from martforge.llm.token_counts import op5_token_counts
 from martforge.llm.url_filter import OP4_SQL, op4_url_filter
@@ -17,11 +19,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality_rules": op1_quality_rules,
         "op2_packing": op2_packing,
         "op4_url_filter": op4_url_filter,
         "op5_token_counts": op5_token_counts,
         "op6_warc": op6_warc,
         "op8_sharding": op8_sharding,
+        "op9_knn_quality": op9_knn_quality,
     }
 
 
