@@ -10,6 +10,7 @@ from martforge.llm.knn_quality import op9_knn_quality
 from martforge.llm.packing import op2_packing
 from martforge.llm.quality_rules import op1_quality_rules
 from martforge.llm.sharding import op8_sharding
+from martforge.llm.style_tree import op10_html_extraction
 from martforge.llm.token_counts import op5_token_counts
 from martforge.llm.url_filter import OP4_SQL, op4_url_filter
 from martforge.llm.warc import OP6_SQL, op6_warc
@@ -26,6 +27,7 @@ def queries() -> dict[str, Query]:
         "op6_warc": op6_warc,
         "op8_sharding": op8_sharding,
         "op9_knn_quality": op9_knn_quality,
+        "op10_html_extraction": op10_html_extraction,
     }
 
 
