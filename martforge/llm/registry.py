@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martforge.llm.decontamination import op3_decontamination
 from martforge.llm.knn_quality import op9_knn_quality
 from martforge.llm.packing import op2_packing
 from martforge.llm.quality_rules import op1_quality_rules
@@ -22,6 +23,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_packing": op2_packing,
+        "op3_decontamination": op3_decontamination,
         "op4_url_filter": op4_url_filter,
         "op5_token_counts": op5_token_counts,
         "op6_warc": op6_warc,
