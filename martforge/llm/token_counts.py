@@ -103,6 +103,24 @@ def piece_counts(texts: DataFrame, model_path: str) -> DataFrame:
     return distinct.mapInArrow(count, "unit string, n long, pieces long")
 
 
+def frequent(counts: DataFrame, entries: int) -> dict[str, int]:
+    """Pieces of the most frequent pre-tokens, ``entries`` at most.
+
+    A histogram of the logarithm of the frequency gives the least frequency with
+    which they are few enough, so that no more rows than that are collected.
+    """
+    short = counts.where(F.length("unit") <= HOT_CHARS).withColumn("level", F.floor(8 * F.log2(F.col("n").cast("double"))))
+    least, held = None, 0
+    for r in sorted(short.groupBy("level").count().collect(), reverse=True):
+        held += r["count"]
+        if held > entries:
+            break
+        least = r.level
+    if least is None:
+        return {}
+    return {r.unit: r.pieces for r in short.where(F.col("level") >= least).select("unit", "pieces").collect()}
+
+
 def count_tokens(
     docs: DataFrame,
     model_path: str,
@@ -120,8 +138,7 @@ def count_tokens(
     importable(spark)
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     counts = write_shared(piece_counts(texts, model_path), "piece-counts")
-    top = counts.where(F.length("unit") <= HOT_CHARS).orderBy(F.desc("n"), "unit").limit(hot_entries)
-    hot = spark.sparkContext.broadcast({r.unit: r.pieces for r in top.select("unit", "pieces").collect()})
+    hot = spark.sparkContext.broadcast(frequent(counts, hot_entries))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per row of the table one row with the pieces of its frequent
