@@ -39,6 +39,9 @@ SEEK_TABLE_MAGIC = 0x8F92EAB1
 FOOTER = struct.Struct("<IBI")
 ENTRY = struct.Struct("<II")
 
+#: Tasks that read bundles at most; each reads one bundle after another.
+MAX_READERS = 20_000
+
 #: Names are derived from page ids in this name space.
 _NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "martforge/warc")
 _DATE = "1970-01-01T00:00:00Z"
@@ -329,7 +332,10 @@ def read_archives(index: DataFrame, with_payload: bool = True) -> DataFrame:
                 if rows:
                     yield _record_batch(rows)
 
-    return index.groupBy("bundle").agg(F.count(F.lit(1))).select("bundle").mapInArrow(read, RECORD_SCHEMA)
+    bundles = index.select("bundle").distinct()
+    # A bundle a task (a few from MAX_READERS on): the list is short, its files are not.
+    readers = min(max(bundles.count(), 1), MAX_READERS)
+    return bundles.repartition(readers, "bundle").mapInArrow(read, RECORD_SCHEMA)
 
 
 def fetch_records(wanted: DataFrame) -> DataFrame:
