@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martforge.llm.decontamination import op3_decontamination
+from martforge.llm.jaccard_join import op7_jaccard_join
 from martforge.llm.knn_quality import op9_knn_quality
 from martforge.llm.packing import op2_packing
 from martforge.llm.quality_rules import op1_quality_rules
@@ -27,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op4_url_filter": op4_url_filter,
         "op5_token_counts": op5_token_counts,
         "op6_warc": op6_warc,
+        "op7_jaccard_join": op7_jaccard_join,
         "op8_sharding": op8_sharding,
         "op9_knn_quality": op9_knn_quality,
         "op10_html_extraction": op10_html_extraction,
