@@ -1,17 +1,81 @@
-"""The corpus pipeline: documents -> quality -> rules -> near duplicates -> benchmark -> packing."""
+"""The corpus pipeline over ``documents``.
+
+Quality classifier, quality rules, near duplicates, benchmark decontamination,
+packing: each stage works on all that its predecessor kept, and is written as
+Parquet to the shared folder and read again as the next stage's input.  All but
+the last return the columns of ``documents``; rows without an id are kept apart
+by no stage that has to name them, so they are decided by their text alone.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from martforge.llm import decontamination, jaccard_join, knn_quality, packing, quality_rules
+from martforge.llm.common import table, write_shared
+
+#: A document goes on with this score or more.
+MIN_QUALITY = 0.7
+#: Near duplicates: words of a shingle, and percent of similarity.
+SHINGLE_WORDS = 5
+SIMILAR_PERCENT = 80
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    voters = knn_quality.train(docs, table(spark, sf_dir, "labels"))
+    if not len(voters.labels):
+        return docs
+    scored = knn_quality.score_quality(docs, voters, score_column="_score")
+    return scored.where(F.col("_score") >= MIN_QUALITY).select(*docs.columns)
+
+
+def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the base check nor the learnt rules reject."""
+    rules = quality_rules.learn_rules(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, rules).where("kept").select(*docs.columns)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates.
+
+    Documents without a shingle are groups of their own; of rows that repeat an
+    id one stays."""
+    found = jaccard_join.jaccard_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    first = found.where("component_id IS NULL OR component_id = doc_id").select("doc_id").distinct()
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
+    named = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return named.unionByName(kept.where("doc_id IS NULL")).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item was found."""
+    hits = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    bad = write_shared(hits.select("doc_id").where("doc_id IS NOT NULL").distinct(), "contaminated")
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, packed into sequences."""
+    return packing.pack_documents(docs, *packing.vocabulary())
+
 
-STAGES: list = []
+STAGES = [
+    ("quality classifier", classify),
+    ("quality rules", apply_rules),
+    ("near duplicates", deduplicate),
+    ("benchmark decontamination", decontaminate),
+    ("packing", pack),
+]
 
+#: Learnt models and token ids have no SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages in order to ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """Apply the stages in order to ``documents``; returns the packed pieces."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = write_shared(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
