@@ -150,9 +150,12 @@ def gram_scores(counts: DataFrame) -> DataFrame:
 
 
 def best_threshold(held_out: DataFrame) -> DataFrame:
-    """One row ``threshold``: the grid step with the best sum of the shares of
-    accepted URLs at or above and rejected URLs below it (ties: the one nearest
-    0, then the smaller); 0 without URLs of both kinds."""
+    """One row ``threshold``.
+
+    The best grid step has the largest sum of the shares of accepted URLs at or
+    above and rejected URLs below it (ties: the one nearest 0, then the smaller);
+    the threshold lies half-way between it and the next lower step that has
+    URLs.  0 without URLs of both kinds."""
     steps = held_out.groupBy(
         F.greatest(F.least(F.floor(F.col("_mean") / STEP), F.lit(GRID)), F.lit(-GRID)).alias("step")
     ).agg(
@@ -164,14 +167,16 @@ def best_threshold(held_out: DataFrame) -> DataFrame:
     every = Window.partitionBy()
     rated = steps.select(
         "step",
+        F.coalesce(F.lag("step").over(Window.orderBy("step")), "step").alias("lower"),
         (F.sum("a").over(every) - F.coalesce(F.sum("a").over(below), F.lit(0))).alias("kept"),
         F.coalesce(F.sum("b").over(below), F.lit(0)).alias("stopped"),
         F.sum("a").over(every).alias("all_a"),
         F.sum("b").over(every).alias("all_b"),
     ).where("all_a > 0 AND all_b > 0")
     gain = F.col("kept") * F.col("all_b") + F.col("stopped") * F.col("all_a")
-    best = F.max(F.struct(gain.alias("gain"), (-F.abs("step")).alias("near"), (-F.col("step")).alias("low")))
-    return rated.agg(best.alias("best")).select(F.coalesce(-F.col("best.low") * STEP, F.lit(0)).cast("long").alias("threshold"))
+    best = F.max(F.struct(gain.alias("gain"), (-F.abs("step")).alias("near"), (-F.col("step")).alias("low"), "lower"))
+    half = (F.col("best.lower") - F.col("best.low")) * (STEP // 2)
+    return rated.agg(best.alias("best")).select(F.coalesce(half, F.lit(0)).cast("long").alias("threshold"))
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], url_column: str = "url") -> DataFrame:
@@ -292,11 +297,11 @@ scores AS (
     count(*) FILTER (told = 'allow') AS a, count(*) FILTER (told = 'block') AS b
   FROM judged WHERE told IS NOT NULL AND held GROUP BY 1
 ), rated AS (
-  SELECT step, sum(a) OVER () AS all_a, sum(b) OVER () AS all_b,
+  SELECT step, coalesce(lag(step) OVER (ORDER BY step), step) AS lower, sum(a) OVER () AS all_a, sum(b) OVER () AS all_b,
     sum(a) OVER () - coalesce(sum(a) OVER w, 0) AS kept, coalesce(sum(b) OVER w, 0) AS stopped
   FROM steps WINDOW w AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), best AS (
-  SELECT coalesce((SELECT step * {STEP} FROM rated WHERE all_a > 0 AND all_b > 0
+  SELECT coalesce((SELECT (step + lower) * {STEP // 2} FROM rated WHERE all_a > 0 AND all_b > 0
     ORDER BY kept * all_b + stopped * all_a DESC, abs(step), step LIMIT 1), 0) AS threshold
 )
 SELECT page_id, host, path, rule,

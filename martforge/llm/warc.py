@@ -235,9 +235,8 @@ def write_archives(
 
     A null html is an empty payload; a null url gives a record without target.
     Of rows that repeat a page id with the same payload the first is the
-    response and the others revisit it.  Rows without an id refer to the
-    smallest id of their payload, or are responses if it has none.  Payloads of
-    fewer than ``min_revisit_bytes`` bytes are always responses.  Further
+    response and the others revisit it.  Rows without an id stand outside this
+    order and are responses.  Payloads of fewer than ``min_revisit_bytes`` bytes are always responses.  Further
     columns are not read; an empty table gives an empty index and no bundle.
     """
     spark = pages.sparkSession
