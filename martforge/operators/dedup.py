@@ -39,14 +39,19 @@ def mark_later_duplicates(
 ) -> DataFrame:
     """Flag the 2nd and later rows of each key (W2, ``keep='first'``).
 
-    "First" is the smallest ``order_by`` tuple.  Rows tied with the first one
-    are all kept as first (a deterministic rule; file order does not exist in
-    a distributed scan).
+    "First" is the smallest ``order_by`` tuple; rows equal in it are ordered by
+    their other columns, and of wholly equal rows one is first.  Equal rows are
+    counted together, so a key or a row repeated very often stays spread.
     """
-    first = _renamed(df.groupBy(*keys).agg(F.min(F.struct(*order_by)).alias("__first")), keys)
+    rest = [c for c in df.columns if c not in order_by]
+    order = F.struct(*order_by, *rest)
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    first = _renamed(df.groupBy(*keys).agg(F.min(order).alias("__first")), keys)
     cond = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    return df.join(first, cond, "left").select(
-        *df.columns, (~F.struct(*order_by).eqNullSafe(F.col("__first"))).alias(flag)
+    marked = rows.join(first, cond, "left").withColumn("__is_first", order.eqNullSafe(F.col("__first")))
+    return marked.select(
+        *df.columns,
+        F.explode(F.transform(F.sequence(F.lit(1).cast("long"), F.col("__n")), lambda i: ~(F.col("__is_first") & (i == 1)))).alias(flag),
     )
 
 

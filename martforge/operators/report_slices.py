@@ -1,8 +1,9 @@
 """Parameterised report slices (G1-G7): the filters of the report requests,
 applied to our own facts.
 
-Every parameter is optional.  A dimension value that starts with ``"All "``
-(id 0 in a JSON dimension) means "no filter", as in the report forms.  Filters
+Every parameter is optional.  ``None`` or the sentinel ``ALL`` (the "All ..."
+member of a report form, id 0 in a JSON dimension) means "no filter"; any text is
+compared as it is, whatever it begins with.  Filters
 on dimension attributes (producer, site, group type) become a ``left_semi``
 join with the filtered dimension, so facts are never widened.
 """
@@ -15,11 +16,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ALL_PREFIX = "All "
 
 
-def is_all(value: str | None) -> bool:
-    return value is None or value == "0" or value.startswith(ALL_PREFIX)
+class _All:
+    """The type of ``ALL``."""
+
+    def __repr__(self) -> str:
+        return "ALL"
+
+
+ALL = _All()
+
+
+def is_all(value: str | _All | None) -> bool:
+    return value is None or value is ALL
 
 
 def report_slice(
@@ -28,10 +38,10 @@ def report_slice(
     date_col: str | None = None,
     start: _dt.date | str | None = None,
     end: _dt.date | str | None = None,
-    equals: Mapping[str, str | None] | None = None,
+    equals: Mapping[str, str | _All | None] | None = None,
     in_lists: Mapping[str, Sequence[str]] | None = None,
     groups: DataFrame | None = None,
-    group_attrs: Mapping[str, str | None] | None = None,
+    group_attrs: Mapping[str, str | _All | None] | None = None,
     key: str = "group_num",
 ) -> DataFrame:
     """Conjunctive optional filters on a fact table.

@@ -483,8 +483,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
 FROM li""",
         "duplicate_later": line_key_dups + """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       rank() OVER (PARTITION BY l_orderkey, l_linenumber
-                    ORDER BY l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice) > 1 AS is_later
+       row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                          ORDER BY l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice) > 1 AS is_later
 FROM li""",
         "slice_replace_ingredients": _slice_replace_ingredients(),
         "slice_replace_movements": _slice_replace_movements(),

@@ -102,6 +102,10 @@ WHERE group_num IN (SELECT group_num FROM src WHERE open_date >= DATE '{start}'
                     AND NOT contains(upper(group_num), '{tok}'))""",
         "slice_group_list": f"""WITH {GROUPS_BASE}
 SELECT * FROM src WHERE status = 'active' AND group_type = 'Finishing'""",
+        "slice_all_named": f"""WITH {GROUPS_BASE}
+SELECT * REPLACE ('All Saints Farm' AS site) FROM src WHERE site = '{P.SLICE_SITE}'""",
+        "distinct_producers": f"""WITH {GROUPS_BASE}
+SELECT DISTINCT producer FROM src""",
         "slice_mortality": f"""WITH {LINES},{GROUPS_BASE},{deaths_fact_cte()}
 SELECT {cast_select(MOVEMENT_OUT)} FROM deaths_fact
 WHERE {_date_between('movement_date')}

@@ -42,6 +42,13 @@ RATE_COLS = ["feed_grinding_rate", "feed_delivery_rate", "trucking_market_rate",
              "rent_cost_week", "overhead_cost_pig"]
 
 
+def one_per_group(part: DataFrame) -> DataFrame:
+    """One row per group, so that no join multiplies rows: of several rows of a
+    group (a sheet or form loaded twice) the smallest in column order."""
+    rest = [c for c in part.columns if c != "group_num"]
+    return part.groupBy("group_num").agg(F.min(F.struct(*rest)).alias("__r")).select("group_num", "__r.*")
+
+
 def budget_actuals(groups: DataFrame, closeouts: DataFrame, sales: DataFrame, budgets: DataFrame,
                    ingredients: DataFrame, movements: DataFrame, *, start: _dt.date | str,
                    excluded_producer: str | None, group_types: Sequence[str], home_mill: str,
@@ -76,5 +83,5 @@ def budget_actuals(groups: DataFrame, closeouts: DataFrame, sales: DataFrame, bu
     ]
     df = base
     for p in parts:
-        df = df.join(p, "group_num", "left")
+        df = df.join(one_per_group(p), "group_num", "left")
     return to_schema(df, BUDGET_OUT).na.fill(0)

@@ -353,12 +353,24 @@ def q_slice_group_detail(spark: SparkSession, d: str) -> DataFrame:
 
 def q_slice_group_list(spark: SparkSession, d: str) -> DataFrame:
     return rs.report_slice(td.groups(spark, d), equals={"status": "active", "group_type": "Finishing",
-                                                         "producer": "All Producers"})
+                                                         "producer": rs.ALL})
+
+
+def q_slice_all_named(spark: SparkSession, d: str) -> DataFrame:
+    """A site that is called "All ..." is a site like any other."""
+    g = td.groups(spark, d)
+    named = g.withColumn("site", F.when(F.col("site") == P.SLICE_SITE, F.lit("All Saints Farm")).otherwise(F.col("site")))
+    return rs.report_slice(named, equals={"site": "All Saints Farm"}, group_attrs={"producer": rs.ALL}, groups=named)
+
+
+def q_distinct_producers(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct values of one column."""
+    return dedup.distinct_first(td.groups(spark, d), "producer")
 
 
 def q_slice_mortality(spark: SparkSession, d: str) -> DataFrame:
     return rs.report_slice(q_deaths(spark, d), date_col="movement_date", start=P.SLICE_START, end=P.SLICE_END,
-                           groups=td.groups(spark, d), group_attrs={"producer": "All Producers",
+                           groups=td.groups(spark, d), group_attrs={"producer": rs.ALL,
                                                                     "site": P.SLICE_SITE})
 
 
@@ -370,9 +382,9 @@ def q_slice_movements(spark: SparkSession, d: str) -> DataFrame:
 
 def q_slice_ingredients(spark: SparkSession, d: str) -> DataFrame:
     return rs.report_slice(q_ingredients(spark, d), date_col="delivery_date", start=P.SLICE_START,
-                           end=P.SLICE_END, equals={"mill": P.HOME_MILL, "diet": "All Diet Types"},
+                           end=P.SLICE_END, equals={"mill": P.HOME_MILL, "diet": rs.ALL},
                            groups=td.groups(spark, d),
-                           group_attrs={"producer": "All Producers", "site": "All Sites",
+                           group_attrs={"producer": rs.ALL, "site": rs.ALL,
                                         "group_type": "Wean to Finish"})
 
 
@@ -384,7 +396,7 @@ def q_slice_feed_usage(spark: SparkSession, d: str) -> DataFrame:
 def q_slice_sales(spark: SparkSession, d: str) -> DataFrame:
     return rs.report_slice(q_sales(spark, d), date_col="kill_date", start=P.SLICE_START, end=P.SLICE_END,
                            in_lists={"plant": list(P.SLICE_PLANTS)}, groups=td.groups(spark, d),
-                           group_attrs={"producer": "All Producers"})
+                           group_attrs={"producer": rs.ALL})
 
 
 # --- diets and scalar-function coverage -----------------------------------------
@@ -462,6 +474,8 @@ def queries() -> dict[str, Query]:
         "catalog_flatten": q_catalog_flatten,
         "slice_group_detail": q_slice_group_detail,
         "slice_group_list": q_slice_group_list,
+        "slice_all_named": q_slice_all_named,
+        "distinct_producers": q_distinct_producers,
         "slice_mortality": q_slice_mortality,
         "slice_movements": q_slice_movements,
         "slice_ingredients": q_slice_ingredients,

@@ -8,9 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _escaped(c: str) -> Column:
+    """Text of a value; backslash, tab, line feed and carriage return as ``\\\\``, ``\\t``, ``\\n``, ``\\r``."""
+    out = F.coalesce(F.col(c).cast("string"), F.lit(""))
+    for raw, told in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+        out = F.replace(out, F.lit(raw), F.lit(told))
+    return out
+
+
 def tsv_line(columns: Sequence[str]) -> Column:
     """One export record: NULL as empty text, columns joined by a tab."""
-    return F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    return F.concat_ws("\t", *[_escaped(c) for c in columns])
 
 
 def tsv_lines(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
@@ -19,9 +27,5 @@ def tsv_lines(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
 
 
 def write_tsv(df: DataFrame, path: str, order: Sequence[str] | None = None, mode: str = "overwrite") -> None:
-    """Distributed write: one part file per task, no header, ``\\t`` separator."""
-    cols = list(order or df.columns)
-    (df.select(*cols).write.mode(mode)
-       .option("sep", "\t").option("header", "false").option("nullValue", "")
-       .option("emptyValue", "").option("quote", "\u0000")
-       .csv(path))
+    """Distributed write of ``tsv_lines``: one part file per task, no header."""
+    tsv_lines(df, order).write.mode(mode).text(path)

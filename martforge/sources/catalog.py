@@ -56,7 +56,8 @@ def _children(node: Column) -> Column:
 def flatten_catalog(docs: DataFrame, text_col: str = "text", depth: int = 3) -> DataFrame:
     """``(depth, k1 .. k<depth>, value)`` for every node of every catalog tree.
 
-    Level d holds the nodes reached by d keys; absent deeper keys are NULL.
+    Level d holds the nodes reached by d keys; absent deeper keys are NULL.  A
+    tree with nodes below ``depth`` keys is refused with an error: none is lost.
     """
     lvl = docs.select(F.explode(F.from_json(F.col(text_col), LEVEL_TYPE)).alias("k1", "n1"))
     out = lvl.select(F.lit(1).alias("depth"), "k1", *[F.lit(None).cast("string").alias(f"k{i}") for i in range(2, depth + 1)],
@@ -65,6 +66,10 @@ def flatten_catalog(docs: DataFrame, text_col: str = "text", depth: int = 3) ->
     for d in range(2, depth + 1):
         cur = cur.select(*keys, F.explode(_children(F.col(f"n{d - 1}"))).alias(f"k{d}", f"n{d}"))
         keys = keys + [f"k{d}"]
+        if d == depth:
+            below = F.get_json_object(F.col(f"n{d}"), "$.options")
+            deeper = F.raise_error(F.concat(F.lit(f"catalog nodes below {depth} levels, under "), F.col(f"k{d}")))
+            cur = cur.withColumn(f"n{d}", F.when(F.size(F.map_keys(F.from_json(below, LEVEL_TYPE))) > 0, deeper.cast("string")).otherwise(F.col(f"n{d}")))
         level = cur.select(F.lit(d).alias("depth"), *keys,
                            *[F.lit(None).cast("string").alias(f"k{i}") for i in range(d + 1, depth + 1)],
                            _node_value(F.col(f"n{d}")).alias("value"))

@@ -30,29 +30,9 @@ LINE_CATEGORY = {1: "Market Sale", 2: "Inventory Adjustment", 3: "Death", 4: "Eu
 OTHER_CATEGORY = "Transfer"
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, *, balance: bool = False) -> DataFrame:
-    """Lazy scan of one input table; the handle is reused within a session so
-    the file listing and footer read happen once per table.
-
-    ``balance=True`` spreads a source that arrives in fewer splits than the
-    session's parallelism (e.g. one file with one row group) over all cores
-    with a round-robin repartition, so the per-row work after the scan is
-    not single-task.  A source stored as many files already has enough
-    splits and is left as it is.
-    """
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name, balance)
-    df = _TABLES.get(key)
-    if df is None:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        if balance:
-            want = spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < want:
-                df = df.repartition(want)
-        _TABLES[key] = df
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazy scan of one input table; files are listed at every call."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _case(col: Column, mapping: dict, default) -> Column:
@@ -68,7 +48,7 @@ def lines(spark: SparkSession, sf_dir: str, where: Column | None = None) -> Data
     ``where`` restricts the lines (e.g. a report's date window); predicates on
     line-item columns are pushed into the Parquet scan.
     """
-    li = read_table(spark, sf_dir, "lineitem", balance=True)
+    li = read_table(spark, sf_dir, "lineitem")
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate"
     )

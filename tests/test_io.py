@@ -46,6 +46,10 @@ def test_tsv_export(spark, tmp_path):
     write_tsv(df, str(tmp_path / "out"))
     text = spark.read.text(str(tmp_path / "out")).first()[0]
     assert text == "a\t\t1.5"
+    odd = spark.createDataFrame([("a\tb\nc\\", "q\"")], "x string, y string")
+    write_tsv(odd, str(tmp_path / "odd"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "odd")).collect()] == [r.line for r in tsv_lines(odd).collect()]
+    assert tsv_lines(odd).first().line == "a\\tb\\nc\\\\\tq\""
 
 
 def test_ddl(spark, tmp_path):
@@ -104,3 +108,15 @@ def test_run_routes_overflowing_rows_to_rejects(spark, tmp_path):
     assert [r.group_num for r in ok.collect()] == ["G1"]
     rej = spark.read.parquet(str(tmp_path / "_rejects" / "movements"))
     assert [(r.group_num, r.reason.split(":")[0]) for r in rej.collect()] == [("G2", "quantity")]
+
+
+def test_slice_predicate_reaches_the_scan(spark, tmp_path):
+    """Both sides of a slice replacement filter at the Parquet scan."""
+    from martforge.operators.maintenance import replace_slice
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, dt.date(2020, 1, 1)), (2, None)], "id int, d date").write.parquet(path)
+    t = spark.read.parquet(path)
+    out = replace_slice(t, t.limit(0), date_slice("d", "2020-01-01"))
+    assert [r.id for r in out.collect()] == [2]
+    assert "LessThan(d" in out._jdf.queryExecution().executedPlan().toString()

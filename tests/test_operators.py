@@ -58,6 +58,8 @@ def test_duplicate_marks(spark):  # W1, W2
     assert dup[(1, 3)] and dup[(1, 1)] and not dup[(2, 1)] and dup[(None, 1)]
     later = {(r.k, r.o): r.is_later for r in dedup.mark_later_duplicates(df, ["k", "j"], ["o"]).collect()}
     assert later[(1, 3)] and not later[(1, 1)] and not later[(2, 1)] and later[(None, 2)]
+    same = spark.createDataFrame([(1, "a", 1)] * 3, "k int, j string, o int")
+    assert sorted(r.is_later for r in dedup.mark_later_duplicates(same, ["k"], ["o"]).collect()) == [False, True, True]
 
 
 def _groups(spark, rows):

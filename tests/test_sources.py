@@ -38,3 +38,22 @@ def test_delimited_sheet(spark, tmp_path):
     df = rp.read_delimited(spark, str(tmp_path / "b.csv"), schema)
     got = sorted((r.budget_id, r.rate) for r in df.collect())
     assert got[0][1] is not None and float(got[0][1]) == 1.25 and got[1][1] is None
+
+
+def test_catalog_refuses_deeper_nodes(spark):
+    import pytest
+
+    doc = '{"a": {"options": {"b": {"options": {"c": {"value": "1", "options": {"d": {"value": "2"}}}}}}}}'
+    docs = spark.createDataFrame([(doc,)], "text string")
+    with pytest.raises(Exception, match="catalog nodes below 3 levels"):
+        cat.flatten_catalog(docs).collect()
+    assert cat.flatten_catalog(docs, depth=4).count() == 4
+
+
+def test_all_is_a_sentinel_not_a_prefix(spark):
+    from martforge.operators import report_slices as rs
+
+    df = spark.createDataFrame([("All Saints Farm",), ("North",), ("0",)], "site string")
+    assert [r.site for r in rs.report_slice(df, equals={"site": "All Saints Farm"}).collect()] == ["All Saints Farm"]
+    assert [r.site for r in rs.report_slice(df, equals={"site": "0"}).collect()] == ["0"]
+    assert rs.report_slice(df, equals={"site": rs.ALL}).count() == 3
