@@ -12,7 +12,8 @@ whose similarity reaches a threshold, as components of linked documents:
   a prefix of each set is indexed.  A component is one entry in a list however
   many members share the shingle.  Lists are skipped by blocks: entries whose
   position is beyond the first block need not meet each other, and sizes and
-  positions that cannot reach the threshold do not.
+  positions that cannot reach the threshold do not.  Two sets that met have to
+  share enough of their prefixes before they are compared whole.
 * A component's answers are derived from its leader's: the leaders of two
   components that met in a list are compared, and only members whose distances
   to the leaders leave room for a link are compared themselves.
@@ -35,7 +36,9 @@ from pyspark.sql import functions as F
 from martforge.llm.common import importable, table, write_shared
 from martforge.llm.components import components
 
-#: Independent min-hashes by which hubs are found.
+#: Independent min-hashes of a set; the first of them name the groups that hubs
+#: are sought in.
+MIN_HASHES = 8
 HUB_KEYS = 4
 #: A shingle in this many of the examined prefixes is frequent; entries that the
 #: list of frequent shingles has at most (8 bytes each).
@@ -47,7 +50,7 @@ BROADCAST_IDS = 1_000_000
 _BASE = np.uint64(0x9FB21C651E98DF25)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _POWERS = np.cumprod(np.full(1 << 14, _BASE, dtype=np.uint64), dtype=np.uint64)
-_SEEDS = np.array([0x8CB92BA72F3D8DD7, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
+_SEEDS = np.random.default_rng(7).integers(1 << 62, 1 << 63, MIN_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -107,7 +110,7 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def _slices(texts: pa.Array, size: int = 1 << 22) -> Iterator[tuple[int, pa.Array]]:
+def _slices(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, pa.Array]]:
     lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     at = held = 0
     for i, n in enumerate(lengths):
@@ -125,31 +128,44 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, digest, keys, low) of each row: size and digest of the set, its
-    min-hashes, and its lowest shingles (twice the prefix)."""
+def signatures(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, n, digest, keys) of each row: size, digest and min-hashes of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in _slices(batch.column(1)):
-                sizes, digests, keys, low = [], [], [], []
+                sizes, digests, keys = [], [], []
                 for s in shingle_sets(texts, width):
                     sizes.append(len(s))
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                    keys.append(np.array([(s * k).min() for k in _SEEDS[:HUB_KEYS]], np.uint64) if len(s) else s)
-                    low.append(s[: 2 * prefix_length(len(s), percent)])
+                    keys.append(np.array([(s * k).min() for k in _SEEDS], np.uint64) if len(s) else s)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, len(texts)),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(digests, pa.binary()),
-                        _lists(keys),
-                        _lists(low),
-                    ],
-                    ["doc_id", "n", "digest", "keys", "low"],
+                    [batch.column(0).slice(first, len(texts)), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), _lists(keys)],
+                    ["doc_id", "n", "digest", "keys"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n long, digest binary, keys array<long>, low array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, digest binary, keys array<long>")
+
+
+def frequent_shingles(docs: DataFrame, width: int, percent: int) -> np.ndarray:
+    """The shingles that stand in the most prefixes, sorted.
+
+    Counted over one and a half prefixes of all texts; ``FREQUENT_ENTRIES`` of
+    them at most are put last in the order of shingles, which decides how long
+    lists get, not what is found."""
+
+    def low(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in _slices(batch.column(0)):
+                heads = [s[: prefix_length(len(s), percent) * 3 // 2] for s in shingle_sets(texts, width)]
+                tokens, n = np.unique(np.concatenate(heads).view(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array(n.astype(np.int32))], ["token", "n"])
+
+    counts = docs.select("text").mapInArrow(low, "token long, n int").groupBy("token").agg(F.sum("n").alias("c"))
+    often = write_shared(counts.where(F.col("c") >= FREQUENT), "frequent")
+    if often.count() > FREQUENT_ENTRIES:
+        often = often.orderBy(F.desc("c"), "token").limit(FREQUENT_ENTRIES)
+    return np.sort(np.array([r.token for r in often.select("token").toLocalIterator()], np.int64).view(np.uint64))
 
 
 def _wanted(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -172,16 +188,18 @@ def sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                     [batch.column(0).slice(first, len(texts)), _lists(sets)], ["node", "shingles"]
                 )
 
-    return _wanted(docs, nodes).mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
+    return _wanted(docs, nodes).mapInArrow(run, "node long, shingles array<long>")
 
 
 def compared(docs: DataFrame, pairs: DataFrame, width: int, label: str) -> DataFrame:
-    """``pairs`` (a, b, ...) with ``both``, the exact size of the intersection."""
+    """``pairs`` (a, b, ...) with ``both``, the exact size of the intersection.
+
+    An id that several rows have gives a row for each of their sets."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = write_shared(sets_of(docs, write_shared(nodes, f"{label}-nodes"), width), f"{label}-sets")
     left, right = sets.withColumnsRenamed({"node": "a", "shingles": "sa"}), sets.withColumnsRenamed({"node": "b", "shingles": "sb"})
     met = pairs.join(left, "a").join(right, "b")
-    return write_shared(met.withColumn("both", F.size(F.array_intersect("sa", "sb")).cast("long")).drop("sa", "sb"), label)
+    return write_shared(met.withColumn("both", F.size(F.array_intersect("sa", "sb")).cast("long")).drop("sa", "sb").distinct(), label)
 
 
 def reaches(both: Column, na: Column, nb: Column, percent: int) -> Column:
@@ -201,12 +219,15 @@ def linked_sets(docs: DataFrame, classes: DataFrame, signs: DataFrame, width: in
     classes = classes.where(F.col("n") >= least)
     signed = write_shared(signs.join(classes.select(F.col("node").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"]), "class-signatures")
 
-    # Hubs: each set against the smallest node of its min-hash groups.
-    keyed = signed.select(F.col("doc_id").alias("node"), "n", F.posexplode("keys").alias("k", "key"))
-    hubs = keyed.groupBy("k", "key").agg(F.min(F.struct("node", "n")).alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    # Hubs: each set against the smallest node of its min-hash groups, if most of
+    # their min-hashes agree.  What this misses, the index lists find.
+    keyed = signed.select(F.col("doc_id").alias("node"), "n", "keys", F.posexplode(F.slice("keys", 1, HUB_KEYS)).alias("k", "key"))
+    hubs = keyed.groupBy("k", "key").agg(F.min(F.struct("node", "n", "keys")).alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    agree = F.size(F.filter(F.zip_with("keys", "hub.keys", lambda x, y: x == y), lambda same: same))
     stars = (
         keyed.join(hubs, ["k", "key"])
         .where((F.col("node") != F.col("hub.node")) & (percent * F.greatest("n", "hub.n") <= 100 * F.least("n", "hub.n")))
+        .where(agree >= max(1, int(0.7 * t * MIN_HASHES)))
         .select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb"))
         .distinct()
     )
@@ -232,7 +253,7 @@ def linked_sets(docs: DataFrame, classes: DataFrame, signs: DataFrame, width: in
     pairs = met_in_lists(docs, signed, far, width, percent, slack)
     # Leaders first.
     pairs = pairs.join(sizes.withColumnsRenamed({"node": "a", "n": "na"}), "a").join(sizes.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
-    led = compared(docs, write_shared(pairs, "met"), width, "met-links")
+    led = compared(docs, write_shared(pairs, "led-pairs"), width, "met-links")
     linked = reaches(F.col("both"), F.col("na"), F.col("nb"), percent)
     edges = edges.select("a", "b").unionByName(led.where(linked).select("a", "b"))
     # Then members that the distances leave room for.
@@ -274,10 +295,7 @@ def met_in_lists(
 ) -> DataFrame:
     """Pairs (a, b) of components (or single classes) that meet in an index list."""
     spark = docs.sparkSession
-    seen = signed.select(F.explode("low").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= FREQUENT)
-    often = seen.orderBy(F.desc("c"), "token").limit(FREQUENT_ENTRIES) if seen.count() > FREQUENT_ENTRIES else seen
-    # The order of shingles decides how long lists get, not what is found.
-    frequent = spark.sparkContext.broadcast(np.sort(np.array([r.token for r in often.select("token").toLocalIterator()], np.int64).view(np.uint64)))
+    frequent = spark.sparkContext.broadcast(frequent_shingles(docs, width, percent))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = frequent.value
@@ -299,13 +317,15 @@ def met_in_lists(
         .join(far.select("node", "component"), "node", "left")
         .join(heads.withColumnRenamed("doc_id", "node"), "node")
         .dropDuplicates(["node"])
-        .select(F.coalesce("component", "node").alias("c"), F.col("component").isNotNull().alias("many"), "n", F.posexplode("prefix").alias("pos", "token"))
+        .select(F.coalesce("component", "node").alias("c"), F.col("component").isNotNull().alias("many"), "n", "prefix")
     )
-    placed = write_shared(placed, "prefixes")
+    heads = write_shared(placed, "prefixes")
+    placed = heads.select("c", "many", "n", F.posexplode("prefix").alias("pos", "token"))
     # A component has one entry in a list; a single class has one anyway.
     single = placed.where("NOT many").select("token", "c", F.col("n").alias("lo"), F.col("n").alias("hi"), "pos")
     many = placed.where("many").groupBy("token", "c").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("pos").alias("pos"))
-    entries = single.unionByName(many)
+    # One shuffle lays out the lists; most have one entry and go.
+    entries = single.unionByName(many).repartition("token")
     several = entries.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("token")
     entries = write_shared(entries.join(several, "token").withColumn("first", F.col("pos") <= slack * F.col("hi")), "lists")
     x, y = entries.where("first").alias("x"), entries.alias("y")
@@ -317,7 +337,20 @@ def met_in_lists(
         & (percent * F.col("y.lo") <= 100 * F.col("x.hi"))
         & (F.col("x.pos") + F.col("y.pos") <= slack * (F.col("x.hi") + F.col("y.hi")))
     )
-    return x.join(y, may).select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct()
+    pairs = write_shared(
+        x.join(y, may).select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct(), "met"
+    )
+    # Two single classes have to share enough of their prefixes: what is shared
+    # beyond the prefix that ends first is at most what that set has beyond it.
+    alone = heads.where("NOT many").select("c", "n", "prefix")
+    both = (
+        pairs.join(alone.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa")), "a", "left")
+        .join(alone.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb")), "b", "left")
+    )
+    asked = F.expr(f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}")
+    beyond = F.expr(f"({percent} * greatest(na, nb) + 99) div 100 - 1")
+    enough = F.size(F.array_intersect("pa", "pb")) >= asked - beyond
+    return both.where(F.coalesce(enough, F.lit(True))).select("a", "b")
 
 
 def jaccard_components(
@@ -334,13 +367,13 @@ def jaccard_components(
     spark = docs.sparkSession
     importable(spark)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    signs = write_shared(signatures(texts, width, percent), "signatures")
+    signs = write_shared(signatures(texts, width), "signatures")
     classes = write_shared(
         signs.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("node"), F.max("n").alias("n")).where("node IS NOT NULL"),
         "classes",
     )
     nodes = classes.select("node", "n").dropDuplicates(["node"])
-    edges = linked_sets(texts, nodes, signs.select("doc_id", "n", "keys", "low"), width, percent)
+    edges = linked_sets(texts, nodes, signs.select("doc_id", "n", "keys"), width, percent)
     found = components(edges)
     # Few classes are linked to others; the join's hot side, one digest with very
     # many documents, is split by AQE.
