@@ -21,7 +21,7 @@ _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
 #: libraries may know different Unicode versions.
 _RARE = re.compile("[^\u0000-ԯ‐-›€]")
 #: Kept units per process: bounds a worker's memory; others are encoded again.
-MAX_UNITS = 700_000
+MAX_UNITS = 400_000
 MAX_UNIT_CHARS = 48
 
 
