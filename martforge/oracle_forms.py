@@ -137,10 +137,10 @@ anc1 AS (
     for k in range(2, len(SECTION_LABELS) + 1):
         parts.append(f"""
 anc{k} AS (
-  SELECT a.*, (SELECT min(t.row_no) FROM titles t
-               WHERE t.file_id = a.file_id AND t.value = {_q(SECTION_LABELS[k - 1])}
-                 AND t.row_no >= coalesce(a.a{k - 1}, 0)) AS a{k}
-  FROM anc{k - 1} a
+  SELECT a.*, min(t.row_no) AS a{k}
+  FROM anc{k - 1} a LEFT JOIN titles t
+    ON t.file_id = a.file_id AND t.value = {_q(SECTION_LABELS[k - 1])} AND t.row_no >= coalesce(a.a{k - 1}, 0)
+  GROUP BY ALL
 )""")
     n = len(SECTION_LABELS)
     complete = " AND ".join(f"a{k} IS NOT NULL" for k in range(1, n + 1))

@@ -37,7 +37,7 @@ MARKET_CATEGORY = "Market Sale"
 ADJUSTMENT_CATEGORY = "Inventory Adjustment"
 BUDGET_TYPES = ("budget", "actual")
 
-# Report-slice parameters (G1-G7).  "All ..." values mean "no filter".
+# Report-slice parameters.
 SLICE_START = "2000-01-01"
 SLICE_END = "2000-12-31"
 SLICE_SITE = "Site 3"

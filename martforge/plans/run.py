@@ -11,14 +11,16 @@ the whole run).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge import params as P
 from martforge.functions.calendar import lookback_starts
 from martforge.operators import dimsync
+from martforge.operators import forms as fm
 from martforge.operators.maintenance import category_slice, date_slice
 from martforge.plans import budgets as bd
 from martforge.plans import closeouts as co
@@ -27,6 +29,7 @@ from martforge.plans import movements as mv
 from martforge.plans import sales as sl
 from martforge.schemas import GROUPS
 from martforge.sinks.tables import TableStore
+from martforge.sources.layout import SECTION_LABELS
 
 # Dependency order of the steps.
 STEPS = ("groups", "ingredients", "movements", "deaths", "sales", "budget_init", "closeouts", "budget_actuals")
@@ -48,6 +51,27 @@ class Reports:
     budgets: DataFrame | None = None
 
 
+@dataclass(frozen=True)
+class RunConfig:
+    """What a run depends on besides the reports; nothing here has a default.
+
+    ``lookback``: days per table; ``entity_rename``: report names of entities;
+    ``excluded_producer`` / ``group_types`` / ``home_mill``: the actuals mart;
+    ``candidate_exclude_token``: group codes that no closeout form is loaded for.
+    """
+
+    lookback: Mapping[str, int]
+    entity_rename: Mapping[str, str]
+    excluded_producer: str
+    group_types: Sequence[str]
+    home_mill: str
+    candidate_exclude_token: str
+
+
+#: Start of the slices of a first load or backfill.
+BEGINNING = _dt.date(1, 1, 1)
+
+
 def stores(spark: SparkSession, warehouse: str) -> dict[str, TableStore]:
     w = warehouse.rstrip("/")
     return {
@@ -60,73 +84,83 @@ def stores(spark: SparkSession, warehouse: str) -> dict[str, TableStore]:
     }
 
 
-def checked(warehouse: str, table: str, batch: DataFrame, run_id: str) -> DataFrame:
-    """Typed load of a batch (K3): rows that do not fit the declared types or
-    lengths are appended to ``<warehouse>/_rejects/<table>/run=<run_id>``
-    with a reason; the accepted rows are returned (types unchanged)."""
+def checked(warehouse: str, table: str, batch: DataFrame, run_id: str, slice_pred: Column | None = None) -> DataFrame:
+    """Typed load of a batch (K3).
+
+    The batch is computed once, with a reject reason per row: it does not fit the
+    declared types or lengths, or it lies outside ``slice_pred``.  Rows with a
+    reason go to ``<warehouse>/_rejects/<table>/run=<run_id>``; the accepted rows
+    are returned (types unchanged)."""
     from martforge.operators.quality import reject_reason
     from martforge.schemas import TABLES, VARCHAR_LEN
 
-    tagged = batch.withColumn("reason", reject_reason(batch, TABLES[table], VARCHAR_LEN.get(table)))
-    tagged.filter(F.col("reason").isNotNull()).write.mode("append").parquet(
-        f"{warehouse.rstrip('/')}/_rejects/{table}/run={run_id}")
+    reason = reject_reason(batch, TABLES[table], VARCHAR_LEN.get(table))
+    if slice_pred is not None:
+        outside = F.when(slice_pred.isNull() | ~slice_pred, F.lit("outside the slice that this load replaces"))
+        reason = F.coalesce(reason, outside)
+    root = warehouse.rstrip("/")
+    staged = f"{root}/_staged/{table}/{uuid.uuid4().hex}"
+    tagged = batch.withColumn("reason", reason)
+    tagged.write.parquet(staged)
+    tagged = batch.sparkSession.read.schema(tagged.schema).parquet(staged)
+    tagged.filter(F.col("reason").isNotNull()).write.mode("append").parquet(f"{root}/_rejects/{table}/run={run_id}")
     return tagged.filter(F.col("reason").isNull()).drop("reason")
 
 
-def run(spark: SparkSession, reports: Reports, warehouse: str, *, as_of: _dt.date | str,
-        lookback: dict[str, int] | None = None, strict: bool = True, typed: bool = True) -> dict[str, str]:
+def run(spark: SparkSession, reports: Reports, warehouse: str, *, as_of: _dt.date | str, config: RunConfig,
+        first_load: bool = False, strict: bool = True, typed: bool = True) -> dict[str, str]:
     """Apply one download to the warehouse; returns the committed version per step.
 
-    ``strict=True`` drops batch rows outside their own slice, so rerunning
-    the same download is idempotent (the legacy behaviour, ``strict=False``,
-    duplicates death rows reported by the movement report, quirk Q13).
-    ``typed=True`` routes fact rows that overflow the declared types to a
-    reject table per fact (K3) instead of committing them.
+    ``first_load=True`` starts every slice at the beginning, so that no history
+    is outside of it (a first load or a backfill).  ``strict=True`` loads no batch
+    rows outside their own slice, so rerunning the same download is idempotent
+    (the legacy behaviour, ``strict=False``, duplicates death rows reported by
+    the movement report, quirk Q13).  ``typed=True`` routes fact rows that
+    overflow the declared types, and with ``strict`` those outside the slice, to
+    a reject table per fact (K3) instead of committing them; forms without all
+    section titles are listed in ``_rejects/forms``.
     """
-    lb = lookback or P.LOOKBACK_DAYS
-    start = lookback_starts(as_of, lb)
+    start = dict.fromkeys(config.lookback, BEGINNING) if first_load else lookback_starts(as_of, dict(config.lookback))
     st = stores(spark, warehouse)
     out: dict[str, str] = {}
     run_id = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
 
-    def load(table: str, batch: DataFrame) -> DataFrame:
-        return checked(warehouse, table, batch, run_id) if typed else batch
+    def replace(store: str, batch: DataFrame, pred: Column) -> str:
+        if typed:
+            batch = checked(warehouse, store, batch, run_id, pred if strict else None)
+        return st[store].replace_slice(batch, pred, strict=strict)
 
     out["groups"] = st["groups"].replace(dimsync.dim_sync(reports.groups, st["groups"].read()))
 
-    out["ingredients"] = st["ingredients"].replace_slice(
-        load("ingredients", ing.ingredients(reports.ingredient_qty, reports.ingredient_cost)),
-        date_slice("delivery_date", start["ingredients"]), strict=strict)
+    out["ingredients"] = replace("ingredients", ing.ingredients(reports.ingredient_qty, reports.ingredient_cost),
+                                 date_slice("delivery_date", start["ingredients"]))
 
     death = mv.DEATH_CATEGORIES
     cat = F.coalesce(F.col("event_category"), F.lit("")) if strict else F.col("event_category")
-    out["movements"] = st["movements"].replace_slice(
-        load("movements", mv.movements(reports.movements, rename=P.ENTITY_RENAME)),
-        date_slice("movement_date", start["movements"]) & ~cat.isin(*death), strict=strict)
-    out["deaths"] = st["movements"].replace_slice(
-        load("movements", mv.deaths(reports.deaths)),
-        date_slice("movement_date", start["deaths"]) & category_slice("event_category", death, inside=True),
-        strict=strict)
+    out["movements"] = replace("movements", mv.movements(reports.movements, rename=dict(config.entity_rename)),
+                               date_slice("movement_date", start["movements"]) & ~cat.isin(*death))
+    out["deaths"] = replace("movements", mv.deaths(reports.deaths),
+                            date_slice("movement_date", start["deaths"]) & category_slice("event_category", death, inside=True))
 
-    out["sales"] = st["sales"].replace_slice(
-        load("sales", sl.sales(reports.carcass, reports.loads)), date_slice("kill_date", start["sales"]), strict=strict)
+    out["sales"] = replace("sales", sl.sales(reports.carcass, reports.loads), date_slice("kill_date", start["sales"]))
 
     if reports.budgets is not None:
-        out["budget_init"] = st["budgets"].append(bd.budget_init(reports.budgets))
+        out["budget_init"] = st["budgets"].append(bd.budget_init(reports.budgets), key="budget_id")
 
     groups = st["groups"].read()
-    opened = groups.filter(date_slice("open_date", start["closeouts"])).select("group_num")
-    forms = co.closeouts(reports.cells, reports.layout).join(opened, "group_num", "left_semi")
-    out["closeouts"] = st["closeouts"].replace_slice(load("closeouts", forms), date_slice("start_date", start["closeouts"]),
-                                                     strict=strict)
+    wanted = bd.closeout_candidates(groups, start["closeouts"], config.candidate_exclude_token).select("group_num")
+    cells = reports.cells.join(wanted.withColumnRenamed("group_num", "file_id"), "file_id", "left_semi")
+    fm.rejected_forms(cells, SECTION_LABELS).withColumn("reason", F.lit("a section title is missing or out of order")).write.mode(
+        "append").parquet(f"{warehouse.rstrip('/')}/_rejects/forms/run={run_id}")
+    forms = co.closeouts(cells, reports.layout).join(wanted, "group_num", "left_semi")
+    out["closeouts"] = replace("closeouts", forms, date_slice("start_date", start["closeouts"]))
 
     actuals = bd.budget_actuals(
         groups, st["closeouts"].read(), st["sales"].read(), st["budgets"].read(), st["ingredients"].read(),
-        st["movements"].read(), start=start["budget_actuals"], excluded_producer=P.EXCLUDED_PRODUCER,
-        group_types=P.ACTUALS_GROUP_TYPES, home_mill=P.HOME_MILL)
-    out["budget_actuals"] = st["budgets"].replace_slice(
-        load("budgets", actuals), date_slice("start_date", start["budget_actuals"]) & (F.col("budget_type") == "actual"),
-        strict=strict)
+        st["movements"].read(), start=start["budget_actuals"], excluded_producer=config.excluded_producer,
+        group_types=config.group_types, home_mill=config.home_mill)
+    out["budget_actuals"] = replace(
+        "budgets", actuals, date_slice("start_date", start["budget_actuals"]) & (F.col("budget_type") == "actual"))
     return out
 
 

@@ -6,7 +6,7 @@ from martforge import params as P
 from martforge.functions.calendar import lookback_start
 from martforge.operators.maintenance import date_slice
 from martforge.plans import movements as mv
-from martforge.plans.run import run, stores
+from martforge.plans.run import RunConfig, run, stores
 from martforge.plans.run import testdata_reports as build_reports
 from martforge.schemas import SALES, widen
 from martforge.sinks.ddl import create_table, create_table_sql, drop_table
@@ -16,14 +16,27 @@ from martforge.sources import reports as rp
 from martforge.streaming.ingest import slice_loader, start_ingest
 
 
+CONFIG = RunConfig(P.LOOKBACK_DAYS, P.ENTITY_RENAME, P.EXCLUDED_PRODUCER, P.ACTUALS_GROUP_TYPES, P.HOME_MILL,
+                   P.CANDIDATE_EXCLUDE_TOKEN)
+
+
 def test_run_is_idempotent_and_ordered(spark, small_dir, tmp_path):
     wh = str(tmp_path / "wh")
     full = build_reports(spark, small_dir)
-    run(spark, full, wh, as_of=P.AS_OF)
+    run(spark, full, wh, as_of=P.AS_OF, config=CONFIG, first_load=True)
+    # Nothing of the first download is lost: what is not in the fact is a reject.
+    loaded = stores(spark, wh)["sales"].read().count()
+    from martforge.plans.sales import sales
+
+    refused = spark.read.parquet(f"{wh}/_rejects/sales").count()
+    assert loaded + refused == sales(full.carcass, full.loads).count()
+    assert stores(spark, wh)["sales"].read().agg(F.min("kill_date")).first()[0] < lookback_start(P.AS_OF, 2000)
+    run(spark, full, wh, as_of=P.AS_OF, config=CONFIG)
+    assert spark.read.parquet(f"{wh}/_rejects/sales").where("reason like 'outside%'").count() > 0
     counts1 = {k: s.read().count() for k, s in stores(spark, wh).items()}
     window = lookback_start(P.AS_OF, P.LOOKBACK_DAYS["movements"])
     again = build_reports(spark, small_dir, window_start=window, with_budgets=False)
-    run(spark, again, wh, as_of=P.AS_OF)
+    run(spark, again, wh, as_of=P.AS_OF, config=CONFIG)
     counts2 = {k: s.read().count() for k, s in stores(spark, wh).items()}
     assert counts1 == counts2
     assert counts1["budgets"] > 0 and counts1["closeouts"] > 0
@@ -40,6 +53,22 @@ def test_table_store_versions(spark, tmp_path):
     assert v1 != v2 and sorted(r.id for r in s.read().collect()) == [1, 3]
 
 
+def test_table_store_survives_a_dead_commit(spark, tmp_path):
+    import pytest
+
+    s = TableStore(spark, str(tmp_path / "t"), spark.createDataFrame([], "id int").schema)
+    assert s.read().count() == 0  # no root yet
+    v1 = s.commit(spark.createDataFrame([(1,)], "id int"))
+    # A job that died after its files and before its marker.
+    spark.createDataFrame([(9,)], "id int").write.parquet(f"{s.root}/v={int(v1) + 1:012d}")
+    assert [r.id for r in s.read().collect()] == [1]
+    s.append(spark.createDataFrame([(1,), (2,), (2,)], "id int"), key="id")
+    assert sorted(r.id for r in s.read().collect()) == [1, 2]
+    (tmp_path / "t" / "_commits" / f"{99:012d}").touch()  # a version without files is an error, not an empty table
+    with pytest.raises(Exception):
+        s.read().count()
+
+
 def test_tsv_export(spark, tmp_path):
     df = spark.createDataFrame([("a", None, 1.5)], "x string, y string, z double")
     assert tsv_lines(df).first().line == "a\t\t1.5"
