@@ -113,7 +113,7 @@ def keyset_cte(name: str, start: _dt.date) -> str:
 )"""
 
 
-def actuals_cte(name: str, keyset: str, stats_suffix: str = "") -> str:
+def actuals_cte(name: str, keyset: str, stats_suffix: str = "", tons: str = "tons") -> str:
     from martforge.plans.budgets import BUDGET_OUT
 
     given = {"budget_type": "'actual'", "budget_id": "k.group_num || '-actual'", "group_num": "k.group_num"}
@@ -130,7 +130,7 @@ def actuals_cte(name: str, keyset: str, stats_suffix: str = "") -> str:
   SELECT {body}
   FROM {keyset} k
   LEFT JOIN co USING (group_num) LEFT JOIN ss USING (group_num) LEFT JOIN ls USING (group_num)
-  LEFT JOIN rates USING (group_num) LEFT JOIN tons USING (group_num) LEFT JOIN mv USING (group_num)
+  LEFT JOIN rates USING (group_num) LEFT JOIN {tons} USING (group_num) LEFT JOIN mv USING (group_num)
 )"""
 
 
@@ -154,8 +154,12 @@ def slice_replace_budgets_sql() -> str:
     start = _start("budget_actuals")
     old_start = _start("budget_actuals", PREVIOUS_RUN_EXTRA_DAYS)
     cols = ", ".join(f.name for f in BUDGET_OUT.fields)
-    return (facts_with() + keyset_cte("keyset", old_start) + stats_ctes("keyset")
-            + actuals_cte("old_actuals", "keyset")
+    stats = stats_ctes("keyset")
+    begin = stats.index("\ntons AS (")
+    tons = stats[begin:stats.index("\n),", begin) + 2]
+    before = tons.replace("\ntons AS (", ",\ntons_before AS (").replace(P.HOME_MILL, P.PREVIOUS_HOME_MILL)
+    return (facts_with() + keyset_cte("keyset", old_start) + stats + before
+            + actuals_cte("old_actuals", "keyset", tons="tons_before")
             + keyset_cte("keyset_new", start) + actuals_cte("new_actuals", "keyset_new")
             + f""",
 btgt AS (SELECT {cast_select(BUDGET_OUT)} FROM budgets_src UNION ALL SELECT {cols} FROM old_actuals)

@@ -33,6 +33,8 @@ CANDIDATE_EXCLUDE_TOKEN = "G1"
 # movement categories of the trucking averages, and the budget row types.
 ACTUALS_GROUP_TYPES = ("Finishing", "Wean to Finish")
 HOME_MILL = "Home Mill"
+# The mill that counted as home mill when the stored actuals were computed.
+PREVIOUS_HOME_MILL = "Supplier#000000001"
 MARKET_CATEGORY = "Market Sale"
 ADJUSTMENT_CATEGORY = "Inventory Adjustment"
 BUDGET_TYPES = ("budget", "actual")

@@ -265,11 +265,12 @@ def _actual_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
             "ingredients": q_ingredients(spark, d), "movements": movements_table(spark, d)}
 
 
-def _actuals(spark: SparkSession, d: str, start, inputs: dict[str, DataFrame] | None = None) -> DataFrame:
+def _actuals(spark: SparkSession, d: str, start, inputs: dict[str, DataFrame] | None = None,
+             home_mill: str = P.HOME_MILL) -> DataFrame:
     i = inputs or _actual_inputs(spark, d)
     return bd.budget_actuals(
         i["groups"], i["closeouts"], i["sales"], i["budgets"], i["ingredients"], i["movements"], start=start,
-        excluded_producer=P.EXCLUDED_PRODUCER, group_types=P.ACTUALS_GROUP_TYPES, home_mill=P.HOME_MILL)
+        excluded_producer=P.EXCLUDED_PRODUCER, group_types=P.ACTUALS_GROUP_TYPES, home_mill=home_mill)
 
 
 def q_budget_actuals(spark: SparkSession, d: str) -> DataFrame:
@@ -283,15 +284,11 @@ PREVIOUS_RUN_EXTRA_DAYS = 365
 def q_slice_replace_budgets(spark: SparkSession, d: str) -> DataFrame:
     start = start_of("budget_actuals")
     inputs = _actual_inputs(spark, d)
-    # One row per group; the shuffle gives both readers below one exchange to reuse.
-    old = _actuals(spark, d, lookback_start(start, PREVIOUS_RUN_EXTRA_DAYS), inputs).repartition("group_num")
+    # The stored actuals come from a wider window and another home mill, so the
+    # new run changes figures of the groups it replaces.
+    old = _actuals(spark, d, lookback_start(start, PREVIOUS_RUN_EXTRA_DAYS), inputs, P.PREVIOUS_HOME_MILL)
     target = bd.budget_init(inputs["budgets"]).unionByName(old)
-    # The new window starts later, so its groups are a subset of the previous
-    # run's and their per-group figures are the same: filter instead of
-    # recomputing the mart.
-    new_keys = bd.actuals_key_set(inputs["groups"], start, excluded_producer=P.EXCLUDED_PRODUCER,
-                                  group_types=P.ACTUALS_GROUP_TYPES)
-    batch = old.join(new_keys, "group_num", "left_semi")
+    batch = _actuals(spark, d, start, inputs)
     pred = mt.date_slice("start_date", start) & (F.col("budget_type") == "actual")
     return mt.replace_slice(target, batch, pred)
 
