@@ -312,3 +312,53 @@ def test_decontamination(spark, clash, no_docs):
 def test_common_subsequence():
     assert decontamination.common_words({1: 0b101, 2: 0b010}, 3, [1, 9, 2, 1]) == 3
     assert decontamination.common_words({1: 0b101, 2: 0b010}, 3, [2, 2, 9]) == 1
+
+
+@pytest.mark.parametrize("replaced", [0.2, 0.3, 0.38])
+def test_decontamination_finds_replaced_words(spark, replaced):
+    """All that brute force says is 60-80 % of an item with its answer, or more."""
+    import random
+
+    r = random.Random(16)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 8))) for _ in range(3000)]
+    often = words[:40]
+    say = lambda n: [r.choice(often if r.random() < 0.4 else words) for _ in range(n)]
+    items = [(i, " ".join(say(r.randint(15, 60)))) for i in range(200)]
+    rows, want = [], set()
+    for d, item in items:
+        said = item.split()
+        n = len(said)
+        for k in r.sample(range(n - decontamination.ANSWER_WORDS), min(int(replaced * n), n - decontamination.ANSWER_WORDS)):
+            said[k] = r.choice(words)
+        places = {}
+        for i, w in enumerate(item.split()):
+            places[w] = places.get(w, 0) | 1 << i
+        assert decontamination.common_words(places, n, said) >= 0.6 * n
+        text = say(r.randint(50, 400))
+        at = r.randint(0, len(text))
+        rows.append((d, " ".join(text[:at] + said + text[at:])))
+        want.add((d, d))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.find_contamination(docs, bench).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == want
+    assert all(-1 <= x.cosine <= 1.001 and x.lcs_words >= 0.6 * x.item_words for x in got)
+
+
+def test_shared_words_in_small_parts(monkeypatch):
+    """The stretches that share words do not depend on the parts looked at."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    items = [decontamination.make_item(i, " ".join(r.choices(words, k=r.randint(8, 70)))) for i in range(30)]
+    texts = pa.array([" ".join(r.choices(words, k=r.randint(0, 900))) for _ in range(12)] + [None, " ".join(items[3].words)])
+    space = np.random.default_rng(1).standard_normal((decontamination.BUCKETS + 1, 8)).astype(np.float32)
+    finder = decontamination.Search(items, space, np.ones(decontamination.BUCKETS, np.float32))
+    whole = set(finder.sharing(*decontamination.batch_terms(texts)))
+    assert (13, 0, 3, None) in whole
+    monkeypatch.setattr(decontamination, "SHARED_WORDS", 1)
+    assert set(finder.sharing(*decontamination.batch_terms(texts))) == whole
