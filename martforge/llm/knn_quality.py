@@ -1,7 +1,8 @@
 """Operator 9: quality by nearest-neighbour voting in a latent-semantic space.
 
 Terms are pairs of neighbouring character classes of the whole text, and a few
-terms on words (repeated, upper case, ended by a symbol).  TF-IDF vectors of a
+terms on words (repeating the one before, upper case, ended by a symbol, and
+repeated within ``REPEAT_WORDS`` words, over the whole text).  TF-IDF vectors of a
 bounded, documented sample of labelled rows are factorised by a randomised SVD;
 the sample's latent vectors are broadcast (``voters`` rows of ``rank`` floats,
 whatever the input).  Every document is projected, its cosine with every voter
@@ -31,6 +32,8 @@ NEIGHBOURS = 15
 SHARPNESS = 6.0
 PRIOR_WEIGHT = 0.05
 BLOCK = 512
+#: Words among which repeats are counted: a share that a text's length does not move.
+REPEAT_WORDS = 50
 
 CLASSES = 64
 _PUNCTUATION = b".,!?#*$%&|<>-'\"/:;()[]{}=_@+~^"
@@ -56,6 +59,17 @@ def _class_table() -> np.ndarray:
 CLASS_OF = _class_table()
 
 
+def repeat_share(words: list[bytes]) -> float:
+    """Share of words that repeat another of the same ``REPEAT_WORDS``: the mean
+    over the whole text, window by window; the last one ends with the text."""
+    n = len(words)
+    if n <= REPEAT_WORDS:
+        return (n - len(set(words))) / n if n else 0.0
+    starts = [*range(0, n - REPEAT_WORDS, REPEAT_WORDS), n - REPEAT_WORDS]
+    distinct = sum(len(set(words[i : i + REPEAT_WORDS])) for i in starts)
+    return 1 - distinct / (REPEAT_WORDS * len(starts))
+
+
 def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Terms of a text and their shares (of its character pairs, or its words)."""
     raw = (text or "").encode("utf-8", "surrogatepass")
@@ -71,9 +85,9 @@ def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         sum(map(bytes.__eq__, words[1:], words)),
         sum(map(bytes.isupper, words)),
         sum(w[-1] in b"#*$%&|<>!" for w in words),
-        n - len(set(words)) if n < 400 else 0,
     )
-    line = [x / n for x in told] if n else [0.0] * 4
+    line = [x / n for x in told] if n else [0.0] * 3
+    line.append(repeat_share(words))
     line += [1.0 if n == 0 else 0.0, 1.0 if 0 < n < 5 else 0.0]
     at = np.flatnonzero(line)
     return (

@@ -77,6 +77,37 @@ def test_classifier_on_held_out_labels(spark):
     assert sum((scores[i] >= 0.7) == (q == 1) for i, q in told) / len(told) > 0.95
 
 
+def test_repeats_count_at_any_length(spark):
+    """Texts of twelve words of a good document are as bad at 420 words as at 380."""
+    import random
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    voters = knn_quality.train(docs, labels)
+    good = docs.join(labels.where("quality = 1").where(knn_quality.held_out()), "doc_id").orderBy("doc_id").limit(60).collect()
+    accepted = {}
+    for n in (380, 420, 2000):
+        r = random.Random(9)
+        texts = []
+        for row in good:
+            words = r.sample(row.text.split(), 12) if len(row.text.split()) >= 12 else ["a"] * 12
+            texts.append(" ".join(r.choice(words) for _ in range(n)))
+        accepted[n] = float((knn_quality.vote(knn_quality.project(texts, voters), voters) >= 0.7).mean())
+    print("accepted", accepted)
+    assert accepted[420] <= accepted[380] + 0.1 and accepted[2000] <= accepted[380] + 0.1 and accepted[380] < 0.5
+
+
+def test_repeat_share_does_not_drift():
+    import random
+
+    r = random.Random(2)
+    words = [b"w%d" % i for i in range(12)]
+    shares = [knn_quality.repeat_share([r.choice(words) for _ in range(n)]) for n in (100, 250, 399, 400, 401, 5000)]
+    assert max(shares) - min(shares) < 0.02
+    assert knn_quality.repeat_share([]) == 0 and knn_quality.repeat_share([b"a", b"b", b"a", b"a"]) == 0.5
+    late = [b"u%d" % i for i in range(900)] + [b"x"] * 100
+    assert knn_quality.repeat_share(late) == pytest.approx(0.098)
+
+
 def test_classifier_odd_rows(spark, clash, no_docs):
     labels = spark.createDataFrame([(100 + i, i % 2, 0) for i in range(40)] + [(101, None, 0), (None, 1, 0), (999, 0, 0)], "doc_id long, quality int, toxic int")
     voters = knn_quality.train(clash, labels)
