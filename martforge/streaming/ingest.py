@@ -9,13 +9,20 @@ fact slice they cover.  ``trigger(availableNow=True)`` processes whatever
 has landed and stops, which suits a scheduled run; a processing-time trigger
 keeps it running.
 
+A report may land as several part files (``orders_part0.csv``, ``orders_part1.csv``):
+whichever batch a part comes with, the slice is rebuilt from all landed parts of
+that report, so they have to stay in the landing folder until the last has come.
+Another name is another report: a new export replaces the slice of an older one.
+
 The stream checkpoint lives under the cluster's shared
 ``spark.checkpoint.dir`` unless a location is given.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +32,9 @@ from martforge.session import ensure_checkpoint_dir
 
 Loader = Callable[[DataFrame, int], None]
 
+#: What makes a file name that of a part; the name without it is the report's.
+PART = r"[_.-]part[-_]?\d+(?=(\.[^/]*)?$)"
+
 
 def report_line_stream(spark: SparkSession, landing: str, *, name_token: str | None = None,
                        max_files_per_trigger: int | None = None) -> DataFrame:
@@ -43,6 +53,24 @@ def to_lines(files: DataFrame) -> DataFrame:
         F.col("line") != "")
 
 
+def with_landed_parts(lines: DataFrame) -> DataFrame:
+    """``lines`` of a batch, and of all landed parts of the reports it has parts of.
+
+    Only the batch's file names reach the driver.  A part that lands meanwhile
+    is read now and, with the same result, again with its own batch."""
+    paths = [r.file_path for r in lines.select("file_path").distinct().collect()]
+    parts = [p for p in paths if re.search(PART, p)]
+    if not parts:
+        return lines
+    reports = sorted({re.sub(PART, "", p) for p in parts})
+    folders = sorted({unquote(p.rsplit("/", 1)[0]) for p in parts})
+    path = F.col("_metadata.file_path")
+    landed = (lines.sparkSession.read.format("text").option("wholetext", "true").load(folders)
+              .filter(path.rlike(PART) & F.regexp_replace(path, PART, "").isin(*reports))
+              .select(path.alias("file_path"), "value"))
+    return lines.filter(~F.col("file_path").rlike(PART)).unionByName(to_lines(landed).select(*lines.columns))
+
+
 def start_ingest(spark: SparkSession, landing: str, loader: Loader, *, name: str,
                  name_token: str | None = None, checkpoint: str | None = None,
                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
@@ -57,14 +85,15 @@ def start_ingest(spark: SparkSession, landing: str, loader: Loader, *, name: str
 
 def slice_loader(store, parse: Callable[[DataFrame], DataFrame], pipeline: Callable[[DataFrame], DataFrame],
                  slice_of_batch: Callable[[DataFrame], object], *, strict: bool = True) -> Loader:
-    """Loader that parses a batch, runs a pipeline and replaces the slice it covers.
+    """Loader that parses a batch with all landed parts of its reports, runs a
+    pipeline and replaces the slice it covers.
 
     ``slice_of_batch(facts)`` returns the slice predicate for the batch, e.g.
     ``date >= lookback start``.  An empty micro-batch changes nothing.
     """
 
     def load(lines: DataFrame, batch_id: int) -> None:
-        facts = pipeline(parse(lines))
+        facts = pipeline(parse(with_landed_parts(lines)))
         if facts.isEmpty():
             return
         store.replace_slice(facts, slice_of_batch(facts), strict=strict)

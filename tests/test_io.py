@@ -128,6 +128,34 @@ def test_streaming_ingest_processes_each_file_once(spark, tmp_path):
     assert [r.group_num for r in rows] == ["G2"] and rows[0].movement_type == "out"
 
 
+def test_parts_of_one_report_in_two_batches(spark, tmp_path):
+    landing = tmp_path / "landing zone"
+    landing.mkdir()
+    store = TableStore(spark, str(tmp_path / "movements"), mv.MOVEMENT_OUT)
+
+    def parse(lines):
+        df = rp.parse_report_lines(lines, skip_rows=3, ordinals=list(range(13)), names=MOVE_NAMES)
+        return df.select(*[F.col(c) for c in MOVE_NAMES[:9]], F.col("movement_date").cast("date").alias("movement_date"),
+                         F.col("quantity").cast("int").alias("quantity"), F.col("weight").cast("int").alias("weight"),
+                         F.col("cost").cast("decimal(18,2)").alias("cost"))
+
+    loader = slice_loader(store, parse, lambda raw: mv.movements(raw), lambda facts: date_slice("movement_date", "2020-01-01"))
+
+    def land(name, *groups):
+        _movement_file(landing / name, [["", g, "", "", "", "Transfer", "E5", "t", f"{g}-5", "2020-02-01", "10", "100", "5.00"]
+                                        for g in groups])
+        start_ingest(spark, str(landing), loader, name="t2", name_token="movements",
+                     checkpoint=str(tmp_path / "ckpt")).awaitTermination()
+        return sorted(r.group_num for r in store.read().collect())
+
+    assert land("movements_a_part0.csv", "G1", "G2") == ["G1", "G2"]
+    assert land("movements_a_part1.csv", "G3") == ["G1", "G2", "G3"]
+    assert land("movements_a_part2.csv", "G4") == ["G1", "G2", "G3", "G4"]
+    # A later export of the same window, in parts too, replaces the first.
+    assert land("movements_b_part0.csv", "G5") == ["G5"]
+    assert land("movements_b_part1.csv", "G6") == ["G5", "G6"]
+
+
 def test_run_routes_overflowing_rows_to_rejects(spark, tmp_path):
     from martforge.plans.run import checked
 
