@@ -50,10 +50,16 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item was found."""
-    hits = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = write_shared(hits.select("doc_id").where("doc_id IS NOT NULL").distinct(), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """Documents in which no benchmark item was found.
+
+    Rows are named by id and text, so one without an id, or with the id of
+    another text, is decided by its own text."""
+    row = F.xxhash64("doc_id", "text")
+    hits = decontamination.find_contamination(
+        docs.select(row.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")
+    )
+    bad = write_shared(hits.select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
+    return docs.withColumn("_row", row).join(bad, "_row", "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

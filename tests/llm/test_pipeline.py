@@ -72,6 +72,18 @@ def test_pipeline_stage_by_stage(spark, small_dir):
     assert {r.doc_id for r in rows.collect()} == clean
 
 
+def test_decontamination_decides_by_row(spark, small_dir):
+    """A contaminated row goes though it has no id, and a clean one with its id stays."""
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text").limit(100).collect()
+    item = next(r.text for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").collect() if len(r.text.split()) > 20)
+    clean = "a plain text of some words that no benchmark item holds"
+    rows = [(r.doc_id, r.text) for r in docs] + [(-1, clean), (-1, item), (None, clean + " " + item), (None, clean)]
+    stage = dict(corpus_pipeline.STAGES)["benchmark decontamination"]
+    got = [tuple(r) for r in stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), small_dir).collect()]
+    assert sorted((t for i, t in got if i in (-1, None))) == [clean, clean]
+    assert (None, clean) in got and (-1, clean) in got
+
+
 def test_pipeline_stands_odd_rows(spark, clash, small_dir):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, clash, small_dir)
