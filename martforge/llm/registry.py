@@ -10,8 +10,10 @@ from martforge.llm.decontamination import op3_decontamination
 from martforge.llm.jaccard_join import op7_jaccard_join
 from martforge.llm.knn_quality import op9_knn_quality
 from martforge.llm.packing import op2_packing
+from martforge.llm.periodic_runs import op13_periodic_runs
 from martforge.llm.quality_rules import op1_quality_rules
 from martforge.llm.sharding import op8_sharding
+from martforge.llm.source_mix import OP11_SQL, op11_source_mix
 from martforge.llm.style_tree import op10_html_extraction
 from martforge.llm.token_counts import op5_token_counts
 from martforge.llm.url_filter import OP4_SQL, op4_url_filter
@@ -32,6 +34,8 @@ def queries() -> dict[str, Query]:
         "op8_sharding": op8_sharding,
         "op9_knn_quality": op9_knn_quality,
         "op10_html_extraction": op10_html_extraction,
+        "op11_source_mix": op11_source_mix,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
@@ -39,4 +43,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_url_filter": OP4_SQL,
         "op6_warc": OP6_SQL,
+        "op11_source_mix": OP11_SQL,
     }
