@@ -1 +1 @@
-"""Training-data operators: ten corpus operators and their registered queries."""
+"""Training-data operators: thirteen corpus operators and their registered queries."""

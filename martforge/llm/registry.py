@@ -11,6 +11,7 @@ from martforge.llm.jaccard_join import op7_jaccard_join
 from martforge.llm.knn_quality import op9_knn_quality
 from martforge.llm.packing import op2_packing
 from martforge.llm.periodic_runs import op13_periodic_runs
+from martforge.llm.prefix_trie import op12_prefix_trie
 from martforge.llm.quality_rules import op1_quality_rules
 from martforge.llm.sharding import op8_sharding
 from martforge.llm.source_mix import OP11_SQL, op11_source_mix
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op9_knn_quality": op9_knn_quality,
         "op10_html_extraction": op10_html_extraction,
         "op11_source_mix": op11_source_mix,
+        "op12_prefix_trie": op12_prefix_trie,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
