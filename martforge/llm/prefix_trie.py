@@ -8,7 +8,7 @@ prefix is the base's head product times the own product without its head.
 
 * Prefix products of all conversations come from one scan over turns sorted by
   conversation: each task multiplies what it holds, and a conversation cut between
-  tasks gets the product of its earlier parts (two rows a task reach the driver).  A
+  tasks gets the product of its earlier parts (one row a task reaches the driver).  A
   conversation with a third of all turns is thus spread over many tasks.
 * A node is a group of equal fingerprints.  Groups are checked: their members must have
   equal parents and a last turn of equal name, and a turn's name must stand for one
@@ -47,6 +47,7 @@ SEEDS = 4
 
 TURN = ("a1", "b1", "a2", "b2")  # a turn's maps, in two lanes; together they are its name
 PREFIX = ("p1", "q1", "p2", "q2")  # products of them
+UPTO = ("x1", "y1", "x2", "y2")  # the same, with the turn itself
 PARENT = ("u1", "v1", "u2", "v2")
 UNIT = (1, 0, 1, 0)
 
@@ -94,9 +95,10 @@ def scanned(
     combine: Callable[[Value, Value], Value],
     unit: Value,
     label: str,
+    upto: Sequence[str] = (),
 ) -> DataFrame:
     """``df`` with ``out``: the product of the ``elements`` of earlier rows of the same
-    ``segment`` (never null), in ``order``.
+    ``segment`` (never null), in ``order``; and ``upto``, if given: that product with the row's own.
 
     Every task scans the sorted rows it holds and the result is written; then one row
     per task says what its first and last segment came to, and rows of a segment that
@@ -138,10 +140,9 @@ def scanned(
         if last["run"]:
             value = combine(tuple(last["x"]), tuple(last["e"]))
         open_segment, open_value = last["segment"], value
-    if not carry:
-        return laid.select(*df.columns, *out)
-    spots = [schema.names.index(c) for c in out]
+    spots, given = [schema.names.index(c) for c in out], len(df.columns)
     part_at, run_at = schema.names.index("_part"), schema.names.index("_run")
+    full = T.StructType([*df.schema.fields, *[T.StructField(c, T.LongType()) for c in (*out, *upto)]])
 
     def carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,11 +151,13 @@ def scanned(
             for k, (part, run) in enumerate(zip(columns[part_at].to_pylist(), columns[run_at].to_pylist())):
                 if run == 0 and part in carry:
                     values[k] = combine(carry[part], values[k])
-            for s, c in zip(spots, zip(*values)):
-                columns[s] = pa.array(c, pa.int64())
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
+            if upto:
+                own = zip(*[columns[p].to_pylist() for p in places])
+                values = [(*v, *combine(v, e)) for v, e in zip(values, own)]
+            new = [pa.array(c, pa.int64()) for c in zip(*values)] or [pa.array([], pa.int64())] * len((*out, *upto))
+            yield pa.RecordBatch.from_arrays([*columns[:given], *new], full.names)
 
-    return laid.mapInArrow(carried, schema).select(*df.columns, *out)
+    return laid.mapInArrow(carried, full) if carry or upto else laid.select(*df.columns, *out)
 
 
 def named_turns(conversations: DataFrame, seed: int) -> DataFrame:
@@ -201,12 +204,11 @@ def heads(prefixes: DataFrame, base: Column, head: Column) -> DataFrame:
     """A row per conversation: ``h`` (head turns asked for), ``k`` (those the base has),
     ``n_turns`` when rebuilt, products ``own`` of its own head and ``of_base`` of the
     base's, and ``first`` (the base's first turns, at most ``MAX_HEAD``)."""
-    with_own = product_columns(prefixes)
     early = F.when(
         F.col("ordinal") <= MAX_HEAD,
-        F.struct("ordinal", F.array(*PREFIX).alias("p"), F.array(*[f"x_{c}" for c in PREFIX]).alias("x"), F.array(*TURN).alias("t"), "words"),
+        F.struct("ordinal", F.array(*PREFIX).alias("p"), F.array(*UPTO).alias("x"), F.array(*TURN).alias("t"), "words"),
     )
-    convs = with_own.groupBy("conv_id").agg(
+    convs = prefixes.groupBy("conv_id").agg(
         F.max("ordinal").alias("m"), F.array_sort(F.collect_list(early)).alias("early")
     )
     asked = convs.withColumns({"h": F.least(head, F.lit(MAX_HEAD)).cast("long"), "base": base})
@@ -227,26 +229,12 @@ def heads(prefixes: DataFrame, base: Column, head: Column) -> DataFrame:
     )
 
 
-def product_columns(prefixes: DataFrame) -> DataFrame:
-    """Adds ``x_p1`` and so on: the product up to and including the row's turn."""
-    schema = T.StructType([*prefixes.schema.fields, *[T.StructField(f"x_{c}", T.LongType()) for c in PREFIX]])
-    spots = [prefixes.columns.index(c) for c in (*PREFIX, *TURN)]
-
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [product(v[:4], v[4:]) for v in zip(*[batch.column(s).to_pylist() for s in spots])]
-            new = [pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 4
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], schema.names)
-
-    return prefixes.mapInArrow(multiply, schema)
-
-
 def members(prefixes: DataFrame, convs: DataFrame) -> DataFrame:
     """A row per rebuilt conversation and depth: fingerprint, the parent's, the last
     turn's name, ``words`` and reference (``ref_conv``, ``ref_turn``: the original turn
     that stands there, from 1), and ``ends`` (1 if the conversation ends there)."""
     facts = convs.select(F.col("conv_id").alias("of"), "h", "k", "n_turns", "own", "of_base")
-    own = prefixes.join(facts, prefixes["conv_id"] == facts["of"]).where("ordinal > h").drop("of")
+    own = prefixes.drop(*UPTO).join(facts, prefixes["conv_id"] == facts["of"]).where("ordinal > h").drop("of")
     names = ["conv_id", "depth", *PREFIX, *PARENT, *TURN, "words", "ref_conv", "ref_turn", "ends"]
     schema = T.StructType([T.StructField(c, T.LongType()) for c in names])
     columns = own.columns
@@ -365,8 +353,9 @@ def verified_nodes(conversations: DataFrame, base: Column, head: Column) -> tupl
             counted,
             (*UNIT, 0),
             "trie-turns",
+            [*UPTO, "ordinal"],
         )
-        prefixes = turns.select("conv_id", (F.col("before") + 1).alias("ordinal"), *PREFIX, *TURN, "words")
+        prefixes = turns.select("conv_id", "ordinal", *PREFIX, *UPTO, *TURN, "words")
         convs = write_shared(heads(prefixes, base, head), "trie-heads")
         rows = write_shared(members(prefixes, convs), "trie-members")
         nodes = write_shared(grouped_nodes(rows), "trie-nodes")
