@@ -1,15 +1,14 @@
 """Layout-driven extraction of one-sheet forms.
 
 Input ``cells(file_id, row_no, col_no, value)``: the cells of every form, one
-form per ``file_id``.  Output: one wide row per form.
-
-Physical plan: ``cells`` is hash-partitioned by ``file_id`` once.  Every
-later step groups by ``file_id`` plus other columns or joins per-form results
-on ``file_id``; a hash partitioning on ``file_id`` satisfies all of them, so
-the extraction costs one shuffle of the cell table plus shuffles of small
-per-form results.  The layout (a few hundred rows, fixed by the target table)
-is broadcast.  Nothing is collected to the driver, and the only per-form
-collection is the list of section-title cells (a few per section).
+form per ``file_id``, and a ``Layout``.  Output: one wide row per form.
+
+Physical plan: cells become row records by an aggregation on (form, row), so a form
+with a third of all cells is combined map-side and spread by its rows.  Records are
+matched to the layout's labels first (a join with the layout, whose size was checked
+when it was read); only the matches, salted by row, meet the section bounds of their
+form, and the last match of a header is again a partial aggregation.  Section titles
+are found by a chain of grouped minima.  Nothing is collected per form or on the driver.
 """
 
 from __future__ import annotations
@@ -20,92 +19,62 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martforge.functions.mathx import cell_number, serial_to_date
+from martforge.functions.mathx import BLANK_CELLS, serial_to_date
 from martforge.functions.text import after_colon
+from martforge.sources.layout import Layout
 
 CELL_VALUE = "decimal(18,6)"
 FLOW_CATEGORIES = (1, 2)
+MEASURES = ("number", "total_wt", "receipts")
+#: Parts that the matches of one form are dealt to.
+SALTS = 8
+#: What a refused cell is until the wide row has NULL for it; no cell has this value.
+REFUSED = "-999999999999.999999"
 
 
-def partition_cells(cells: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Hash-partition the cell table by form once; later steps reuse it."""
-    return cells.repartition(num_partitions, "file_id") if num_partitions else cells.repartition("file_id")
-
-
-def section_anchors(rows: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Row of each section title per form (W4), from the row records of ``form_rows``.
+def section_anchors(cells: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Row of each section title per form (W4): ``(file_id, anchors, complete)``.
 
     Anchor k is the first row at or after anchor k-1 whose column-0 text is
-    title k, so a title that also appears earlier in the form is skipped.
-    Only title cells are collected per form (a few per section); a fold over
-    the fixed title list finds the anchors.  ``complete`` is false when a
+    title k, so a title that also appears earlier in the form is skipped.  Each
+    step is a grouped minimum over title cells; these are shuffled once, by form,
+    and every step works on that partitioning.  ``complete`` is false when a
     title is missing: such forms go to ``rejected_forms``.
     """
     titles = (
-        rows.select("file_id", "row_no", F.col("c0").alias("value"))
-        .filter(F.col("value").isin(*labels))
-        .groupBy("file_id")
-        .agg(F.collect_list(F.struct("row_no", "value")).alias("t"))
+        cells.filter(F.col("col_no") == 0).groupBy("file_id", "row_no").agg(F.max("value").alias("value"))
+        .filter(F.col("value").isin(*labels)).repartition("file_id")
     )
-    empty = F.array().cast("array<int>")
-
-    def step(acc: Column, title: Column) -> Column:
-        prev = F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0))
-        hits = F.filter(F.col("t"), lambda c: (c["value"] == title) & (c["row_no"] >= prev))
-        return F.concat(acc, F.array(F.array_min(F.transform(hits, lambda c: c["row_no"]))))
-
-    anchors = F.aggregate(F.array(*[F.lit(x) for x in labels]), empty, step)
-    out = titles.select("file_id", anchors.alias("anchors"))
-    return out.withColumn("complete", ~F.exists("anchors", lambda a: a.isNull()))
+    out = titles.groupBy("file_id").agg(F.min(F.when(F.col("value") == labels[0], F.col("row_no"))).alias("a0"))
+    found = ["a0"]
+    for k, label in enumerate(labels[1:], start=1):
+        here = titles.filter(F.col("value") == label).select(F.col("file_id").alias("__f"), "row_no")
+        met = out.join(here, (F.col("file_id") == F.col("__f")) & (F.col("row_no") >= F.col(found[-1])), "left")
+        out = met.groupBy("file_id", *found).agg(F.min("row_no").alias(f"a{k}"))
+        found.append(f"a{k}")
+    anchors = F.array(*found)
+    return out.select("file_id", anchors.alias("anchors"), (~F.exists(anchors, lambda a: a.isNull())).alias("complete"))
 
 
 def rejected_forms(cells: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Forms whose section titles are missing or out of order (the reference raises)."""
-    a = section_anchors(form_rows(cells, [0]), labels)
+    a = section_anchors(cells, labels)
     all_files = cells.select("file_id").distinct()
     return all_files.join(a.filter("complete"), "file_id", "left_anti")
 
 
-def section_of(row_no: Column, anchors: Column, n_sections: int) -> Column:
-    """Section k (1..n) when ``anchor_k + 2 <= row < anchor_{k+1} - 2`` (J8), else NULL.
-
-    An equi-join on ``file_id`` plus this range predicate: no theta join.
-    """
-    out = None
-    for k in range(1, n_sections + 1):
-        lo = F.element_at(anchors, k + 1) + 2
-        hi = F.element_at(anchors, k + 2) - 2
-        cond = (row_no >= lo) & (row_no < hi)
-        out = F.when(cond, F.lit(k)) if out is None else out.when(cond, F.lit(k))
-    return out
-
-
 def form_rows(cells: DataFrame, columns: Sequence[int]) -> DataFrame:
     """One record per (form, row) with the text of each needed column as ``c<n>``.
 
-    ``columns`` are the sheet columns the layout reads (labels, values, fixed
-    cells, and column 0 for section titles): plan-time parameters, so the
-    record is a plain hash aggregation with one conditional ``max`` per column.
-    This is the single shuffle of the cell table (hash-partitioned by form);
-    every later step reads these records, so the exchange is shared.
+    ``columns`` are the sheet columns the layout reads: plan-time parameters, so the
+    record is a plain aggregation with one conditional ``max`` per column.
     """
-    cols = sorted(set(columns) | {0})
-    return partition_cells(cells).groupBy("file_id", "row_no").agg(
+    cols = sorted(set(columns))
+    return cells.filter(F.col("col_no").isin(*cols)).groupBy("file_id", "row_no").agg(
         *[F.max(F.when(F.col("col_no") == c, F.col("value"))).alias(f"c{c}") for c in cols]
     )
 
 
-def layout_columns(layout_rows: Sequence[tuple]) -> list[int]:
-    """Every sheet column a layout reads: label, value and fixed-cell columns, and column 0."""
-    cols = {0}
-    for r in layout_rows:
-        if r[4]:
-            cols.add(r[9])
-        elif r[0] is not None and r[7] > 0:
-            cols.update((r[9], r[10]))
-    return sorted(c for c in cols if c >= 0)
-
-
 def _cell_in(col: Column, columns: Sequence[int]) -> Column:
     """Text of the record column whose number is the value of ``col``."""
     out = None
@@ -114,59 +83,76 @@ def _cell_in(col: Column, columns: Sequence[int]) -> Column:
     return out
 
 
-def label_columns(layout: DataFrame) -> list[int]:
-    """Label columns of a layout read from a file (a few hundred rows of parameters)."""
-    return sorted(r[0] for r in layout.filter(F.col("search_str").isNotNull() & (F.col("category") > 0))
-                  .select("col_no").distinct().collect())
-
+def checked_cell(text: Column, clip: Column) -> tuple[Column, Column]:
+    """Value of a report cell, and why it has none.
 
-def labelled_values(rows: DataFrame, anchors: DataFrame, layout: DataFrame, label_cols: Sequence[int],
-                    n_sections: int, *, columns: Sequence[int],
-                    clip_negative: bool | Sequence[int] = True) -> DataFrame:
-    """Long ``(file_id, header_str, category, adjust_str, column_str, value)``.
-
-    A row of section k whose text in a label column equals a layout
-    ``search_str`` of category k gives the cell in that layout row's
-    ``value_col``; blank, dash and (legacy) negative cells give 0.  When a
-    label matches more than once the last match wins: the higher label
-    column, then the later row.  ``clip_negative`` is the legacy rule that
-    turns negative cells into 0 (Q8): ``True`` for every section, ``False``
-    for none, or the list of section numbers where it applies (e.g. keep
-    losses and negative adjustments by leaving out sections 3 and 6).
+    Blank and dash cells give 0, and negative ones where ``clip`` is true.  Text that is
+    no number, and numbers that do not fit, have a reason; their value is ``REFUSED``.
     """
-    lab = F.broadcast(
-        layout.filter(F.col("search_str").isNotNull() & (F.col("category") > 0))
-        .select("category", F.col("col_no").alias("label_col"), "search_str", "value_col", "header_str",
-                "adjust_str", "column_str")
-    )
-    rows = rows.join(anchors.filter("complete").select("file_id", "anchors"), "file_id")
-    rows = rows.withColumn("section", section_of(F.col("row_no"), F.col("anchors"), n_sections))
-    rows = rows.filter(F.col("section").isNotNull())
-    values_needed = [f"c{c}" for c in columns]
-    cand = rows.select(
-        "file_id", "row_no", "section", *values_needed,
-        F.explode(F.array(*[F.struct(F.lit(int(c)).alias("label_col"), F.col(f"c{c}").alias("text"))
-                            for c in label_cols])).alias("lc"),
-    ).select("file_id", "row_no", "section", *values_needed, "lc.label_col", "lc.text")
-    cand = cand.filter(F.col("text").isNotNull() & (F.col("text") != ""))
-    hit = cand.join(lab, ["label_col"]).filter(
-        (F.col("section") == F.col("category")) & (F.col("text") == F.col("search_str")))
+    v = F.trim(text)
+    n = v.try_cast(CELL_VALUE)
+    zero, refused = F.lit("0").cast(CELL_VALUE), F.lit(REFUSED).cast(CELL_VALUE)
+    blank = v.isin(*BLANK_CELLS)
+    fits = n.isNotNull() & (n != refused)
+    reason = F.when(blank | fits, F.lit(None).cast("string")).when(
+        v.try_cast("double").isNotNull(), F.lit("does not fit a cell")).otherwise(F.lit("not a number"))
+    value = F.when(blank, zero).when(~F.coalesce(fits, F.lit(False)), refused).when(clip & (n < 0), zero).otherwise(n)
+    return value, reason
+
+
+def labelled_cells(rows: DataFrame, anchors: DataFrame, layout: Layout, *,
+                   clip_negative: bool | Sequence[int] = True) -> DataFrame:
+    """Every cell that the layout finds by a label (J8-J10, P12, F17), with its value or
+    the reason why it has none.
+
+    A row of section k (``anchor_k + 2 <= row < anchor_{k+1} - 2``) whose text in a label
+    column equals a layout ``search_str`` of category k gives the cell in that layout
+    row's ``value_col``.  ``clip_negative`` is the legacy rule that turns negative cells into
+    0 (Q8): ``True`` for every section, ``False`` for none, or the sections where it applies.
+    ``rank`` orders the matches of a header as they would be written: by label column (in
+    the layout's order), row, and place in the layout.
+    """
+    columns = layout.columns
+    texts = F.explode(F.array(*[F.struct(F.lit(int(c)).alias("label_col"), F.col(f"c{c}").alias("label")) for c in layout.label_columns]))
+    cand = rows.select("*", texts.alias("l")).select("*", "l.label_col", "l.label").filter(F.col("label") != "")
+    found = cand.join(layout.labels, (F.col("label_col") == F.col("col_no")) & (F.col("label") == F.col("search_str")))
     raw = F.coalesce(_cell_in(F.col("value_col"), columns), F.lit(""))
-    if isinstance(clip_negative, bool):
-        value = cell_number(raw, clip_negative=clip_negative, dtype=CELL_VALUE)
-    else:
-        value = F.when(F.col("category").isin(*clip_negative), cell_number(raw, dtype=CELL_VALUE)).otherwise(
-            cell_number(raw, clip_negative=False, dtype=CELL_VALUE))
-    hit = hit.select(
-        "file_id", "header_str", "category", "adjust_str", "column_str",
-        F.struct("label_col", "row_no").alias("pos"), value.alias("value"),
-    )
-    return hit.groupBy("file_id", "header_str", "category", "adjust_str", "column_str").agg(
-        F.max_by("value", "pos").alias("value")
+    clip = F.lit(clip_negative) if isinstance(clip_negative, bool) else F.col("category").isin(*clip_negative)
+    value, reason = checked_cell(raw, clip)
+    found = found.select(
+        "file_id", "row_no", "value_col", "header_str", "category", "adjust_str", "column_str", raw.alias("text"),
+        value.alias("value"), reason.alias("reason"),
+        # 2**14 layout rows at most, 2**31 sheet rows, 2**14 label columns.
+        (F.shiftleft(F.col("col_rank").cast("long"), 45) + F.shiftleft(F.col("row_no").cast("long"), 14) + F.col("order_no")).alias("rank"),
+        F.pmod(F.col("row_no"), F.lit(SALTS)).alias("__salt"),
     )
+    bounds = anchors.filter("complete").select(
+        F.col("file_id").alias("__file"), "anchors", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__part"))
+    met = found.join(bounds, (F.col("file_id") == F.col("__file")) & (F.col("__salt") == F.col("__part")))
+    low = F.try_element_at("anchors", (F.col("category") + 1).cast("int")) + 2
+    high = F.try_element_at("anchors", (F.col("category") + 2).cast("int")) - 2
+    return met.filter((F.col("row_no") >= low) & (F.col("row_no") < high)).drop("__file", "__part", "__salt", "anchors")
+
+
+def last_values(hits: DataFrame) -> DataFrame:
+    """Long ``(file_id, header_str, category, adjust_str, column_str, value)``: the last
+    match of each header wins (W5).  A refused cell has ``REFUSED``."""
+    return hits.groupBy("file_id", "header_str", "category", "adjust_str", "column_str").agg(
+        F.max_by("value", "rank").alias("value"))
 
 
-def fixed_wide(rows: DataFrame, layout_rows: Sequence[tuple]) -> DataFrame:
+def extracted_values(values: DataFrame) -> DataFrame:
+    """``last_values`` with NULL for refused cells."""
+    return values.withColumn("value", F.nullif("value", F.lit(REFUSED).cast(CELL_VALUE)))
+
+
+def cell_rejects(hits: DataFrame) -> DataFrame:
+    """Cells that have no value (K3): ``(file_id, row_no, col_no, header_str, text, reason)``."""
+    return hits.filter(F.col("reason").isNotNull()).select(
+        "file_id", "row_no", F.col("value_col").alias("col_no"), "header_str", "text", "reason")
+
+
+def fixed_wide(rows: DataFrame, layout: Layout) -> DataFrame:
     """One row per form with every fixed cell (category 0), as text.
 
     ``date`` cells hold a spreadsheet serial day (F11), ``split`` cells hold
@@ -175,149 +161,160 @@ def fixed_wide(rows: DataFrame, layout_rows: Sequence[tuple]) -> DataFrame:
     aggregation per form over the row records (no join, no pivot).
     """
     aggs = []
-    for r in layout_rows:
-        if not r[4]:
+    for r in layout.rows:
+        if not r.fixed:
             continue
-        header, dtype, row_no, col_no = r[3], r[5], r[8], r[9]
-        v = F.col(f"c{col_no}")
+        v = F.col(f"c{r.col_no}")
         text = (F.when(v.isNull() | (v == ""), F.lit(None).cast("string"))
-                .when(F.lit(dtype == "date"), serial_to_date(v).cast("string"))
-                .when(F.lit(dtype == "split"), after_colon(v))
+                .when(F.lit(r.data_type == "date"), serial_to_date(v).cast("string"))
+                .when(F.lit(r.data_type == "split"), after_colon(v))
                 .otherwise(v))
-        aggs.append(F.max(F.when(F.col("row_no") == row_no, text)).alias(header))
-    return rows.groupBy("file_id").agg(*aggs)
-
-
-def flow_totals(values: DataFrame, total_stem: str) -> DataFrame:
-    """Totals row per form and flow section (A6): the sum over every other
-    category of number, total weight and receipts.  A total read from the
-    form is ignored, as in the reference."""
-    measures = [f"{d}_{m}" for d in ("in", "out") for m in ("number", "total_wt", "receipts")]
-    parts = values.filter(
-        F.col("category").isin(*FLOW_CATEGORIES) & F.col("column_str").isin(*measures)
-        & (F.col("adjust_str") != total_stem)
-    )
-    return parts.groupBy("file_id", "category", "column_str").agg(F.sum("value").alias("value")).select(
-        "file_id", "category", F.lit(total_stem).alias("adjust_str"), "column_str",
-        F.concat(F.lit(total_stem + "_"), F.col("column_str")).alias("header_str"), "value",
-    )
-
+        aggs.append(F.max(F.when(F.col("row_no") == r.row_no, text)).alias(r.header_str))
+    if not aggs:
+        return rows.select("file_id").distinct()
+    at = {r.row_no for r in layout.rows if r.fixed}
+    return rows.filter(F.col("row_no").isin(*at)).groupBy("file_id").agg(*aggs)
 
-def flow_ratios(values: DataFrame, totals: DataFrame, layout: DataFrame, total_stem: str) -> DataFrame:
-    """Share, unit value, price per lb and average weight per category.
 
-    ``per = number / total number``, ``pig = receipts / number``,
-    ``lb = receipts / total weight``, ``avg_wt = total weight / number`` for
-    every category of a flow section including the totals row.  Computed
-    from unrounded inputs (Q18); a zero or missing denominator gives NULL,
-    filled with 0 at the end (Q9).  Categories that never appear in a form
-    have all-zero measures, so their ratios are 0 as well.
-    """
-    flows = values.filter(F.col("category").isin(*FLOW_CATEGORIES) & (F.col("adjust_str") != total_stem))
-    flows = flows.select("file_id", "category", "adjust_str", "column_str", "value").unionByName(
-        totals.select("file_id", "category", "adjust_str", "column_str", "value"))
-    m = F.regexp_extract("column_str", r"^(in|out)_(.*)$", 2)
-    per_stem = flows.groupBy("file_id", "category", "adjust_str").agg(
-        *[F.max(F.when(m == k, F.col("value"))).alias(k) for k in ("number", "total_wt", "receipts")]
-    )
-    tot = totals.filter(F.col("column_str").endswith("_number")).select(
-        "file_id", "category", F.col("value").alias("total_number"))
-    j = per_stem.join(tot, ["file_id", "category"], "left")
-
-    def div(a: str, b: str) -> Column:
-        return F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
-
-    ratios = {"per": div("number", "total_number"), "pig": div("receipts", "number"),
-              "lb": div("receipts", "total_wt"), "avg_wt": div("total_wt", "number")}
-    long = j.select(
-        "file_id", "category", "adjust_str",
-        F.explode(F.array(*[F.struct(F.lit(k).alias("measure"), v.alias("r")) for k, v in ratios.items()])).alias("x"),
-    ).withColumn("column_str", F.concat(
-        F.when(F.col("category") == 1, F.lit("in_")).otherwise(F.lit("out_")), F.col("x.measure")))
-    decl = F.broadcast(layout.filter(F.col("search_str").isNull() & F.col("category").isin(*FLOW_CATEGORIES))
-                       .select("category", "adjust_str", "column_str", "header_str", "round_digits"))
-    return long.join(decl, ["category", "adjust_str", "column_str"]).select(
-        "file_id", "header_str", F.col("x.r").alias("ratio"), "round_digits")
-
-
-def rounded_ratios(ratios: DataFrame) -> DataFrame:
-    """Ratios rounded half-even at their header's digits, as cell values."""
-    return ratios.select(
-        "file_id", "header_str",
-        F.when(F.col("round_digits") > 0, _float_round(F.col("ratio"), F.col("round_digits")))
-        .otherwise(F.col("ratio")).cast(CELL_VALUE).alias("value"),
-    )
+# ---------------------------------------------------------------------------
+# One pivot; totals and ratios are expressions over its columns, for the wide row
+# and for the long results alike.
+# ---------------------------------------------------------------------------
+def pivoted(values: DataFrame, files: DataFrame, layout: Layout) -> DataFrame:
+    """One row per complete form with the extracted value of every header (R4); NULL
+    where the form has none.  The header list is the layout's, so no job looks for it."""
+    w = values.groupBy("file_id").pivot("header_str", layout.extracted).agg(F.first("value"))
+    return files.join(w, "file_id", "left")
+
+
+class Flows:
+    """SQL of the totals and ratios of the flow sections (A6, A7), from the layout's rows."""
+
+    ZERO = f"CAST(0 AS {CELL_VALUE})"
+
+    def __init__(self, layout: Layout, total_stem: str):
+        self.layout, self.total = layout, total_stem
+        self.header = {(r.category, r.adjust_str, r.column_str): r.header_str for r in layout.rows if not r.fixed}
+        self.has = set(layout.extracted)
+
+    def cell(self, header: str | None) -> str:
+        """An extracted value: 0 where the form has none, NULL where it was refused."""
+        if header not in self.has:
+            return self.ZERO
+        return f"nullif(coalesce(`{header}`, {self.ZERO}), CAST('{REFUSED}' AS {CELL_VALUE}))"
+
+    def stems(self, category: int, d: str) -> list[str]:
+        """Stems of a flow section, each once even if the layout finds its header twice."""
+        return list(dict.fromkeys(r.adjust_str for r in self.layout.rows if r.category == category and r.column_str == f"{d}_number"))
+
+    def measure(self, category: int, d: str, stem: str, m: str) -> str:
+        """A measure of a stem; of the totals row the sum over all others (a total read
+        from the form is ignored, as in the reference)."""
+        if stem != self.total:
+            return self.cell(self.header.get((category, stem, f"{d}_{m}")))
+        parts = [self.measure(category, d, s, m) for s in self.stems(category, d) if s != self.total]
+        return "(" + " + ".join([self.ZERO, *parts]) + ")"
+
+    def present(self, category: int, d: str, stem: str, measures: Sequence[str] = MEASURES) -> str:
+        """Whether the form has any cell of a stem (of the totals row: of any other)."""
+        stems = [stem] if stem != self.total else [s for s in self.stems(category, d) if s != self.total]
+        heads = [h for s in stems for m in measures if (h := self.header.get((category, s, f"{d}_{m}"))) in self.has]
+        return "(" + " OR ".join([f"`{h}` IS NOT NULL" for h in heads] or ["false"]) + ")"
+
+    def ratio(self, category: int, d: str, stem: str, kind: str, digits: int) -> str:
+        """Share, unit value, price per lb or average weight, from unrounded inputs (Q18);
+        NULL for a zero denominator."""
+        top, below = {
+            "per": (("number", stem), ("number", self.total)), "pig": (("receipts", stem), ("number", stem)),
+            "lb": (("receipts", stem), ("total_wt", stem)), "avg_wt": (("total_wt", stem), ("number", stem)),
+        }[kind]
+        num, den = (self.measure(category, d, s, m) for m, s in (top, below))
+        r = f"try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE))"
+        if digits > 0:
+            r = f"rint({r} * {float(10 ** digits)}D) / {float(10 ** digits)}D"
+        return f"CAST({r} AS {CELL_VALUE})"
 
+    def directions(self):
+        return zip(FLOW_CATEGORIES, ("in", "out"))
 
-def _float_round(x: Column, digits: Column) -> Column:
-    scale = F.pow(F.lit(10.0), digits.cast("double"))
-    return F.rint(x * scale) / scale
 
+def wide_numeric(pivot: DataFrame, layout: Layout, total_stem: str) -> DataFrame:
+    """One row per form with every numeric header.
 
-# ---------------------------------------------------------------------------
-# Wide formulation: one pivot, then totals and ratios as column arithmetic.
-# ---------------------------------------------------------------------------
-def wide_numeric(values: DataFrame, files: DataFrame, layout_rows: Sequence[tuple], total_stem: str) -> DataFrame:
-    """One row per form with every numeric header.
-
-    Extracted values are pivoted once (fixed header list, so no discovery
-    job); totals and ratios are then plain column expressions over the wide
-    row, so the whole step is one aggregation on ``file_id`` and one
-    projection.  ``layout_rows`` are the layout's rows (plan-time parameters).
-    Totals always replace a total read from the form (0 when the section has
-    no categories); ratios use unrounded inputs; every header is rounded once
-    at its layout digits; missing values are 0.  The ~250 generated column
+    Every header is rounded once at its layout digits; missing values and ratios over
+    zero are 0, and what depends on a refused cell is NULL.  The generated column
     expressions are passed as SQL text in one ``selectExpr`` call.
     """
-    # layout row fields: search, stem, column_str, header, fixed, data_type, digits, category, row, col, value_col
-    extracted = list(dict.fromkeys(r[3] for r in layout_rows if r[0] is not None and r[7] > 0))
-    digits = {r[3]: r[6] for r in layout_rows}
-    numeric = [r[3] for r in layout_rows if not r[4]]
-    w = values.groupBy("file_id").pivot("header_str", extracted).agg(F.first("value"))
-    w = files.join(w, "file_id", "left")
-    zero = f"CAST(0 AS {CELL_VALUE})"
-
-    def raw(h: str) -> str:
-        return f"coalesce(`{h}`, {zero})" if h in extracted else zero
-
-    def dec_round(e: str, h: str) -> str:
+    flows = Flows(layout, total_stem)
+    digits = {r.header_str: r.round_digits or 0 for r in layout.rows}
+
+    def rounded(e: str, h: str) -> str:
         d = digits.get(h, 0)
         return f"CAST({f'bround({e}, {d})' if d > 0 else e} AS {CELL_VALUE})"
 
-    def ratio_round(num: str, den: str, h: str) -> str:
-        r = f"try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE))"
-        d = digits.get(h, 0)
-        if d > 0:
-            r = f"rint({r} * {float(10 ** d)}D) / {float(10 ** d)}D"
-        return f"coalesce(CAST({r} AS {CELL_VALUE}), {zero})"
-
-    out: dict[str, str] = {h: dec_round(raw(h), h) for h in extracted}
-    for cat, d in ((1, "in"), (2, "out")):
-        stems = [r[1] for r in layout_rows if r[7] == cat and r[2] == f"{d}_number"]
-        parts = [s for s in stems if s != total_stem]
-        tot = {m: "(" + " + ".join([zero] + [raw(f"{s}_{d}_{m}") for s in parts]) + ")"
-               for m in ("number", "total_wt", "receipts")}
-        for m, e in tot.items():
-            out[f"{total_stem}_{d}_{m}"] = dec_round(e, f"{total_stem}_{d}_{m}")
-        for s in stems:
-            number, wt, rec = ((tot["number"], tot["total_wt"], tot["receipts"]) if s == total_stem else
-                               (raw(f"{s}_{d}_number"), raw(f"{s}_{d}_total_wt"), raw(f"{s}_{d}_receipts")))
-            out[f"{s}_{d}_per"] = ratio_round(number, tot["number"], f"{s}_{d}_per")
-            out[f"{s}_{d}_pig"] = ratio_round(rec, number, f"{s}_{d}_pig")
-            out[f"{s}_{d}_lb"] = ratio_round(rec, wt, f"{s}_{d}_lb")
-            out[f"{s}_{d}_avg_wt"] = ratio_round(wt, number, f"{s}_{d}_avg_wt")
-    return w.selectExpr("file_id", *[f"{out.get(h, zero)} AS `{h}`" for h in numeric])
+    out = {h: rounded(flows.cell(h), h) for h in layout.extracted}
+    for cat, d in flows.directions():
+        for stem in flows.stems(cat, d):
+            if stem == total_stem:
+                for m in MEASURES:
+                    h = flows.header.get((cat, stem, f"{d}_{m}"))
+                    out[h] = rounded(flows.measure(cat, d, stem, m), h)
+            for kind, (m, s) in {"per": ("number", total_stem), "pig": ("number", stem), "lb": ("total_wt", stem),
+                                 "avg_wt": ("number", stem)}.items():
+                h = flows.header.get((cat, stem, f"{d}_{kind}"))
+                if h is not None:
+                    den = flows.measure(cat, d, s, m)
+                    out[h] = f"if({den} = 0, {Flows.ZERO}, {flows.ratio(cat, d, stem, kind, digits.get(h, 0))})"
+    numeric = dict.fromkeys(r.header_str for r in layout.rows if not r.fixed)
+    return pivot.selectExpr("file_id", *[f"{out.get(h, Flows.ZERO)} AS `{h}`" for h in numeric])
+
+
+def _unpivoted(pivot: DataFrame, rows: Sequence[tuple[str, str, str]], name: str) -> DataFrame:
+    """Long ``(file_id, header_str, <name>)`` of (header, value, condition) rows."""
+    if not rows:
+        return pivot.selectExpr("file_id", "'' AS header_str", f"{Flows.ZERO} AS {name}").limit(0)
+    listed = ", ".join(f"named_struct('header_str', '{h}', '{name}', {v}, 'there', {cond})" for h, v, cond in rows)
+    return pivot.selectExpr("file_id", f"inline(array({listed}))").filter("there").drop("there")
+
+
+def flow_totals(pivot: DataFrame, layout: Layout, total_stem: str) -> DataFrame:
+    """Totals row per form and flow section (A6): the sum over every other category of
+    number, total weight and receipts, for measures the form has."""
+    f = Flows(layout, total_stem)
+    rows = [(f.header[cat, total_stem, f"{d}_{m}"], f.measure(cat, d, total_stem, m), f.present(cat, d, total_stem, [m]))
+            for cat, d in f.directions() for m in MEASURES if (cat, total_stem, f"{d}_{m}") in f.header]
+    return _unpivoted(pivot, rows, "value")
+
+
+def flow_ratios(pivot: DataFrame, layout: Layout, total_stem: str) -> DataFrame:
+    """Share, unit value, price per lb and average weight per category a form has,
+    including the totals row (A7), rounded half-even at their header's digits; NULL
+    over a zero or refused denominator (Q9)."""
+    f = Flows(layout, total_stem)
+    digits = {r.header_str: r.round_digits or 0 for r in layout.rows}
+    rows = []
+    for cat, d in f.directions():
+        for stem in f.stems(cat, d):
+            for kind in ("per", "pig", "lb", "avg_wt"):
+                h = f.header.get((cat, stem, f"{d}_{kind}"))
+                if h is not None:
+                    rows.append((h, f.ratio(cat, d, stem, kind, digits[h]), f.present(cat, d, stem, (*MEASURES, "avg_age_in"))))
+    return _unpivoted(pivot, rows, "value")
 
 
 def typed_wide(num: DataFrame, fx: DataFrame, schema: T.StructType, fixed_headers: Sequence[str],
                key: str = "group_id") -> DataFrame:
-    """Join the numeric and fixed halves of each form and cast to the target types."""
+    """Join the numeric and fixed halves of each form and cast to the target types;
+    a column that the layout does not have is NULL."""
     w = num.join(fx, "file_id", "left")
+    have = set(w.columns)
     exprs = []
     for f in schema.fields:
         t = f.dataType.simpleString()
         if f.name == key:
             exprs.append(f"CAST(file_id AS {t}) AS `{key}`")
+        elif f.name not in have:
+            exprs.append(f"CAST(NULL AS {t}) AS `{f.name}`")
         elif f.name in fixed_headers:
             exprs.append(f"try_cast(`{f.name}` AS {t}) AS `{f.name}`")
         elif isinstance(f.dataType, T.LongType):

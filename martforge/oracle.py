@@ -507,8 +507,9 @@ def _forms() -> dict[str, str]:
     from martforge.oracle_forms import oracle_forms
     from martforge.oracle_marts import oracle_marts
     from martforge.oracle_misc import oracle_misc
+    from martforge.oracle_stored import oracle_stored
 
-    return {**oracle_forms(), **oracle_marts(), **oracle_misc()}
+    return {**oracle_forms(), **oracle_marts(), **oracle_misc(), **oracle_stored()}
 
 
 def _budget_cast() -> str:

@@ -44,6 +44,7 @@ SLICE_START = "2000-01-01"
 SLICE_END = "2000-12-31"
 SLICE_SITE = "Site 3"
 SLICE_PRODUCER = "NATION_3"
+SLICE_PRODUCER_CODE = "3"
 SLICE_MILLS = ("Home Mill", "Supplier#000000001", "Supplier#000000002")
 SLICE_WEEKS = ("1998 10", "1998 40")
 SLICE_PLANTS = ("P0", "P2")

@@ -1,68 +1,71 @@
 """Closeout forms -> the 256-column closeout table (D8) and its parts.
 
-See ``operators.forms`` for the plan shape: one shuffle of the cell table by
-form, a broadcast layout, per-form aggregations, and two pivots with fixed
-header lists.
+See ``operators.forms`` for the plan shape.
 """
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martforge import schemas as S
 from martforge.operators import forms
-from martforge.sources.layout import SECTION_LABELS, layout_rows
+from martforge.sources.layout import SECTION_LABELS, Layout
 
 CLOSEOUT_OUT = S.widen(S.CLOSEOUTS, drop=())
 FIXED_HEADERS = [n for n, _ in S.CLOSEOUT_FIXED]
 NUMERIC_HEADERS = [f.name for f in S.CLOSEOUTS.fields if f.name != "group_id" and f.name not in FIXED_HEADERS]
-N_SECTIONS = len(SECTION_LABELS) - 2
 
 
-def default_label_columns() -> list[int]:
-    """Label columns of the generated layout (plan-time parameters, no job)."""
-    return sorted({r[9] for r in layout_rows() if r[0] is not None and r[7] > 0})
+class CloseoutParts:
+    """The intermediate tables of one extraction by one layout."""
+
+    def __init__(self, cells: DataFrame, layout: DataFrame | Layout, *, clip_negative: bool | list[int] = True):
+        self.layout = Layout.of(layout)
+        self.records = forms.form_rows(cells, self.layout.columns)
+        self.anchors = forms.section_anchors(cells, SECTION_LABELS)
+        self.hits = forms.labelled_cells(self.records, self.anchors, self.layout, clip_negative=clip_negative)
 
+    @cached_property
+    def last(self) -> DataFrame:
+        return forms.last_values(self.hits)
 
-class CloseoutParts:
-    """The intermediate tables of one extraction, sharing one partitioned cell table."""
-
-    def __init__(self, cells: DataFrame, layout: DataFrame, *, label_cols: list[int] | None = None,
-                 rows: list[tuple] | None = None, clip_negative: bool | list[int] = True):
-        """``rows``: the layout rows as plan-time parameters (default: the generated layout)."""
-        self.layout = layout
-        self.rows = rows if rows is not None else layout_rows()
-        self.columns = forms.layout_columns(self.rows)
-        self.records = forms.form_rows(cells, self.columns)
-        self.anchors = forms.section_anchors(self.records, SECTION_LABELS)
-        cols = label_cols if label_cols is not None else default_label_columns()
-        self.values = forms.labelled_values(self.records, self.anchors, layout, cols, N_SECTIONS,
-                                            columns=self.columns, clip_negative=clip_negative)
-        # The long-form totals and ratios read the values several times; one
-        # shuffle by form is cheaper than recomputing the extraction per read,
-        # and every reader reuses that exchange.
-        shared = self.values.repartition("file_id")
-        self.totals = forms.flow_totals(shared, S.TOTAL_STEM)
-        self.ratios = forms.flow_ratios(shared, self.totals, layout, S.TOTAL_STEM)
-
-    def files(self) -> DataFrame:
-        return self.anchors.filter("complete").select("file_id")
+    @cached_property
+    def values(self) -> DataFrame:
+        return forms.extracted_values(self.last)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return forms.cell_rejects(self.hits)
+
+    @cached_property
+    def pivot(self) -> DataFrame:
+        return forms.pivoted(self.last, self.anchors.filter("complete").select("file_id"), self.layout)
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return forms.flow_totals(self.pivot, self.layout, S.TOTAL_STEM)
+
+    @cached_property
+    def ratios(self) -> DataFrame:
+        return forms.flow_ratios(self.pivot, self.layout, S.TOTAL_STEM)
 
     def wide_numeric(self) -> DataFrame:
-        return forms.wide_numeric(self.values, self.files(), self.rows, S.TOTAL_STEM)
+        return forms.wide_numeric(self.pivot, self.layout, S.TOTAL_STEM)
 
     def wide(self) -> DataFrame:
-        return forms.typed_wide(self.wide_numeric(), forms.fixed_wide(self.records, self.rows),
+        return forms.typed_wide(self.wide_numeric(), forms.fixed_wide(self.records, self.layout),
                                 CLOSEOUT_OUT, FIXED_HEADERS)
 
 
-def closeouts(cells: DataFrame, layout: DataFrame, **kw) -> DataFrame:
+def closeouts(cells: DataFrame, layout: DataFrame | Layout, **kw) -> DataFrame:
     return CloseoutParts(cells, layout, **kw).wide()
 
 
 def form_sections(cells: DataFrame) -> DataFrame:
     """``(file_id, section, anchor_row)`` per form: the ordered title search."""
-    a = forms.section_anchors(forms.form_rows(cells, [0]), SECTION_LABELS).filter("complete")
+    a = forms.section_anchors(cells, SECTION_LABELS).filter("complete")
     return a.select("file_id", F.posexplode("anchors").alias("pos", "anchor_row")).select(
         "file_id", F.col("pos").cast("int").alias("section"), "anchor_row")

@@ -21,14 +21,15 @@ from pyspark.sql import functions as F
 from martforge.functions.calendar import lookback_starts
 from martforge.operators import dimsync
 from martforge.operators import forms as fm
-from martforge.operators.maintenance import category_slice, date_slice
+from martforge.operators.quality import gate, reject_reason
 from martforge.plans import budgets as bd
 from martforge.plans import closeouts as co
 from martforge.plans import ingredients as ing
 from martforge.plans import movements as mv
 from martforge.plans import sales as sl
-from martforge.schemas import GROUPS
-from martforge.sinks.tables import TableStore
+from martforge.schemas import GROUPS, TABLES, VARCHAR_LEN
+from martforge.session import ensure_checkpoint_dir
+from martforge.sinks.tables import Folder, MonthTable, Slice
 from martforge.sources.layout import SECTION_LABELS
 
 # Dependency order of the steps.
@@ -71,45 +72,104 @@ class RunConfig:
 #: Start of the slices of a first load or backfill.
 BEGINNING = _dt.date(1, 1, 1)
 
+#: The run report: a row per step.
+RUN_REPORT = "run string, step string, rows_in long, accepted long, rejected long, replaced long"
 
-def stores(spark: SparkSession, warehouse: str) -> dict[str, TableStore]:
+
+def movement_family() -> Column:
+    """Which of the two movement reports owns a row; rows without a category are the movement report's."""
+    return F.when(F.coalesce(F.col("event_category"), F.lit("")).isin(*mv.DEATH_CATEGORIES), "deaths").otherwise("movements")
+
+
+def stores(spark: SparkSession, warehouse: str) -> dict[str, MonthTable]:
     w = warehouse.rstrip("/")
     return {
-        "groups": TableStore(spark, f"{w}/groups", GROUPS),
-        "ingredients": TableStore(spark, f"{w}/ingredients", ing.INGREDIENT_OUT),
-        "movements": TableStore(spark, f"{w}/movements", mv.MOVEMENT_OUT),
-        "sales": TableStore(spark, f"{w}/sales", sl.SALES_OUT),
-        "budgets": TableStore(spark, f"{w}/budgets", bd.BUDGET_OUT),
-        "closeouts": TableStore(spark, f"{w}/closeouts", co.CLOSEOUT_OUT),
+        "groups": MonthTable(spark, f"{w}/groups", GROUPS, "open_date"),
+        "ingredients": MonthTable(spark, f"{w}/ingredients", ing.INGREDIENT_OUT, "delivery_date"),
+        "movements": MonthTable(spark, f"{w}/movements", mv.MOVEMENT_OUT, "movement_date", movement_family()),
+        "sales": MonthTable(spark, f"{w}/sales", sl.SALES_OUT, "kill_date"),
+        "budgets": MonthTable(spark, f"{w}/budgets", bd.BUDGET_OUT, "start_date", F.coalesce(F.col("budget_type"), F.lit(""))),
+        "closeouts": MonthTable(spark, f"{w}/closeouts", co.CLOSEOUT_OUT, "start_date"),
     }
 
 
-def checked(warehouse: str, table: str, batch: DataFrame, run_id: str, slice_pred: Column | None = None) -> DataFrame:
-    """Typed load of a batch (K3).
-
-    The batch is computed once, with a reject reason per row: it does not fit the
-    declared types or lengths, or it lies outside ``slice_pred``.  Rows with a
-    reason go to ``<warehouse>/_rejects/<table>/run=<run_id>``; the accepted rows
-    are returned (types unchanged)."""
-    from martforge.operators.quality import reject_reason
-    from martforge.schemas import TABLES, VARCHAR_LEN
-
-    reason = reject_reason(batch, TABLES[table], VARCHAR_LEN.get(table))
-    if slice_pred is not None:
-        outside = F.when(slice_pred.isNull() | ~slice_pred, F.lit("outside the slice that this load replaces"))
-        reason = F.coalesce(reason, outside)
-    root = warehouse.rstrip("/")
-    staged = f"{root}/_staged/{table}/{uuid.uuid4().hex}"
-    tagged = batch.withColumn("reason", reason)
-    tagged.write.parquet(staged)
-    tagged = batch.sparkSession.read.schema(tagged.schema).parquet(staged)
-    tagged.filter(F.col("reason").isNotNull()).write.mode("append").parquet(f"{root}/_rejects/{table}/run={run_id}")
-    return tagged.filter(F.col("reason").isNull()).drop("reason")
+class Loader:
+    """Commits the batches of one run and keeps its books."""
+
+    def __init__(self, spark: SparkSession, warehouse: str, *, strict: bool = True, typed: bool = True):
+        self.spark, self.warehouse, self.strict, self.typed = spark, warehouse.rstrip("/"), strict, typed
+        self.run_id = uuid.uuid4().hex
+        self.tables = stores(spark, warehouse)
+        self.lines: list[tuple] = []
+
+    def staged(self, batch: DataFrame) -> tuple[DataFrame, Folder]:
+        """The batch, computed once."""
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/batch-{uuid.uuid4().hex}"
+        batch.write.parquet(path)
+        return self.spark.read.schema(batch.schema).parquet(path), Folder(self.spark, path)
+
+    def refuse(self, name: str, rows: DataFrame) -> None:
+        """Keep refused rows under ``_rejects/<name>/run=<id>``."""
+        rows.write.mode("append").parquet(f"{self.warehouse}/_rejects/{name}/run={self.run_id}")
+
+    def book(self, step: str, rows_in: int, accepted: int, rejected: int, replaced: int) -> None:
+        self.lines.append((self.run_id, step, rows_in, accepted, rejected, replaced))
+
+    def replace_slice(self, step: str, store: str, batch: DataFrame, part: Slice) -> None:
+        """Typed load (K3) of a batch and replacement of its slice.
+
+        Refused are rows that do not fit the declared types or lengths and, with
+        ``strict``, rows outside the slice; without it those are appended (legacy)."""
+        t = self.tables[store]
+        inside = F.coalesce(t.holds(part), F.lit(False))
+        reason = reject_reason(batch, TABLES[store], VARCHAR_LEN.get(store)) if self.typed else F.lit(None).cast("string")
+        if self.strict:
+            reason = F.coalesce(reason, F.when(~inside, F.lit("outside the slice that this load replaces")))
+        rows, folder = self.staged(batch.withColumn("reason", reason))
+        good = rows.filter(F.col("reason").isNull()).drop("reason")
+        rejected = rows.filter(F.col("reason").isNotNull()).count()
+        self.refuse(store, rows.filter(F.col("reason").isNotNull()))
+        done = t.replace_slice(good.filter(inside), part, computed=True)
+        accepted = done.accepted
+        if not self.strict:
+            t.append(good.filter(~inside))
+            accepted += good.filter(~inside).count()
+        self.book(step, accepted + rejected, accepted, rejected, done.replaced)
+        folder.delete()
+
+    def append_gated(self, step: str, store: str, batch: DataFrame, key: str) -> None:
+        """Append rows whose key is new (U8); duplicates, conflicts and NULL keys are refused (K7)."""
+        t = self.tables[store]
+        gated, folder = self.staged(gate(batch.select(*t.schema.names), TABLES[store], key, max_len=VARCHAR_LEN.get(store), stored=t.read()))
+        good = gated.filter("accepted").select(*t.schema.names)
+        rejected = gated.filter("reason IS NOT NULL")
+        t.append(good)
+        self.refuse(store, rejected.select(*t.schema.names, "reason"))
+        n = gated.agg(F.sum("n_rows"), F.count(F.when(F.col("accepted"), 1)), F.sum(F.when(F.col("reason").isNotNull(), F.col("n_rows")))).first()
+        self.book(step, n[0] or 0, n[1], n[2] or 0, 0)
+        folder.delete()
+
+    def replace_dimension(self, step: str, store: str, report: DataFrame) -> None:
+        """Key-diff synchronisation of a dimension."""
+        t = self.tables[store]
+        stored = t.read()
+        came, folder = self.staged(report)
+        diff = dimsync.dim_diff(came, stored).groupBy("action").count().collect()
+        n = {r["action"]: r["count"] for r in diff}
+        rows_in, taken = came.count(), sum(n.get(a, 0) for a in ("insert", "update", "keep"))
+        t.replace(dimsync.dim_sync(came, stored))
+        self.book(step, rows_in, taken, rows_in - taken, n.get("delete", 0) + n.get("update", 0))
+        folder.delete()
+
+    def report(self) -> DataFrame:
+        return self.spark.createDataFrame(self.lines, RUN_REPORT)
 
 
 def run(spark: SparkSession, reports: Reports, warehouse: str, *, as_of: _dt.date | str, config: RunConfig,
-        first_load: bool = False, strict: bool = True, typed: bool = True) -> dict[str, str]:
-    """Apply one download to the warehouse; returns the committed version per step.
+        first_load: bool = False, strict: bool = True, typed: bool = True, steps: Sequence[str] = STEPS) -> DataFrame:
+    """Apply one download to the warehouse; returns the run report, which is also
+    appended to ``<warehouse>/_runs``: per step the rows that came, were accepted,
+    were refused, and were replaced.
 
     ``first_load=True`` starts every slice at the beginning, so that no history
     is outside of it (a first load or a backfill).  ``strict=True`` loads no batch
@@ -117,51 +177,47 @@ def run(spark: SparkSession, reports: Reports, warehouse: str, *, as_of: _dt.dat
     (the legacy behaviour, ``strict=False``, duplicates death rows reported by
     the movement report, quirk Q13).  ``typed=True`` routes fact rows that
     overflow the declared types, and with ``strict`` those outside the slice, to
-    a reject table per fact (K3) instead of committing them; forms without all
-    section titles are listed in ``_rejects/forms``.
+    ``_rejects`` (K3) instead of committing them; forms without all section titles
+    are listed in ``_rejects/forms``, cells that are no numbers in ``_rejects/form_cells``.
+    ``steps`` are the steps to run, always in the order of ``STEPS``.
     """
     start = dict.fromkeys(config.lookback, BEGINNING) if first_load else lookback_starts(as_of, dict(config.lookback))
-    st = stores(spark, warehouse)
-    out: dict[str, str] = {}
-    run_id = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
-
-    def replace(store: str, batch: DataFrame, pred: Column) -> str:
-        if typed:
-            batch = checked(warehouse, store, batch, run_id, pred if strict else None)
-        return st[store].replace_slice(batch, pred, strict=strict)
-
-    out["groups"] = st["groups"].replace(dimsync.dim_sync(reports.groups, st["groups"].read()))
-
-    out["ingredients"] = replace("ingredients", ing.ingredients(reports.ingredient_qty, reports.ingredient_cost),
-                                 date_slice("delivery_date", start["ingredients"]))
-
-    death = mv.DEATH_CATEGORIES
-    cat = F.coalesce(F.col("event_category"), F.lit("")) if strict else F.col("event_category")
-    out["movements"] = replace("movements", mv.movements(reports.movements, rename=dict(config.entity_rename)),
-                               date_slice("movement_date", start["movements"]) & ~cat.isin(*death))
-    out["deaths"] = replace("movements", mv.deaths(reports.deaths),
-                            date_slice("movement_date", start["deaths"]) & category_slice("event_category", death, inside=True))
-
-    out["sales"] = replace("sales", sl.sales(reports.carcass, reports.loads), date_slice("kill_date", start["sales"]))
-
-    if reports.budgets is not None:
-        out["budget_init"] = st["budgets"].append(bd.budget_init(reports.budgets), key="budget_id")
+    load = Loader(spark, warehouse, strict=strict, typed=typed)
+    st = load.tables
+
+    def step(name: str) -> bool:
+        return name in steps
+
+    if step("groups"):
+        load.replace_dimension("groups", "groups", reports.groups)
+    if step("ingredients"):
+        load.replace_slice("ingredients", "ingredients", ing.ingredients(reports.ingredient_qty, reports.ingredient_cost),
+                           Slice(start["ingredients"]))
+    if step("movements"):
+        load.replace_slice("movements", "movements", mv.movements(reports.movements, rename=dict(config.entity_rename)),
+                           Slice(start["movements"], "movements"))
+    if step("deaths"):
+        load.replace_slice("deaths", "movements", mv.deaths(reports.deaths), Slice(start["deaths"], "deaths"))
+    if step("sales"):
+        load.replace_slice("sales", "sales", sl.sales(reports.carcass, reports.loads), Slice(start["sales"]))
+    if step("budget_init") and reports.budgets is not None:
+        load.append_gated("budget_init", "budgets", bd.budget_init(reports.budgets), "budget_id")
 
     groups = st["groups"].read()
-    wanted = bd.closeout_candidates(groups, start["closeouts"], config.candidate_exclude_token).select("group_num")
-    cells = reports.cells.join(wanted.withColumnRenamed("group_num", "file_id"), "file_id", "left_semi")
-    fm.rejected_forms(cells, SECTION_LABELS).withColumn("reason", F.lit("a section title is missing or out of order")).write.mode(
-        "append").parquet(f"{warehouse.rstrip('/')}/_rejects/forms/run={run_id}")
-    forms = co.closeouts(cells, reports.layout).join(wanted, "group_num", "left_semi")
-    out["closeouts"] = replace("closeouts", forms, date_slice("start_date", start["closeouts"]))
-
-    actuals = bd.budget_actuals(
-        groups, st["closeouts"].read(), st["sales"].read(), st["budgets"].read(), st["ingredients"].read(),
-        st["movements"].read(), start=start["budget_actuals"], excluded_producer=config.excluded_producer,
-        group_types=config.group_types, home_mill=config.home_mill)
-    out["budget_actuals"] = replace(
-        "budgets", actuals, date_slice("start_date", start["budget_actuals"]) & (F.col("budget_type") == "actual"))
-    return out
+    if step("closeouts"):
+        wanted = bd.closeout_candidates(groups, start["closeouts"], config.candidate_exclude_token).select("group_num")
+        cells = reports.cells.join(wanted.withColumnRenamed("group_num", "file_id"), "file_id", "left_semi")
+        load.refuse("forms", fm.rejected_forms(cells, SECTION_LABELS).withColumn("reason", F.lit("a section title is missing or out of order")))
+        parts = co.CloseoutParts(cells, reports.layout)
+        load.refuse("form_cells", parts.rejects)
+        load.replace_slice("closeouts", "closeouts", parts.wide().join(wanted, "group_num", "left_semi"), Slice(start["closeouts"]))
+    if step("budget_actuals"):
+        load.replace_slice("budget_actuals", "budgets", bd.budget_actuals(
+            groups, st["closeouts"].read(), st["sales"].read(), st["budgets"].read(), st["ingredients"].read(),
+            st["movements"].read(), start=start["budget_actuals"], excluded_producer=config.excluded_producer,
+            group_types=config.group_types, home_mill=config.home_mill), Slice(start["budget_actuals"], "actual"))
+    load.report().write.mode("append").parquet(f"{load.warehouse}/_runs")
+    return load.report()
 
 
 def testdata_reports(spark: SparkSession, sf_dir: str, *, window_start: _dt.date | str | None = None,

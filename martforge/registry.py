@@ -33,7 +33,7 @@ from martforge.sources import catalog as cat
 from martforge.sources import fixtures as fx
 from martforge.sources import reports as rp
 from martforge.sources import testdata as td
-from martforge.sources.layout import layout_df
+from martforge.sources.layout import Layout
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,7 +195,7 @@ def q_tsv_export(spark: SparkSession, d: str) -> DataFrame:
 
 def closeout_parts(spark: SparkSession, d: str) -> co.CloseoutParts:
     tune_for_wide_plans(spark)
-    return shared(spark, d, "closeout_parts", lambda: co.CloseoutParts(td.cells(spark, d), layout_df(spark)))
+    return shared(spark, d, "closeout_parts", lambda: co.CloseoutParts(td.cells(spark, d), Layout.default(spark)))
 
 
 def q_form_sections(spark: SparkSession, d: str) -> DataFrame:
@@ -212,7 +212,7 @@ def q_form_totals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_form_ratios(spark: SparkSession, d: str) -> DataFrame:
-    return fm.rounded_ratios(closeout_parts(spark, d).ratios)
+    return closeout_parts(spark, d).ratios
 
 
 def q_form_pivot(spark: SparkSession, d: str) -> DataFrame:
@@ -281,25 +281,34 @@ def q_budget_actuals(spark: SparkSession, d: str) -> DataFrame:
 PREVIOUS_RUN_EXTRA_DAYS = 365
 
 
-def q_slice_replace_budgets(spark: SparkSession, d: str) -> DataFrame:
+def budget_loads(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, object]:
+    """The stored budgets, the new actuals, and where their slice starts."""
     start = start_of("budget_actuals")
     inputs = _actual_inputs(spark, d)
     # The stored actuals come from a wider window and another home mill, so the
     # new run changes figures of the groups it replaces.
     old = _actuals(spark, d, lookback_start(start, PREVIOUS_RUN_EXTRA_DAYS), inputs, P.PREVIOUS_HOME_MILL)
     target = bd.budget_init(inputs["budgets"]).unionByName(old)
-    batch = _actuals(spark, d, start, inputs)
-    pred = mt.date_slice("start_date", start) & (F.col("budget_type") == "actual")
-    return mt.replace_slice(target, batch, pred)
+    return target, _actuals(spark, d, start, inputs), start
 
 
-def q_slice_replace_closeouts(spark: SparkSession, d: str) -> DataFrame:
+def q_slice_replace_budgets(spark: SparkSession, d: str) -> DataFrame:
+    target, batch, start = budget_loads(spark, d)
+    return mt.replace_slice(target, batch, mt.date_slice("start_date", start) & (F.col("budget_type") == "actual"))
+
+
+def closeout_loads(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, object]:
+    """The closeouts of an earlier form version, those of the groups opened in the window, and its start."""
     tune_for_wide_plans(spark)
     start = start_of("closeouts")
-    target = co.closeouts(td.cells(spark, d, old_load()), layout_df(spark))
+    target = co.closeouts(td.cells(spark, d, old_load()), Layout.default(spark))
     groups = shared(spark, d, "groups", lambda: td.groups(spark, d))
     opened = groups.filter(mt.date_slice("open_date", start)).select("group_num")
-    batch = q_closeouts(spark, d).join(opened, "group_num", "left_semi")
+    return target, q_closeouts(spark, d).join(opened, "group_num", "left_semi"), start
+
+
+def q_slice_replace_closeouts(spark: SparkSession, d: str) -> DataFrame:
+    target, batch, start = closeout_loads(spark, d)
     return mt.replace_slice(target, batch, mt.date_slice("start_date", start))
 
 
@@ -343,7 +352,7 @@ def q_slice_group_detail(spark: SparkSession, d: str) -> DataFrame:
     tune_for_wide_plans(spark)
     wanted = q_closeout_candidates(spark, d)
     cells = td.cells(spark, d).join(wanted.withColumnRenamed("group_num", "file_id"), "file_id", "left_semi")
-    c = co.closeouts(cells, layout_df(spark)).join(wanted, "group_num", "left_semi")
+    c = co.closeouts(cells, Layout.default(spark)).join(wanted, "group_num", "left_semi")
     return c.select("group_id", "group_num", "start_date", "close_date", "totals_summary_pigs_in_number",
                     "totals_summary_pigs_out_number", "standard_market_sale_out_receipts")
 
@@ -427,6 +436,8 @@ def q_typed_load_movements(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from martforge.registry_stored import queries as stored
+
     return {
         "movements": q_movements,
         "deaths": q_deaths,
@@ -482,4 +493,5 @@ def queries() -> dict[str, Query]:
         "calendar_columns": q_calendar_columns,
         "text_normalise": q_text_normalise,
         "metric_math": q_metric_math,
+        **stored(),
     }

@@ -5,14 +5,19 @@ be numbers or strings.  Any number of such documents (one per line or one per
 file) parse with one ``from_json`` and one ``explode``: no driver-side JSON.
 A catalog is a tree of named nodes whose children sit under ``options``; a
 child is either a scalar leaf or a node object.  It is flattened one level per
-``explode``, keeping each level's JSON text as a string.
+``explode``, keeping each level's JSON text as a string (``flatten_catalog``, for a known
+depth), or walked to any depth in one scan (``walk_catalog``).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martforge.session import ensure_checkpoint_dir
+
 DIMENSION_TYPE = "map<string,struct<value:string>>"
 LEVEL_TYPE = "map<string,string>"
 
@@ -75,3 +80,45 @@ def flatten_catalog(docs: DataFrame, text_col: str = "text", depth: int = 3) ->
                            _node_value(F.col(f"n{d}")).alias("value"))
         out = out.unionByName(level)
     return out
+
+
+def _members(node: Column) -> Column:
+    return F.explode(F.try_variant_get(node, "$", "map<string,variant>")).alias("key", "node")
+
+
+def walk_catalog(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(depth, path, value)`` of every node of every catalog tree, however deep.
+
+    Documents are scanned and parsed once, as VARIANT; each level is written to the
+    cluster's shared folder and is all that the next one reads, so the work is one pass
+    over the nodes and a lost executor costs its tasks.  Text that is no JSON object
+    gives no nodes (``unparsed`` lists it).
+    """
+    spark = docs.sparkSession
+    place = f"{ensure_checkpoint_dir(spark).rstrip('/')}/catalog-{uuid.uuid4().hex}"
+    level = docs.select(_members(F.try_parse_json(F.col(text_col)))).select(F.array("key").alias("path"), "node")
+    depth = 0
+    while depth == 0 or not level.isEmpty():
+        depth += 1
+        level.write.parquet(f"{place}/depth={depth}")
+        stored = spark.read.schema(level.schema).parquet(f"{place}/depth={depth}")
+        level = stored.select("path", _members(F.try_variant_get("node", "$.options", "variant"))).select(
+            F.array_append("path", F.col("key")).alias("path"), "node")
+    node = F.col("node")
+    own = F.when(F.schema_of_variant(node).startswith("OBJECT"), F.try_variant_get(node, "$.value", "string")).otherwise(
+        F.try_variant_get(node, "$", "string"))
+    return spark.read.schema("path array<string>, node variant, depth int").parquet(place).select("depth", "path", own.alias("value"))
+
+
+def unparsed(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Documents that are no JSON objects (or name a member twice): the rejects of a walk."""
+    return docs.filter(F.try_variant_get(F.try_parse_json(F.col(text_col)), "$", "map<string,variant>").isNull())
+
+
+def code_dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(field, name, code)`` of the option lists of catalog documents (S10): the members of
+    every node that has options; codes come as text, whether given as numbers or text."""
+    nodes = walk_catalog(docs, text_col)
+    return nodes.filter("depth = 2").select(
+        F.col("path")[0].alias("field"), F.col("path")[1].alias("name"), F.col("value").alias("code")
+    ).filter("code IS NOT NULL").distinct()

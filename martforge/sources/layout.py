@@ -13,10 +13,16 @@ the same fields can be read with ``read_layout``.
 
 from __future__ import annotations
 
+from functools import cached_property
+from typing import NamedTuple
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martforge import schemas as S
+from martforge.sources.reports import csv_options, read_report_lines
 
 # The section titles a closeout form carries in column 0, in
 # order.  Section k's rows lie between title k and title k+1.
@@ -116,14 +122,95 @@ def layout_rows() -> list[Row]:
     return rows
 
 
+class LayoutRow(NamedTuple):
+    """A row of a layout; see ``LAYOUT_SCHEMA``."""
+
+    search_str: str | None
+    adjust_str: str | None
+    column_str: str | None
+    header_str: str
+    fixed: bool
+    data_type: str | None
+    round_digits: int | None
+    category: int
+    row_no: int
+    col_no: int
+    value_col: int
+
+    @property
+    def labelled(self) -> bool:
+        return self.search_str is not None and self.category > 0
+
+
+class Layout:
+    """A layout as the extraction uses it: its rows in order, and its labels as a table.
+
+    Both come of one read.  A layout describes the columns of one target table, so it is
+    small; one of more than ``MAX_ROWS`` rows is refused, and nothing of it is broadcast.
+    """
+
+    MAX_ROWS = 10_000
+
+    def __init__(self, spark: SparkSession, rows):
+        self.spark, self.rows = spark, tuple(LayoutRow(*r) for r in rows)
+        if len(self.rows) > self.MAX_ROWS:
+            raise ValueError(f"a layout of more than {self.MAX_ROWS} rows")
+
+    @classmethod
+    def of(cls, layout: "DataFrame | Layout") -> "Layout":
+        """A layout from its table; ``order_no`` (see ``read_layout``) tells the order of
+        the rows, else the order in which the table gives them."""
+        if isinstance(layout, Layout):
+            return layout
+        ordered = layout.orderBy("order_no") if "order_no" in layout.columns else layout
+        return cls(layout.sparkSession, ordered.select(*LAYOUT_SCHEMA.names).limit(cls.MAX_ROWS + 1).collect())
+
+    @classmethod
+    def default(cls, spark: SparkSession) -> "Layout":
+        return cls(spark, layout_rows())
+
+    @cached_property
+    def label_columns(self) -> list[int]:
+        return sorted({r.col_no for r in self.rows if r.labelled})
+
+    @cached_property
+    def columns(self) -> list[int]:
+        """Every sheet column the layout reads: label, value and fixed-cell columns."""
+        cols = {r.col_no for r in self.rows if r.fixed or r.labelled} | {r.value_col for r in self.rows if r.labelled}
+        return sorted(c for c in cols if c >= 0)
+
+    @cached_property
+    def extracted(self) -> list[str]:
+        """Headers of labelled cells, in the layout's order."""
+        return list(dict.fromkeys(r.header_str for r in self.rows if r.labelled))
+
+    @cached_property
+    def labels(self) -> DataFrame:
+        """The labelled rows, with their place (``order_no``) and the place of their label
+        column among those of their category (``col_rank``)."""
+        ranks: dict[int, dict[int, int]] = {}
+        out = []
+        for n, r in enumerate(self.rows):
+            if r.labelled:
+                seen = ranks.setdefault(r.category, {})
+                out.append((n, seen.setdefault(r.col_no, len(seen)), r.category, r.col_no, r.search_str, r.value_col, r.header_str, r.adjust_str, r.column_str))
+        names = ["order_no", "col_rank", "category", "col_no", "search_str", "value_col", "header_str", "adjust_str", "column_str"]
+        types = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string()]
+        columns = list(zip(*out)) or [()] * len(names)
+        return self.spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=names))
+
+
 def layout_df(spark: SparkSession) -> DataFrame:
     """The layout as a small DataFrame (a few hundred rows, fixed by the table)."""
     return spark.createDataFrame(layout_rows(), LAYOUT_SCHEMA)
 
 
 def read_layout(spark: SparkSession, path: str) -> DataFrame:
-    """Layout CSV with a header row and declared types (S6); never inferred."""
-    return spark.read.csv(path, header=True, schema=LAYOUT_SCHEMA)
+    """Layout CSV with a header row and declared types (S6), never inferred; ``order_no``
+    is the line number, as the order of the rows settles ties."""
+    lines = read_report_lines(spark, path).filter(F.col("line_no") > 0)
+    fields = F.from_csv("line", LAYOUT_SCHEMA.simpleString(), csv_options(nullValue=""))
+    return lines.select(F.col("line_no").alias("order_no"), fields.alias("r")).select("order_no", "r.*")
 
 
 def headers() -> list[str]:

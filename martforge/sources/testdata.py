@@ -143,6 +143,12 @@ def movements_raw(spark: SparkSession, sf_dir: str, where: Column | None = None)
     )
 
 
+def movements_raw_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The movement report with the date a movement was applied, some days after the event."""
+    n = F.regexp_extract("movement_id", r"-(\d+)$", 1).cast("int")
+    return movements_raw(spark, sf_dir).withColumn("applied_date", F.date_add("movement_date", n * 9))
+
+
 def deaths_raw(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Mortality list report (A3 shape)."""
     L = lines(spark, sf_dir, where).filter(F.col("l_linenumber").isin(3, 4))
@@ -488,6 +494,44 @@ def catalog_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(text.alias("text"))
 
 
+def deep_catalog_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tree per customer, a chain of 1 to 6 nodes with a leaf beside each."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey").cast("string")
+    text = F.concat(F.lit('{"value": "end '), k, F.lit('"}'))
+    for level in range(5, 0, -1):
+        chain = F.concat(F.lit('{"value": '), F.lit(str(level)), F.lit(', "options": {"leaf": "x'), k, F.lit('", "n'),
+                         F.lit(str(level + 1)), F.lit('": '), text, F.lit("}}"))
+        text = F.when(F.col("c_custkey") % 6 >= level, chain).otherwise(F.concat(F.lit('{"value": "end '), k, F.lit('"}')))
+    return c.select(F.concat(F.lit('{"n1": '), text, F.lit("}")).alias("text"))
+
+
+def code_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Option lists of two fields: producers (number codes, from ``nation``) and regions
+    (text codes; two of them share one)."""
+    n = read_table(spark, sf_dir, "nation")
+    r = read_table(spark, sf_dir, "region")
+    one = lambda field, name, code: F.concat(F.lit(f'{{"{field}": {{"value": "list", "options": {{"'), name, F.lit('": {"value": '), code, F.lit("}}}}"))
+    return n.select(one("producer", F.col("n_name"), F.col("n_nationkey").cast("string")).alias("text")).unionByName(
+        r.select(one("region", F.col("r_name"), F.concat(F.lit('"R'), F.least(F.col("r_regionkey"), F.lit(3)).cast("string"), F.lit('"'))).alias("text")))
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per customer, by the name or the code of a producer or region, or by
+    something that is neither."""
+    c = read_table(spark, sf_dir, "customer")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    j = c.join(n, c.c_nationkey == n.n_nationkey)
+    kind = F.col("c_custkey") % 5
+    return j.select(
+        F.col("c_custkey").alias("request"),
+        F.when(kind == 3, F.lit("region")).otherwise(F.lit("producer")).alias("field"),
+        F.when(kind == 0, F.col("n_name")).when(kind == 1, F.col("n_nationkey").cast("string"))
+        .when(kind == 2, F.concat(F.lit("old "), F.col("n_name"))).when(kind == 3, F.concat(F.lit("R"), F.col("n_regionkey").cast("string")))
+        .otherwise(F.lit(None).cast("string")).alias("given"),
+    )
+
+
 def diet_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Diet delivery sheet, columns in report order (group, date, diet, quantity, mill, order, cost)."""
     b = _ingredient_base(spark, sf_dir)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martforge.session import ensure_checkpoint_dir
+from martforge.sinks.tables import MonthTable, Slice
 
 Loader = Callable[[DataFrame, int], None]
 
@@ -83,19 +84,20 @@ def start_ingest(spark: SparkSession, landing: str, loader: Loader, *, name: str
     return w.start()
 
 
-def slice_loader(store, parse: Callable[[DataFrame], DataFrame], pipeline: Callable[[DataFrame], DataFrame],
-                 slice_of_batch: Callable[[DataFrame], object], *, strict: bool = True) -> Loader:
+def slice_loader(store: MonthTable, parse: Callable[[DataFrame], DataFrame], pipeline: Callable[[DataFrame], DataFrame],
+                 slice_of_batch: Callable[[DataFrame], Slice]) -> Loader:
     """Loader that parses a batch with all landed parts of its reports, runs a
     pipeline and replaces the slice it covers.
 
-    ``slice_of_batch(facts)`` returns the slice predicate for the batch, e.g.
-    ``date >= lookback start``.  An empty micro-batch changes nothing.
+    ``slice_of_batch(facts)`` returns the slice of the batch, e.g. from the lookback
+    start on; rows outside of it are not loaded.  A batch without lines changes nothing.
     """
 
     def load(lines: DataFrame, batch_id: int) -> None:
-        facts = pipeline(parse(with_landed_parts(lines)))
-        if facts.isEmpty():
+        if lines.isEmpty():
             return
-        store.replace_slice(facts, slice_of_batch(facts), strict=strict)
+        facts = pipeline(parse(with_landed_parts(lines)))
+        part = slice_of_batch(facts)
+        store.replace_slice(facts.filter(store.holds(part)), part)
 
     return load

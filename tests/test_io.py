@@ -5,13 +5,14 @@ from pyspark.sql import functions as F
 from martforge import params as P
 from martforge.functions.calendar import lookback_start
 from martforge.operators.maintenance import date_slice
+from martforge.operators.quality import gate
 from martforge.plans import movements as mv
-from martforge.plans.run import RunConfig, run, stores
+from martforge.plans.run import STEPS, Loader, RunConfig, movement_family, run, stores
 from martforge.plans.run import testdata_reports as build_reports
 from martforge.schemas import SALES, widen
 from martforge.sinks.ddl import create_table, create_table_sql, drop_table
 from martforge.sinks.export import tsv_lines, write_tsv
-from martforge.sinks.tables import TableStore
+from martforge.sinks.tables import MonthTable, Slice
 from martforge.sources import reports as rp
 from martforge.streaming.ingest import slice_loader, start_ingest
 
@@ -23,50 +24,110 @@ CONFIG = RunConfig(P.LOOKBACK_DAYS, P.ENTITY_RENAME, P.EXCLUDED_PRODUCER, P.ACTU
 def test_run_is_idempotent_and_ordered(spark, small_dir, tmp_path):
     wh = str(tmp_path / "wh")
     full = build_reports(spark, small_dir)
-    run(spark, full, wh, as_of=P.AS_OF, config=CONFIG, first_load=True)
+    first = {r.step: r for r in run(spark, full, wh, as_of=P.AS_OF, config=CONFIG, first_load=True).collect()}
+    assert tuple(first) == STEPS
     # Nothing of the first download is lost: what is not in the fact is a reject.
     loaded = stores(spark, wh)["sales"].read().count()
     from martforge.plans.sales import sales
 
     refused = spark.read.parquet(f"{wh}/_rejects/sales").count()
     assert loaded + refused == sales(full.carcass, full.loads).count()
+    assert (first["sales"].accepted, first["sales"].rejected, first["sales"].replaced) == (loaded, refused, 0)
     assert stores(spark, wh)["sales"].read().agg(F.min("kill_date")).first()[0] < lookback_start(P.AS_OF, 2000)
-    run(spark, full, wh, as_of=P.AS_OF, config=CONFIG)
+    facts = ("ingredients", "movements", "deaths", "sales", "budget_init")
+    again = {r.step: r for r in run(spark, full, wh, as_of=P.AS_OF, config=CONFIG, steps=facts).collect()}
+    assert tuple(again) == facts
     assert spark.read.parquet(f"{wh}/_rejects/sales").where("reason like 'outside%'").count() > 0
+    assert again["sales"].accepted == again["sales"].replaced > 0
+    assert again["budget_init"].accepted == again["budget_init"].rejected == 0  # known rows are neither
+    for r in (*first.values(), *again.values()):
+        assert r.step in ("groups", "budget_init") or r.accepted + r.rejected == r.rows_in
     counts1 = {k: s.read().count() for k, s in stores(spark, wh).items()}
     window = lookback_start(P.AS_OF, P.LOOKBACK_DAYS["movements"])
-    again = build_reports(spark, small_dir, window_start=window, with_budgets=False)
-    run(spark, again, wh, as_of=P.AS_OF, config=CONFIG)
+    part = build_reports(spark, small_dir, window_start=window, with_budgets=False)
+    run(spark, part, wh, as_of=P.AS_OF, config=CONFIG, steps=("groups", "movements", "sales"))
     counts2 = {k: s.read().count() for k, s in stores(spark, wh).items()}
     assert counts1 == counts2
     assert counts1["budgets"] > 0 and counts1["closeouts"] > 0
     b = stores(spark, wh)["budgets"].read()
     assert b.filter(F.col("budget_type") == "actual").count() > 0
+    assert spark.read.parquet(f"{wh}/_runs").select("run").distinct().count() == 3
 
 
-def test_table_store_versions(spark, tmp_path):
-    s = TableStore(spark, str(tmp_path / "t"))
-    df = spark.createDataFrame([(1, dt.date(2020, 1, 1)), (2, dt.date(2020, 3, 1))], "id int, d date")
-    v1 = s.commit(df)
-    batch = spark.createDataFrame([(3, dt.date(2020, 4, 1))], "id int, d date")
-    v2 = s.replace_slice(batch, date_slice("d", "2020-02-01"))
-    assert v1 != v2 and sorted(r.id for r in s.read().collect()) == [1, 3]
+FACT = "id int, kind string, d date"
 
 
-def test_table_store_survives_a_dead_commit(spark, tmp_path):
+def files(table):
+    return {f.split("/", 3)[-1] for f in table._stored().inputFiles()} if table.partitions() else set()
+
+
+def month_table(spark, path, rows, family=True):
+    t = MonthTable(spark, str(path), spark.createDataFrame([], FACT).schema, "d", F.col("kind") if family else None)
+    t.append(spark.createDataFrame(rows, FACT))
+    return t
+
+
+def day(text):
+    return dt.date.fromisoformat(text) if text else None
+
+
+OLD = [(1, "a", day("2020-01-05")), (2, "a", day("2020-02-03")), (3, "a", day("2020-02-20")), (4, "a", day("2020-03-01")),
+       (5, "b", day("2020-02-25")), (6, "a", None), (7, None, day("2020-03-02")), (8, "a", day("2020-05-09"))]
+
+
+def test_a_slice_writes_only_its_months(spark, tmp_path):
+    t = month_table(spark, tmp_path / "t", OLD)
+    before = files(t)
+    batch = spark.createDataFrame([(30, "a", day("2020-02-10")), (40, "a", day("2020-04-01"))], FACT)
+    done = t.replace_slice(batch, Slice(day("2020-02-10"), "a"))
+    after = files(t)
+    assert sorted((r.id for r in t.read().collect())) == [1, 2, 5, 6, 7, 30, 40]
+    assert (done.accepted, done.replaced) == (2, 3)
+    assert done.written == ("a/2020-02", "a/2020-04") and done.dropped == ("a/2020-03", "a/2020-05")
+    kept = {f for f in before if any(x in f for x in ("p_family=a/p_month=2020-01", "p_family=b/", "HIVE_DEFAULT"))}
+    assert len(kept) == 4 and kept <= after  # January, the other family, no date and no kind: the same files
+    assert not (before - kept) & after
+    # The same batch again changes no row; a slice whose batch is empty goes.
+    t.replace_slice(batch, Slice(day("2020-02-10"), "a"))
+    assert sorted((r.id for r in t.read().collect())) == [1, 2, 5, 6, 7, 30, 40]
+    t.replace_slice(batch.limit(0), Slice(day("2020-02-01"), "a"))
+    assert sorted((r.id for r in t.read().collect())) == [1, 5, 6, 7]
+
+
+def test_slices_of_all_families_and_of_tables_without(spark, tmp_path):
+    rows = [r for r in OLD if r[1]]
+    for family in (True, False):
+        t = month_table(spark, tmp_path / f"t{family}", rows, family)
+        t.replace_slice(spark.createDataFrame([(9, "a", day("2020-03-05"))], FACT), Slice(day("2020-02-10")))
+        assert sorted((r.id for r in t.read().collect())) == [1, 2, 6, 9]
+
+
+def test_a_batch_outside_its_slice_changes_nothing(spark, tmp_path):
     import pytest
 
-    s = TableStore(spark, str(tmp_path / "t"), spark.createDataFrame([], "id int").schema)
-    assert s.read().count() == 0  # no root yet
-    v1 = s.commit(spark.createDataFrame([(1,)], "id int"))
-    # A job that died after its files and before its marker.
-    spark.createDataFrame([(9,)], "id int").write.parquet(f"{s.root}/v={int(v1) + 1:012d}")
-    assert [r.id for r in s.read().collect()] == [1]
-    s.append(spark.createDataFrame([(1,), (2,), (2,)], "id int"), key="id")
-    assert sorted(r.id for r in s.read().collect()) == [1, 2]
-    (tmp_path / "t" / "_commits" / f"{99:012d}").touch()  # a version without files is an error, not an empty table
-    with pytest.raises(Exception):
-        s.read().count()
+    t = month_table(spark, tmp_path / "t", OLD)
+    with pytest.raises(Exception, match="outside"):
+        t.replace_slice(spark.createDataFrame([(9, "a", day("2020-01-31"))], FACT), Slice(day("2020-02-01"), "a"))
+    assert t.read().count() == len(OLD)
+    t.replace(t.read().filter("id < 5"))  # a table may be replaced by what was read from it
+    assert sorted((r.id for r in t.read().collect())) == [1, 2, 3, 4]
+    empty = MonthTable(spark, str(tmp_path / "none"), t.schema, "d")
+    assert empty.read().count() == 0
+
+
+def test_gate_of_a_keyed_load(spark):
+    schema = spark.createDataFrame([], "k string, v decimal(4,1)").schema
+    batch = spark.createDataFrame(
+        [("a", "1.5"), ("a", "1.5"), ("b", "1.5"), ("b", "2.5"), (None, "1.5"), ("c", "9999.9"), ("d", "3.5"), ("e", "3.5"), ("toolong", "1.0")],
+        "k string, v string").selectExpr("k", "CAST(v AS decimal(18,1)) AS v")
+    stored = spark.createDataFrame([("d", "3.5"), ("e", "4.5")], "k string, v string").selectExpr("k", "CAST(v AS decimal(18,1)) AS v")
+    got = {(r.k, str(r.v)): (r.n_rows, r.reason and r.reason.split(": ")[1], r.accepted)
+           for r in gate(batch, schema, "k", max_len={"k": 3}, stored=stored).collect()}
+    assert got == {
+        ("a", "1.5"): (2, None, True), ("b", "1.5"): (1, "came 2 times with different values", False),
+        ("b", "2.5"): (1, "came 2 times with different values", False), (None, "1.5"): (1, "NULL", False),
+        ("c", "9999.9"): (1, "not decimal(4,1)", False), ("d", "3.5"): (1, None, False),
+        ("e", "3.5"): (1, "stored with other values", False), ("toolong", "1.0"): (1, "over 3 chars", False)}
 
 
 def test_tsv_export(spark, tmp_path):
@@ -103,7 +164,7 @@ def _movement_file(path, rows):
 def test_streaming_ingest_processes_each_file_once(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
-    store = TableStore(spark, str(tmp_path / "movements"), mv.MOVEMENT_OUT)
+    store = MonthTable(spark, str(tmp_path / "movements"), mv.MOVEMENT_OUT, "movement_date", movement_family())
 
     def parse(lines):
         df = rp.parse_report_lines(lines, skip_rows=3, ordinals=list(range(13)), names=MOVE_NAMES)
@@ -112,7 +173,7 @@ def test_streaming_ingest_processes_each_file_once(spark, tmp_path):
                          F.col("cost").cast("decimal(18,2)").alias("cost"))
 
     loader = slice_loader(store, parse, lambda raw: mv.movements(raw),
-                          lambda facts: date_slice("movement_date", "2020-01-01"))
+                          lambda facts: Slice(dt.date(2020, 1, 1), "movements"))
     _movement_file(landing / "movements_1.csv", [
         ["", "G1", "", "", "", "Transfer", "E5", "t", "1-5", "2020-02-01", "10", "100", "5.00"]])
     q = start_ingest(spark, str(landing), loader, name="t1", name_token="movements",
@@ -131,7 +192,7 @@ def test_streaming_ingest_processes_each_file_once(spark, tmp_path):
 def test_parts_of_one_report_in_two_batches(spark, tmp_path):
     landing = tmp_path / "landing zone"
     landing.mkdir()
-    store = TableStore(spark, str(tmp_path / "movements"), mv.MOVEMENT_OUT)
+    store = MonthTable(spark, str(tmp_path / "movements"), mv.MOVEMENT_OUT, "movement_date", movement_family())
 
     def parse(lines):
         df = rp.parse_report_lines(lines, skip_rows=3, ordinals=list(range(13)), names=MOVE_NAMES)
@@ -139,7 +200,7 @@ def test_parts_of_one_report_in_two_batches(spark, tmp_path):
                          F.col("quantity").cast("int").alias("quantity"), F.col("weight").cast("int").alias("weight"),
                          F.col("cost").cast("decimal(18,2)").alias("cost"))
 
-    loader = slice_loader(store, parse, lambda raw: mv.movements(raw), lambda facts: date_slice("movement_date", "2020-01-01"))
+    loader = slice_loader(store, parse, lambda raw: mv.movements(raw), lambda facts: Slice(dt.date(2020, 1, 1), "movements"))
 
     def land(name, *groups):
         _movement_file(landing / name, [["", g, "", "", "", "Transfer", "E5", "t", f"{g}-5", "2020-02-01", "10", "100", "5.00"]
@@ -157,14 +218,15 @@ def test_parts_of_one_report_in_two_batches(spark, tmp_path):
 
 
 def test_run_routes_overflowing_rows_to_rejects(spark, tmp_path):
-    from martforge.plans.run import checked
-
-    df = spark.createDataFrame([("G1", 5, "2020 01"), ("G2", 70000, "2020 01")],
-                               "group_num string, quantity long, movement_week string")
-    ok = checked(str(tmp_path), "movements", df, "r1")
-    assert [r.group_num for r in ok.collect()] == ["G1"]
+    load = Loader(spark, str(tmp_path))
+    row = dict.fromkeys(mv.MOVEMENT_OUT.names) | {"event_category": "Transfer", "movement_date": dt.date(2020, 1, 1)}
+    rows = [row | {"group_num": "G1", "quantity": 5}, row | {"group_num": "G2", "quantity": 70000}, row | {"group_num": "G3", "movement_date": dt.date(2019, 1, 1)}]
+    batch = spark.createDataFrame([tuple(r[c] for c in mv.MOVEMENT_OUT.names) for r in rows], mv.MOVEMENT_OUT)
+    load.replace_slice("movements", "movements", batch, Slice(dt.date(2020, 1, 1), "movements"))
+    assert [r.group_num for r in load.tables["movements"].read().collect()] == ["G1"]
     rej = spark.read.parquet(str(tmp_path / "_rejects" / "movements"))
-    assert [(r.group_num, r.reason.split(":")[0]) for r in rej.collect()] == [("G2", "quantity")]
+    assert sorted((r.group_num, r.reason.split(":")[0]) for r in rej.collect()) == [("G2", "quantity"), ("G3", "outside the slice that this load replaces")]
+    assert load.report().first()[1:] == ("movements", 3, 1, 2, 0)
 
 
 def test_slice_predicate_reaches_the_scan(spark, tmp_path):
