@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.llm import decontamination, jaccard_join, knn_quality, packing, quality_rules
-from martforge.llm.common import table, write_shared
+from martforge.llm.common import table, unused, write_shared
 
 #: A document goes on with this score or more.
 MIN_QUALITY = 0.7
@@ -27,8 +27,9 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     voters = knn_quality.train(docs, table(spark, sf_dir, "labels"))
     if not len(voters.labels):
         return docs
-    scored = knn_quality.score_quality(docs, voters, score_column="_score")
-    return scored.where(F.col("_score") >= MIN_QUALITY).select(*docs.columns)
+    name = unused("score", docs)
+    scored = knn_quality.score_quality(docs, voters, score_column=name)
+    return scored.where(F.col(name) >= MIN_QUALITY).select(*docs.columns)
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,13 +41,17 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates.
 
-    Documents without a shingle are groups of their own; of rows that repeat an
-    id one stays."""
-    found = jaccard_join.jaccard_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    first = found.where("component_id IS NULL OR component_id = doc_id").select("doc_id").distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
-    named = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id IS NULL")).select(*docs.columns)
+    Rows are named by id and text, so different texts under one id, or without an
+    id, are judged apart; of rows that repeat both one stays.  Documents without a
+    shingle are groups of their own; a row without an id stays only if no row of
+    its group has one."""
+    name = unused("row", docs)
+    named = docs.withColumn(name, F.xxhash64("doc_id", "text"))
+    found = jaccard_join.jaccard_components(named.select(F.col(name).alias("doc_id"), "text"), SHINGLE_WORDS, SIMILAR_PERCENT)
+    ids = named.groupBy(name).agg(F.min("doc_id").alias("id"))
+    groups = found.select(F.col("doc_id").alias(name), "component_id").distinct().join(ids, name)
+    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", name))[name].alias(name)).select(name)
+    return named.join(first, name, "left_semi").dropDuplicates([name]).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,12 +59,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Rows are named by id and text, so one without an id, or with the id of
     another text, is decided by its own text."""
-    row = F.xxhash64("doc_id", "text")
+    row, name = F.xxhash64("doc_id", "text"), unused("row", docs)
     hits = decontamination.find_contamination(
         docs.select(row.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")
     )
-    bad = write_shared(hits.select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
-    return docs.withColumn("_row", row).join(bad, "_row", "left_anti").select(*docs.columns)
+    bad = write_shared(hits.select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    return docs.withColumn(name, row).join(bad, name, "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

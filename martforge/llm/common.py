@@ -60,6 +60,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name`` with as many underscores before it as no column of ``frames`` has."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def utf8_text(column: str = "text"):
     """The text, with null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -8,9 +8,12 @@ whose similarity reaches a threshold, as components of linked documents:
 * Relations between sets: sets that share a min-hash are compared with one hub of
   their group, so the members of a group of near copies are linked through few
   comparisons, and every member's distance to its component's leader is known.
+* A family is a group of sets whose min-hashes agree with common hubs, linked or
+  not.  Links inside a crowded family are found by the differences of its members
+  from the family's majority (``families.py``), and outside it stands for them.
 * Index lists: shingles are ordered (frequent ones last, others by hash), and only
-  a prefix of each set is indexed.  A component is one entry in a list however
-  many members share the shingle.  Lists are skipped by blocks: entries whose
+  a prefix of each set is indexed.  A component or family is one entry in a list
+  however many members share the shingle.  Lists are skipped by blocks: entries whose
   position is beyond the first block need not meet each other, and sizes and
   positions that cannot reach the threshold do not.  Two sets that met have to
   share enough of their prefixes before they are compared whole.
@@ -35,11 +38,15 @@ from pyspark.sql import functions as F
 
 from martforge.llm.common import importable, table, write_shared
 from martforge.llm.components import components
+from martforge.llm.families import differences, family_links
 
 #: Independent min-hashes of a set; the first of them name the groups that hubs
 #: are sought in.
 MIN_HASHES = 8
 HUB_KEYS = 4
+#: Components (or single classes) that make a family crowded; smaller families meet in
+#: the index lists.  Both ways are exact.
+CROWDED = 3
 #: A shingle in this many of the examined prefixes is frequent; entries that the
 #: list of frequent shingles has at most (8 bytes each).
 FREQUENT = 24
@@ -191,12 +198,17 @@ def sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return _wanted(docs, nodes).mapInArrow(run, "node long, shingles array<long>")
 
 
-def compared(docs: DataFrame, pairs: DataFrame, width: int, label: str) -> DataFrame:
+def paired_sets(docs: DataFrame, pairs: DataFrame, width: int, label: str) -> DataFrame:
+    """The sets of all documents in ``pairs`` (a, b, ...)."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    return write_shared(sets_of(docs, write_shared(nodes, f"{label}-nodes"), width), f"{label}-sets")
+
+
+def compared(docs: DataFrame, pairs: DataFrame, width: int, label: str, sets: DataFrame | None = None) -> DataFrame:
     """``pairs`` (a, b, ...) with ``both``, the exact size of the intersection.
 
     An id that several rows have gives a row for each of their sets."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = write_shared(sets_of(docs, write_shared(nodes, f"{label}-nodes"), width), f"{label}-sets")
+    sets = paired_sets(docs, pairs, width, label) if sets is None else sets
     left, right = sets.withColumnsRenamed({"node": "a", "shingles": "sa"}), sets.withColumnsRenamed({"node": "b", "shingles": "sb"})
     met = pairs.join(left, "a").join(right, "b")
     return write_shared(met.withColumn("both", F.size(F.array_intersect("sa", "sb")).cast("long")).drop("sa", "sb").distinct(), label)
@@ -231,7 +243,10 @@ def linked_sets(docs: DataFrame, classes: DataFrame, signs: DataFrame, width: in
         .select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb"))
         .distinct()
     )
-    stars = compared(docs, write_shared(stars, "stars"), width, "star-links")
+    stars = write_shared(stars, "stars")
+    star_sets = paired_sets(docs, stars, width, "star-links")
+    families = components(stars)
+    stars = compared(docs, stars, width, "star-links", star_sets)
     edges = stars.where(reaches(F.col("both"), F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb", "both")
     groups = components(edges)
 
@@ -250,15 +265,33 @@ def linked_sets(docs: DataFrame, classes: DataFrame, signs: DataFrame, width: in
     )
     far = write_shared(far, "distances")
 
+    # Crowded families: their own links, and distances to their first member.
+    kin = crowded_families(families, groups, signs)
+    near = write_shared(differences(kin, star_sets), "family-members")
+    inside = family_links(near, percent)
+    far = write_shared(
+        far.join(near.select("node"), "node", "left_anti").unionByName(
+            near.select("node", F.col("family").alias("component"), "n", F.size("diff").cast("long").alias("r"))
+        ),
+        "family-distances",
+    )
+    crowded = near.select("family").distinct()
+
     pairs = met_in_lists(docs, signed, far, width, percent, slack)
     # Leaders first.
     pairs = pairs.join(sizes.withColumnsRenamed({"node": "a", "n": "na"}), "a").join(sizes.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
     led = compared(docs, write_shared(pairs, "led-pairs"), width, "met-links")
     linked = reaches(F.col("both"), F.col("na"), F.col("nb"), percent)
-    edges = edges.select("a", "b").unionByName(led.where(linked).select("a", "b"))
-    # Then members that the distances leave room for.
+    edges = edges.select("a", "b").unionByName(inside).unionByName(led.where(linked).select("a", "b"))
+    # Then members that the distances leave room for; all members of a component are
+    # linked with its leader, those of a family need not be.
+    led = (
+        led.join(crowded.select(F.col("family").alias("a"), F.lit(True).alias("fa")), "a", "left")
+        .join(crowded.select(F.col("family").alias("b"), F.lit(True).alias("fb")), "b", "left")
+    )
+    settled = linked & F.coalesce("fa", "fb").isNull()
     apart = (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("d")
-    open_pairs = led.where(~linked).select(F.col("a").alias("ca"), F.col("b").alias("cb"), "na", "nb", apart)
+    open_pairs = led.where(~settled).select(F.col("a").alias("ca"), F.col("b").alias("cb"), "na", "nb", apart)
     span = far.groupBy("component").agg(F.max("r").alias("max_r"), F.max("n").alias("max_n"), F.min("n").alias("min_n"))
 
     def side(x: str) -> DataFrame:
@@ -290,6 +323,27 @@ def linked_sets(docs: DataFrame, classes: DataFrame, signs: DataFrame, width: in
     return edges
 
 
+def crowded_families(families: DataFrame, groups: DataFrame, signs: DataFrame) -> DataFrame:
+    """(node, family, unit) of the families (node, component) with ``CROWDED`` units
+    or more: components of ``groups`` or single classes.
+
+    A family with an id that has several different sets is left out: an id names
+    one set of a family.  Its links are found in the lists."""
+    several = signs.groupBy("doc_id").agg(F.min("digest").alias("d0"), F.max("digest").alias("d1")).where("d0 < d1")
+    kin = (
+        families.withColumnRenamed("component", "family")
+        .join(groups.withColumnRenamed("component", "unit"), "node", "left")
+        .withColumn("unit", F.coalesce("unit", "node"))
+        .join(several.select(F.col("doc_id").alias("node"), F.lit(1).alias("several")), "node", "left")
+    )
+    kin = write_shared(kin, "families")
+    units = F.count(F.when(F.col("unit") == F.col("node"), 1))
+    wanted = kin.groupBy("family").agg(units.alias("units"), F.count("several").alias("several")).where(
+        (F.col("units") >= CROWDED) & (F.col("several") == 0)
+    )
+    return kin.drop("several").join(wanted.select("family"), "family", "left_semi").select("node", "family", "unit")
+
+
 def met_in_lists(
     docs: DataFrame, signed: DataFrame, far: DataFrame, width: int, percent: int, slack: float
 ) -> DataFrame:
@@ -373,7 +427,7 @@ def jaccard_components(
         "classes",
     )
     nodes = classes.select("node", "n").dropDuplicates(["node"])
-    edges = linked_sets(texts, nodes, signs.select("doc_id", "n", "keys"), width, percent)
+    edges = linked_sets(texts, nodes, signs.select("doc_id", "n", "digest", "keys"), width, percent)
     found = components(edges)
     # Few classes are linked to others; the join's hot side, one digest with very
     # many documents, is split by AQE.

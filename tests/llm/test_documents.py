@@ -311,6 +311,58 @@ def test_jaccard_join_of_near_copies(spark, no_docs, monkeypatch):
     assert jaccard_join.jaccard_components(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
+def test_jaccard_join_of_crowded_families(spark, width, percent):
+    """Near copies of a text of which few pairs are linked, one family with the text
+    itself and one without, copies of copies, and a text like both families."""
+    import random
+
+    r = random.Random(8)
+    words = [f"v{i}" for i in range(3000)]
+    rows = []
+    for f, (count, edits) in enumerate([(120, 5), (120, 3), (60, 9)]):
+        base = [r.choice(words) for _ in range(150 + 30 * f)]
+        texts = [base] if f == 1 else []
+        for _ in range(count):
+            t = list(r.choice(texts) if texts and r.random() < 0.15 else base)
+            for _ in range(r.randint(max(0, edits - 3), edits)):
+                at = r.randrange(len(t))
+                t[at : at + 1] = [r.choice(words)] * r.randint(0, 2)
+            texts.append(t)
+        rows += [(1000 * f + i, " ".join(t)) for i, t in enumerate(texts)]
+        rows.append((9000 + f, " ".join(base[:80] + [r.choice(words) for _ in range(60)])))
+    rows += [(9100, rows[3][1]), (9101, rows[150][1])]  # copies
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_components(rows, width, percent)
+    sizes = Counter(c for _, c in want.values())
+    assert max(sizes.values()) < 250 and len(sizes) > 20
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(docs, width, percent).collect()}
+    assert got == want
+
+
+def test_family_pairs_grow_with_the_family(spark, monkeypatch):
+    """Members that meet in the index of differences are few, not all pairs."""
+    import random
+
+    from martforge.llm import families
+
+    r = random.Random(3)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(400):
+        t = list(base)
+        for at in r.sample(range(300), 5):
+            t[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(t)))
+    seen = {}
+    plain = families.write_shared
+    monkeypatch.setattr(families, "write_shared", lambda df, label: seen.setdefault(label, plain(df, label)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(docs, 3, 90).collect()}
+    assert got == brute_components(rows, 3, 90)
+    assert 0 < seen["difference-pairs"].count() < 400 * 399 / 2 / 20
+
+
 def test_decontamination(spark, clash, no_docs):
     import random
 

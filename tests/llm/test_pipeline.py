@@ -13,7 +13,7 @@ from test_documents import brute_components, brute_counts
 
 def test_registered_names():
     names = [n.split("_")[0] for n in registry.queries()]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]
     assert set(registry.oracle_sql()) <= set(registry.queries())
     assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 5
 
@@ -72,6 +72,19 @@ def test_pipeline_stage_by_stage(spark, small_dir):
     assert {r.doc_id for r in rows.collect()} == clean
 
 
+def test_near_duplicates_are_named_by_row(spark, small_dir):
+    """Different texts under one id, or without an id, all stay; copies go."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(4)]
+    rows = [(1, texts[0], "a"), (1, texts[1], "b"), (None, texts[2], "c"), (None, texts[3], "d"), (None, texts[3], "e")]
+    rows += [(5, texts[1], "f"), (None, texts[0], "g"), (6, "", "h"), (7, None, "i"), (6, "", "j")]
+    stage = dict(corpus_pipeline.STAGES)["near duplicates"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    got = stage(spark, docs.withColumnRenamed("_row", "row"), small_dir)
+    assert got.columns == ["doc_id", "text", "row"]
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    assert kept == sorted([(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (6, ""), (7, None)], key=repr)
+
+
 def test_decontamination_decides_by_row(spark, small_dir):
     """A contaminated row goes though it has no id, and a clean one with its id stays."""
     docs = spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text").limit(100).collect()
