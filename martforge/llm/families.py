@@ -27,18 +27,25 @@ from pyspark.sql import functions as F
 from martforge.llm.common import write_shared
 
 
+#: What names a member's set.
+MEMBER = ["family", "node", "copy"]
+
+
 def differences(kin: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, family, unit, n, diff) of the members ``kin`` (node, family, unit):
-    the shingles in which a set and that of its family's first member differ."""
+    """(family, node, copy, unit, n, diff) of the members ``kin`` (node, family, unit):
+    the shingles in which a set and that of its family's first member differ.
+
+    A node may be in several families; an id that several rows have has a row for
+    each of their sets, told apart by ``copy``."""
     mine = sets.select("node", F.col("shingles").alias("own"))
     first = sets.select(F.col("node").alias("family"), F.col("shingles").alias("ref"))
     return (
         kin.join(mine, "node").join(first, "family")
         .select(
-            "node", "family", "unit", F.size("own").cast("long").alias("n"),
+            "family", "node", F.xxhash64("own").alias("copy"), "unit", F.size("own").cast("long").alias("n"),
             F.concat(F.array_except("own", "ref"), F.array_except("ref", "own")).alias("diff"),
         )
-        .dropDuplicates(["node"])
+        .dropDuplicates(MEMBER)
     )
 
 
@@ -63,8 +70,8 @@ def family_links(near: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) such that every link between members of one family lies in a
     component of them and of the given units.
 
-    ``near`` has the rows of :func:`differences`; members of one ``unit`` are
-    known to be connected."""
+    ``near`` has the rows of :func:`differences` and ``guest``; members of one
+    ``unit`` are known to be connected, and two guests need not meet here."""
     own, counts = _referred(near)
     r, n = F.size("diff").cast("long"), F.col("n")
     own = write_shared(own.withColumn("r", r).withColumn("w", (100 + percent) * r - (100 - percent) * n), "family-differences")
@@ -77,27 +84,33 @@ def family_links(near: DataFrame, percent: int) -> DataFrame:
         return F.greatest(F.lit(1).cast("long"), F.ceil(w / (2.0 * (100 + percent)) - 1e-9))
 
     # Positions in the family's order of shingles, rare ones first.
-    told = own.select("node", "family", F.explode("diff").alias("token")).join(counts, ["family", "token"])
-    order = told.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("order"))
+    told = own.select(*MEMBER, F.explode("diff").alias("token")).join(counts, ["family", "token"])
+    order = told.groupBy(*MEMBER).agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("order"))
     head = F.slice("order", F.lit(1), F.greatest(F.lit(0).cast("long"), F.col("r") - needed(F.col("w") + F.col("w0")) + 1).cast("int"))
+    known = [*MEMBER, "unit", "guest", "central", "n", "w"]
     entries = (
-        own.select("node", "family", "unit", "central", "n", "r", "w", "w0").join(order, "node")
-        .select("node", "family", "unit", "central", "n", "r", "w", F.posexplode(head).alias("pos", "entry"))
+        own.select(*known, "r", "w0").join(order, MEMBER)
+        .select(*known, "r", F.posexplode(head).alias("pos", "entry"))
         .where("entry.c > 1")  # in one difference alone it meets nothing
-        .select("node", "family", "unit", "central", "n", "w", F.col("entry.token").alias("token"), (F.col("r") - F.col("pos")).alias("left"))
+        .select(*known, F.col("entry.token").alias("token"), (F.col("r") - F.col("pos")).alias("left"))
     )
     entries = write_shared(entries, "difference-lists")
     x, y = entries.alias("x"), entries.alias("y")
     may = (
         (F.col("x.family") == F.col("y.family")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
-        & (F.col("x.unit") != F.col("y.unit")) & ~(F.col("x.central") & F.col("y.central"))
+        & (F.col("x.unit") != F.col("y.unit")) & ~(F.col("x.central") & F.col("y.central")) & ~(F.col("x.guest") & F.col("y.guest"))
         & (percent * F.greatest("x.n", "y.n") <= 100 * F.least("x.n", "y.n"))
         # What follows the first common shingle has to be enough.
         & (F.least("x.left", "y.left") >= needed(F.col("x.w") + F.col("y.w")))
     )
-    pairs = write_shared(x.join(y, may).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "difference-pairs")
-    one = own.select(F.col("node").alias("a"), F.col("w").alias("wa"), F.col("diff").alias("da"))
-    two = own.select(F.col("node").alias("b"), F.col("w").alias("wb"), F.col("diff").alias("db"))
+    met = x.join(y, may).select(
+        F.col("x.family").alias("family"), F.col("x.node").alias("a"), F.col("x.copy").alias("copy_a"),
+        F.col("y.node").alias("b"), F.col("y.copy").alias("copy_b"),
+    )
+    pairs = write_shared(met.distinct(), "difference-pairs")
+    one = own.select("family", F.col("node").alias("a"), F.col("copy").alias("copy_a"), F.col("w").alias("wa"), F.col("diff").alias("da"))
+    two = own.select("family", F.col("node").alias("b"), F.col("copy").alias("copy_b"), F.col("w").alias("wb"), F.col("diff").alias("db"))
     shared = F.size(F.array_intersect("da", "db")).cast("long")
-    met = pairs.join(one, "a").join(two, "b").where(2 * (100 + percent) * shared >= F.col("wa") + F.col("wb"))
-    return write_shared(surely.unionByName(met.select("a", "b")), "family-links")
+    both = pairs.join(one, ["family", "a", "copy_a"]).join(two, ["family", "b", "copy_b"])
+    linked = both.where(2 * (100 + percent) * shared >= F.col("wa") + F.col("wb"))
+    return write_shared(surely.unionByName(linked.select("a", "b")).distinct(), "family-links")

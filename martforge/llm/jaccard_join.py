@@ -11,6 +11,8 @@ whose similarity reaches a threshold, as components of linked documents:
 * A family is a group of sets whose min-hashes agree with common hubs, linked or
   not.  Links inside a crowded family are found by the differences of its members
   from the family's majority (``families.py``), and outside it stands for them.
+  Sets that meet a family in the lists and may be linked to its members are
+  guests in its index.
 * Index lists: shingles are ordered (frequent ones last, others by hash), and only
   a prefix of each set is indexed.  A component or family is one entry in a list
   however many members share the shingle.  Lists are skipped by blocks: entries whose
@@ -265,10 +267,9 @@ def linked_sets(docs: DataFrame, classes: DataFrame, signs: DataFrame, width: in
     )
     far = write_shared(far, "distances")
 
-    # Crowded families: their own links, and distances to their first member.
+    # Crowded families: differences from their first member.
     kin = crowded_families(families, groups, signs)
     near = write_shared(differences(kin, star_sets), "family-members")
-    inside = family_links(near, percent)
     far = write_shared(
         far.join(near.select("node"), "node", "left_anti").unionByName(
             near.select("node", F.col("family").alias("component"), "n", F.size("diff").cast("long").alias("r"))
@@ -282,30 +283,53 @@ def linked_sets(docs: DataFrame, classes: DataFrame, signs: DataFrame, width: in
     pairs = pairs.join(sizes.withColumnsRenamed({"node": "a", "n": "na"}), "a").join(sizes.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
     led = compared(docs, write_shared(pairs, "led-pairs"), width, "met-links")
     linked = reaches(F.col("both"), F.col("na"), F.col("nb"), percent)
-    edges = edges.select("a", "b").unionByName(inside).unionByName(led.where(linked).select("a", "b"))
+    edges = edges.select("a", "b").unionByName(led.where(linked).select("a", "b"))
     # Then members that the distances leave room for; all members of a component are
     # linked with its leader, those of a family need not be.
     led = (
         led.join(crowded.select(F.col("family").alias("a"), F.lit(True).alias("fa")), "a", "left")
         .join(crowded.select(F.col("family").alias("b"), F.lit(True).alias("fb")), "b", "left")
+        .na.fill(False, ["fa", "fb"])
     )
-    settled = linked & F.coalesce("fa", "fb").isNull()
     apart = (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("d")
-    open_pairs = led.where(~settled).select(F.col("a").alias("ca"), F.col("b").alias("cb"), "na", "nb", apart)
-    span = far.groupBy("component").agg(F.max("r").alias("max_r"), F.max("n").alias("max_n"), F.min("n").alias("min_n"))
-
-    def side(x: str) -> DataFrame:
-        return far.select(F.col("component").alias(f"c{x}"), F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("r").alias(f"r_{x}"))
-
+    open_pairs = led.where(~linked | F.col("fa") | F.col("fb")).select(
+        F.col("a").alias("ca"), F.col("b").alias("cb"), "na", "nb", apart, "fa", "fb"
+    )
+    span = far.groupBy("component").agg(F.max("r").alias("r"), F.max("n").alias("m"), F.count(F.lit(1)).alias("s"))
     # A class without a component is its own leader, at distance 0.
     spread = (
-        open_pairs.join(span.select(F.col("component").alias("ca"), F.col("max_r").alias("ra")), "ca", "left")
-        .join(span.select(F.col("component").alias("cb"), F.col("max_r").alias("rb"), F.col("max_n").alias("mb")), "cb", "left")
+        open_pairs.join(span.withColumnsRenamed({"component": "ca", "r": "ra", "m": "ma", "s": "sa"}), "ca", "left")
+        .join(span.withColumnsRenamed({"component": "cb", "r": "rb", "m": "mb", "s": "sb"}), "cb", "left")
         .where("ra IS NOT NULL OR rb IS NOT NULL")
-        .na.fill(0, ["ra", "rb"])
-        .withColumn("mb", F.coalesce("mb", "nb"))
+        .na.fill(0, ["ra", "rb", "sa", "sb"])
+        .withColumns({"ma": F.coalesce("ma", "na"), "mb": F.coalesce("mb", "nb")})
+        .where(F.col("ra") + F.col("rb") + slack * (F.col("ma") + F.col("mb")) >= F.col("d"))
+    )
+    spread = write_shared(spread, "open-pairs")
+
+    # The larger family of a pair takes the other's members as guests.
+    a_hosts = F.col("fa") & (~F.col("fb") | (F.col("sa") >= F.col("sb")))
+    hosted = spread.where("fa OR fb").select(
+        F.when(a_hosts, F.col("ca")).otherwise(F.col("cb")).alias("family"),
+        F.when(a_hosts, F.col("cb")).otherwise(F.col("ca")).alias("guest"),
+        F.when(a_hosts, F.col("nb")).otherwise(F.col("na")).alias("ng"),
+        (F.col("d") - F.when(a_hosts, F.col("ra") + slack * F.col("ma")).otherwise(F.col("rb") + slack * F.col("mb"))).alias("gap"),
     )
-    one = spread.join(side("a"), "ca", "left").withColumns(
+    guests = (
+        hosted.join(far.withColumnRenamed("component", "guest"), "guest", "left")
+        .where(F.coalesce("r", F.lit(0)) + slack * F.coalesce("n", "ng") >= F.col("gap"))
+        .select(F.coalesce("node", "guest").alias("node"), "family")
+    )
+    guests = write_shared(guests.distinct(), "guests")
+    visits = guests.select(F.col("node").alias("a"), F.col("family").alias("b"))
+    visiting = differences(guests.withColumn("unit", F.col("node")), paired_sets(docs, visits, width, "guests"))
+    near = near.withColumn("guest", F.lit(False)).unionByName(visiting.withColumn("guest", F.lit(True)))
+    edges = edges.unionByName(family_links(write_shared(near, "families-with-guests"), percent))
+
+    def side(x: str) -> DataFrame:
+        return far.select(F.col("component").alias(f"c{x}"), F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("r").alias(f"r_{x}"))
+
+    one = spread.where("NOT (fa OR fb)").join(side("a"), "ca", "left").withColumns(
         {"a": F.coalesce("a", "ca"), "n_a": F.coalesce("n_a", "na"), "r_a": F.coalesce("r_a", F.lit(0))}
     ).where(F.col("r_a") + F.col("rb") + slack * (F.col("n_a") + F.col("mb")) >= F.col("d"))
     two = one.join(side("b"), "cb", "left").withColumns(
