@@ -333,8 +333,10 @@ def read_archives(index: DataFrame, with_payload: bool = True) -> DataFrame:
 
     bundles = index.select("bundle").distinct()
     # A bundle a task (a few from MAX_READERS on): the list is short, its files are not.
+    # By range, as an exchange by hash is left out where the distinct list has as many
+    # partitions, and then joined to one task for its few bytes.
     readers = min(max(bundles.count(), 1), MAX_READERS)
-    return bundles.repartition(readers, "bundle").mapInArrow(read, RECORD_SCHEMA)
+    return bundles.repartitionByRange(readers, "bundle").mapInArrow(read, RECORD_SCHEMA)
 
 
 def fetch_records(wanted: DataFrame) -> DataFrame:

@@ -158,3 +158,20 @@ def test_extraction_against_a_plain_reading(spark, table):
         article = re.search(r"(?s)<article>(.*?)</article>", r.html)[1]
         parts = [" ".join(html.unescape(re.sub("<[^>]*>", "", p)).split()) for p in re.split("</?(?:p|h1)>", article)]
         assert r.text == "\n".join(p for p in parts if p)
+
+
+def test_archives_are_read_by_as_many_tasks_as_bundles(spark, tmp_path):
+    from martforge.llm import warc
+
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pages = spark.range(400).selectExpr("id AS page_id", "concat('http://h/', id) AS url", "repeat(string(id), 50) AS html")
+    index = warc.write_archives(pages, f"file://{tmp_path}/a", frame_bytes=500, bundle_bytes=2000)
+    bundles = index.select("bundle").distinct().count()
+    read = warc.read_archives(index, with_payload=False)
+    assert bundles > 1 and read.rdd.getNumPartitions() == bundles
+    spark.conf.set("spark.sql.shuffle.partitions", bundles)
+    try:
+        again = warc.read_archives(index, with_payload=False)
+        assert again.rdd.getNumPartitions() == bundles and again.count() == 400
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
