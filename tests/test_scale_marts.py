@@ -6,7 +6,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from martforge.plans import closeouts as co
 from martforge.plans import sales as sl
+from martforge.sources.layout import SECTION_LABELS, Layout
 
 DAY = dt.date(2020, 2, 3)
 MONEY = "decimal(38,7)"
@@ -47,3 +49,14 @@ def test_a_figure_that_does_not_fit_matters_only_with_a_load(spark):
     assert sl.sales(rows, loads(spark, 2)).select("avg_carcass_wt").first()[0] == 200
     with pytest.raises(Exception, match="OUT_OF_RANGE|NUMERIC_VALUE"):
         sl.sales(rows, loads(spark, 1, 2)).select("value").collect()
+
+
+def test_cells_are_read_once(spark):
+    anchors = [0, 10, 20, 36, 42, 50, 56, 62, 68]
+    cells = [("A", r, 0, t) for r, t in zip(anchors, SECTION_LABELS)] + [("A", 22, 0, "Deaths"), ("A", 22, 3, "3"), ("B", 1, 3, "x")]
+    frame = spark.createDataFrame(cells, "file_id string, row_no int, col_no int, value string")
+    parts = co.CloseoutParts(frame, Layout.default(spark))
+    assert "Scan ExistingRDD" not in physical(parts.anchors)
+    wide = parts.wide()
+    assert "form-records" in physical(wide)
+    assert [(r.group_id, r.deaths_out_number) for r in wide.collect()] == [("A", 3)]
