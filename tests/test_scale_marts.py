@@ -6,6 +6,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
+from martforge.operators import stats
 from martforge.plans import closeouts as co
 from martforge.plans import sales as sl
 from martforge.sources.layout import SECTION_LABELS, Layout
@@ -51,6 +53,24 @@ def test_a_figure_that_does_not_fit_matters_only_with_a_load(spark):
         sl.sales(rows, loads(spark, 1, 2)).select("value").collect()
 
 
+def test_sales_and_load_stats_are_both_statistics(spark):
+    rows = [("A", "A-1", 200, "70"), ("A", "A-1", 203, "71.5"), ("A", "A-2", 190, None), ("A", "A-2", None, "69.1234"),
+            ("A", "A-3", 210, "70"), ("A", "A-3", 222, "70"), ("A", "A-3", 180, "70"), ("B", "B-1", 5, "1"), ("C", "C-1", None, None),
+            (None, None, 7, "2"), (None, None, 9, "3"), ("D", "D-1", 4_000_000_000, "1"), ("D", "D-1", 4_000_000_003, "1")]
+    df = spark.createDataFrame([(g, d, w, y and Decimal(y)) for g, d, w, y in rows],
+                               "group_num string, load_id string, avg_carcass_wt long, yield_per decimal(18,4)").withColumn("lean_per", F.col("yield_per") - 1)
+    both = {r.group_num: r.asDict() for r in stats.sales_and_load_stats(df).collect()}
+    one = {r.group_num: r.asDict() for r in stats.sales_stats(df).collect()}
+    two = {r.group_num: r.asDict() for r in stats.load_stddev_avg(df).collect()}
+    assert both == {g: one[g] | two[g] for g in one}
+
+
+def test_the_budget_mart_reads_the_sales_once(spark, small_dir):
+    plan = E.queries()["budget_actuals"](spark, small_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode([0,1,2])") == 1
+    assert "actuals-keys" in physical(E.queries()["budget_actuals"](spark, small_dir))
+
+
 def test_cells_are_read_once(spark):
     anchors = [0, 10, 20, 36, 42, 50, 56, 62, 68]
     cells = [("A", r, 0, t) for r, t in zip(anchors, SECTION_LABELS)] + [("A", 22, 0, "Deaths"), ("A", 22, 3, "3"), ("B", 1, 3, "x")]
