@@ -445,3 +445,46 @@ def test_shared_words_in_small_parts(monkeypatch):
     assert (13, 0, 3, None) in whole
     monkeypatch.setattr(decontamination, "SHARED_WORDS", 1)
     assert set(finder.sharing(*decontamination.batch_terms(texts))) == whole
+
+
+def test_products_are_shuffled_by_filled_rows():
+    """A task that has few terms sends few rows, whatever the number of tasks."""
+    import numpy as np
+
+    total = np.zeros((decontamination.BUCKETS, 5), np.float32)
+    total[[3, 700, decontamination.BUCKETS - 1]] = np.arange(15, dtype=np.float32).reshape(3, 5) + 1
+    again, sent = np.zeros_like(total), 0
+    for i, (places, part) in enumerate(decontamination.filled_rows(total, 512)):
+        again[i * 512 + places] += part
+        sent += part.nbytes
+    assert (again == total).all() and sent == 3 * 5 * 4
+
+
+def test_candidates_without_enough_words_are_not_compared():
+    """Nothing that a subsequence could reach is left out; a word that an item has once
+    counts once, and a candidate found in two ways is given once."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(40)]
+    items = [decontamination.make_item(i, " ".join(r.choices(words, k=r.randint(8, 40)))) for i in range(20)]
+    space = np.random.default_rng(2).standard_normal((decontamination.BUCKETS + 1, 8)).astype(np.float32)
+    finder = decontamination.Search(items, space, np.ones(decontamination.BUCKETS, np.float32))
+    texts = pa.array([" ".join(r.choices(words, k=r.choice([0, 1, 50, 300]))) for _ in range(30)] + [f"{items[0].words[0]} " * 200, None])
+    terms, starts = decontamination.batch_terms(texts)
+    asked = list(finder.candidates(terms, starts)) + list(finder.sharing(terms, starts))
+    doc, at, k = (np.array(x) for x in list(zip(*asked))[:3])
+    may = finder.may_hold(terms, starts, doc, at, k)
+    for d, w, i, ok in zip(doc.tolist(), at.tolist(), k.tolist(), may.tolist()):
+        n = len(items[i].words)
+        low = int(starts[d])
+        region = terms[low + max(0, w - n) : min(low + w + decontamination.PASSAGE + n, int(starts[d + 1]))].tolist()
+        if decontamination.common_words(finder.masks[i], n, region) >= decontamination.MIN_LCS_WITH_ANSWER * n:
+            assert ok
+        if d == 30:
+            assert not ok  # one word, 200 times
+    near = [x[:3] for x in finder.near_enough(terms, starts)]
+    assert len(near) == len(set(near)) and set(near) == {x[:3] for x, ok in zip(asked, may) if ok}
