@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from martforge import registry as R
 from martforge.operators import stats
+from martforge.plans import budgets as bd
 from martforge.plans import closeouts as co
 from martforge.plans import sales as sl
 from martforge.sources.layout import SECTION_LABELS, Layout
@@ -80,3 +82,24 @@ def test_cells_are_read_once(spark):
     wide = parts.wide()
     assert "form-records" in physical(wide)
     assert [(r.group_id, r.deaths_out_number) for r in wide.collect()] == [("A", 3)]
+
+
+def test_both_runs_of_the_actuals_read_facts_written_once(spark, small_dir):
+    stored, batch, _ = R.budget_loads(spark, small_dir)
+    for frame in (stored, batch):
+        plan = physical(frame)
+        assert "lineitem" not in plan
+        assert all(f"actuals-{name}" in plan for name in ("closeouts", "sales", "ingredients", "movements"))
+
+
+def test_staged_sources_keep_every_row_of_their_groups(spark):
+    names = {c for columns in bd.ACTUALS_READS.values() for c in columns} - {"group_num"}
+    rows = spark.createDataFrame([("G1",), ("G1",), ("G2",), (None,)], "group_num string").withColumns(dict.fromkeys(sorted(names), F.lit("1")))
+    keys = spark.createDataFrame([("G1",), ("G1",), (None,)], "group_num string")
+    out = bd.staged_sources({name: rows for name in bd.ACTUALS_READS} | {"groups": keys}, keys, ["1", "2"])
+    assert out["groups"] is keys
+    for name, columns in bd.ACTUALS_READS.items():
+        assert out[name].columns == columns
+        assert [r.group_num for r in out[name].collect()] == ["G1", "G1"]
+    other = bd.staged_sources({name: rows for name in bd.ACTUALS_READS}, keys, ["2"])
+    assert other["ingredients"].isEmpty() and other["movements"].count() == 2
