@@ -460,6 +460,51 @@ def test_products_are_shuffled_by_filled_rows():
     assert (again == total).all() and sent == 3 * 5 * 4
 
 
+def test_the_driver_holds_no_copies_of_the_range(monkeypatch):
+    """The space is that of a whole QR, also of few passages, and beside the matrix and
+    its product the driver holds less than another copy of it."""
+    import tracemalloc
+
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    width = decontamination.RANK + decontamination.EXTRA
+    idf = r.random(decontamination.BUCKETS).astype(np.float32)
+    for passages in (40, 400):
+        a = np.zeros((passages, decontamination.BUCKETS), np.float32)
+        for row in a:
+            row[r.integers(0, 2000, 30)] = r.random(30)
+
+        def products(spark, sample, idf, q, gram):
+            y = a @ q
+            total = y.T @ y if gram else a.T @ y
+            size = len(total) if gram else decontamination.SUM_ROWS
+            return [total[i : i + size] for i in range(0, len(total), size)]
+
+        monkeypatch.setattr(decontamination, "_products", products)
+        got = decontamination.latent_space(None, None, idf)
+        q = np.random.default_rng(3).standard_normal((decontamination.BUCKETS, width)).astype(np.float32)
+        for _ in range(decontamination.POWER):
+            q = np.linalg.qr(a.T @ (a @ q))[0]
+        values, vectors = np.linalg.eigh(((a @ q).T @ (a @ q)).astype(np.float64))
+        top = np.argsort(values)[::-1][: decontamination.RANK]
+        usable = values[top] > 1e-6 * values[top][0]
+        want = (q @ (vectors[:, top] * np.where(usable, 1 / np.sqrt(np.maximum(values[top], 1e-9)), 0))) * idf[:, None]
+        # The axes may turn over; the cosines of windows are those of the whole QR.
+        some = r.integers(0, 2000, 60)
+        left, right = got[some] @ got[some].T, want[some] @ want[some].T
+        assert np.abs(left - right).max() < 2e-3 * np.abs(right).max() and not got[-1].any()
+
+    y = np.ones((decontamination.BUCKETS, width), np.float32) + r.random((decontamination.BUCKETS, width), np.float32)
+    chunks = [y[i : i + 512] for i in range(0, len(y), 512)]
+    monkeypatch.setattr(decontamination, "_products", lambda spark, sample, idf, q, gram: [np.eye(width, dtype=np.float32)] if gram else chunks)
+    tracemalloc.start()
+    decontamination.latent_space(None, None, idf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.5 * y.nbytes
+
+
 def test_candidates_without_enough_words_are_not_compared():
     """Nothing that a subsequence could reach is left out; a word that an item has once
     counts once, and a candidate found in two ways is given once."""
