@@ -29,12 +29,13 @@ class CloseoutParts:
     def __init__(self, cells: DataFrame, layout: DataFrame | Layout, *, clip_negative: bool | list[int] = True):
         self.layout = Layout.of(layout)
         self.records = write_staged(forms.form_rows(cells, [0, *self.layout.columns]), "form-records")
+        self.parts = forms.tasks_for(self.records)
         self.anchors = forms.title_anchors(self.records.select("file_id", "row_no", F.col("c0").alias("value")), SECTION_LABELS)
-        self.hits = forms.labelled_cells(self.records, self.anchors, self.layout, clip_negative=clip_negative)
+        self.hits = forms.labelled_cells(self.records, self.anchors, self.layout, clip_negative=clip_negative, parts=self.parts)
 
     @cached_property
     def last(self) -> DataFrame:
-        return forms.last_values(self.hits, self.layout)
+        return forms.last_values(self.hits, self.layout, self.parts)
 
     @cached_property
     def values(self) -> DataFrame:
@@ -46,7 +47,7 @@ class CloseoutParts:
 
     @cached_property
     def pivot(self) -> DataFrame:
-        return forms.pivoted(self.last, self.anchors.filter("complete").select("file_id"), self.layout)
+        return forms.pivoted(forms.gathered(self.hits, self.parts), self.anchors.filter("complete").select("file_id"), self.layout)
 
     @cached_property
     def totals(self) -> DataFrame:

@@ -29,6 +29,8 @@ OTHER_GROUP_TYPE = "GDU"
 STATUS_BY_MOD3 = ("closed", "active", "scheduled")
 LINE_CATEGORY = {1: "Market Sale", 2: "Inventory Adjustment", 3: "Death", 4: "Euthanize"}
 OTHER_CATEGORY = "Transfer"
+#: Rows by customer and priority that a task makes form cells for (with all else of the customer).
+TASK_ROWS = 100_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -360,8 +362,11 @@ def cells(spark: SparkSession, sf_dir: str, where: Column | None = None) -> Data
     lg = lout.groupBy("o_custkey").agg(
         F.sum("cnt").alias("n_lines"), F.sum("rec").alias("ext"), F.sum("taxed").alias("taxed"),
         F.sum(F.when(F.col("l_linenumber") == 1, F.col("rec"))).alias("r1"))
+    # Each row becomes up to 57 cells, so tasks are measured by rows, not by bytes.
+    tasks = max(1, -(-pin.count() // TASK_ROWS))
     base = (g.join(lg, g.c_custkey == lg.o_custkey).drop("o_custkey")
-            .withColumn("file_id", F.col("group_num")))
+            .withColumn("file_id", F.col("group_num"))).repartition(tasks, "c_custkey")
+    pin, lout = pin.repartition(tasks, "o_custkey", "p"), lout.repartition(tasks, "o_custkey", "l_linenumber")
     pos = {name: fixed_position(i) for i, (name, _) in enumerate(CLOSEOUT_FIXED)}
     epoch = F.to_date(F.lit("1899-12-30"))
     nl, no = F.col("n_lines"), F.col("n_orders")
